@@ -148,27 +148,33 @@ def raw_fact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     whose header differs from ``Measure`` only by case.
     """
     lng = long_facts(spark, sf_dir)
+    # internal names until the last projection: Spark resolves names
+    # case-insensitively, so the two measure labels cannot coexist mid-plan
     base = lng.select(
-        F.col("jurisdiction").alias("Reference area"),
-        F.col("counterpart_jurisdiction").alias("Counterpart area"),
-        F.col("measure").alias("Measure"),
-        F.upper(F.substring("measure", 1, 3)).alias("MEASURE"),
-        F.col("year").cast("string").alias("TIME_PERIOD"),
-        F.col("obs_value").cast("string").alias("OBS_VALUE"),
-        F.lit("A").alias("OBS_STATUS"),
+        F.col("jurisdiction").alias("ra"),
+        F.col("counterpart_jurisdiction").alias("ca"),
+        F.col("measure").alias("me"),
+        F.upper(F.substring("measure", 1, 3)).alias("mc"),
+        F.col("year").cast("string").alias("tp"),
+        F.col("obs_value").cast("string").alias("ov"),
+        F.lit("A").alias("os"),
     )
-    domestic = base.filter(F.col("Reference area") == F.col("Counterpart area"))
-    bad_period = domestic.withColumn("TIME_PERIOD", F.concat(F.col("TIME_PERIOD"), F.lit("-Q1")))
-    bad_value = domestic.withColumn("OBS_VALUE", F.lit("n/a"))
-    no_value = domestic.withColumn("OBS_VALUE", F.lit(None).cast("string"))
-    repeats = base.filter(F.col("Measure") == L.EMPLOYEES_MEASURE)
+    domestic = base.filter(F.col("ra") == F.col("ca"))
+    bad_period = domestic.withColumn("tp", F.concat(F.col("tp"), F.lit("-Q1")))
+    bad_value = domestic.withColumn("ov", F.lit("n/a"))
+    no_value = domestic.withColumn("ov", F.lit(None).cast("string"))
+    repeats = base.filter(F.col("me") == L.EMPLOYEES_MEASURE)
     return base.unionByName(bad_period).unionByName(bad_value).unionByName(no_value).unionByName(repeats)
 
 
+RAW_FACT_LABELS = ["Reference area", "Counterpart area", "Measure", "MEASURE", "TIME_PERIOD", "OBS_VALUE", "OBS_STATUS"]
+
+
 def land_facts(spark: SparkSession, sf_dir: str) -> str:
     """Write the raw fact landing (CSV + ``_ingest_metadata.json`` side file); return its folder."""
     path = scratch_path(spark, "facts_raw")
-    raw_fact_rows(spark, sf_dir).write.option("header", True).csv(path)
+    raw = raw_fact_rows(spark, sf_dir)
+    raw.toDF(*RAW_FACT_LABELS).write.option("header", True).csv(path)
     (
         spark.range(1)
         .select(F.lit(LANDED_AT_UTC).alias("ingested_at_utc"))

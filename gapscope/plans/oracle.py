@@ -107,7 +107,7 @@ _CTES = {
          cast(count(*) as double) as obs_value
   from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
   group by all)""",
-    "asof": """asof as (select max(cast(ts as date)) - 7 as cutoff from events)""",
+    "lb": """lb as (select max(cast(ts as date)) - 7 as cutoff from events)""",
 }
 
 _DEPS = {
@@ -227,9 +227,9 @@ ORACLE: dict[str, str] = {
                     "(partition by user_id, event_type order by ts desc nulls last, event_id desc) = 1",
     "dedup_any": "select * from events qualify row_number() over "
                  "(partition by user_id, event_type order by event_id asc) = 1",
-    "late_arrival_split": _with("asof") + "select coalesce(case when cast(ts as date) >= cutoff then 'late' "
+    "late_arrival_split": _with("lb") + "select coalesce(case when cast(ts as date) >= cutoff then 'late' "
                           "when cast(ts as date) < cutoff then 'on_time' end, 'no_timestamp') as arrival, "
-                          "count(*) as n_rows from events, asof group by 1",
+                          "count(*) as n_rows from events, lb group by 1",
     "incremental_snapshot": "select * from events where ts is not null qualify row_number() over "
                             "(partition by user_id, event_type order by ts desc nulls last, event_id desc) = 1",
     "filter_keywords": "select p_partkey, p_name from part where contains(p_name, 'ring') or contains(p_name, 'widget')",
