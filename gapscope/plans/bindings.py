@@ -39,26 +39,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _dec(c: str, t: str) -> Column:
-    return F.col(c).cast(t)
-
-
 def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per (jurisdiction, counterpart, year): profit, tax, employees, groups, revenue.
 
+    Money is exact: prices, discounts and tax rates are rounded to whole
+    cents (``rint(x * 100)``, the same cents as a ``decimal(12,2)`` cast for
+    any amount with at most two decimals, at a quarter of the cost, since a
+    double-to-decimal cast formats every value as text), then carried as
+    scaled longs (revenue in 1e-4, tax in 1e-6). The per-line work and both
+    aggregations stay on primitive longs inside codegen; long sums fail
+    loudly on overflow (ANSI), they never wrap. Only the reduced sums become
+    ``decimal(38,6)``.
+
     Plan: lineitem joins orders and customer (large, shuffled on their keys,
     AQE splits a hot customer); the stream is then pre-aggregated to
     (customer nation, supplier, year) *before* the supplier join, which
-    shrinks it to at most nations x suppliers x years and turns the distinct
-    supplier count into a plain count. Nation joins are on a 25-row table
-    whose file size the planner checks before broadcasting it.
+    shrinks it and turns the distinct supplier count into a plain count.
+    Small sides are broadcast only when the planner's size check allows.
     """
+    cents = lambda c: F.rint(F.col(c) * 100).cast("long")
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_suppkey",
-        (_dec("l_extendedprice", "decimal(12,2)") * (F.lit(1).cast("decimal(3,2)") - _dec("l_discount", "decimal(3,2)"))).alias("rev"),
-        _dec("l_tax", "decimal(3,2)").alias("tx"),
-        _dec("l_quantity", "decimal(6,0)").alias("qty"),
+        (cents("l_extendedprice") * (100 - cents("l_discount"))).alias("rev4"),
+        cents("l_tax").alias("tax2"),
+        F.rint("l_quantity").cast("long").alias("qty"),
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").cast("int").alias("year"))
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -66,22 +71,25 @@ def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
     lines = li.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(customer, F.col("o_custkey") == F.col("c_custkey"))
-    per_supplier = lines.groupBy("c_nationkey", "l_suppkey", "year").agg(
-        F.sum(F.col("rev") - F.col("qty") * 1300).alias("p"),
-        F.sum(F.col("rev") * F.col("tx")).alias("t"),
+    sums = [
+        F.sum(F.col("rev4") - F.col("qty") * (1300 * 10_000)).alias("p4"),
+        F.sum(F.col("rev4") * F.col("tax2")).alias("t6"),
         F.sum("qty").alias("e"),
-        F.sum("rev").alias("r"),
-    )
+        F.sum("rev4").alias("r4"),
+    ]
+    per_supplier = lines.groupBy("c_nationkey", "l_suppkey", "year").agg(*sums)
     w = (
         per_supplier.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .groupBy("c_nationkey", "s_nationkey", "year")
-        .agg(F.sum("p").alias("p"), F.sum("t").alias("t"), F.sum("e").alias("e"),
-             F.count(F.lit(1)).alias("m"), F.sum("r").alias("r"))
+        .agg(*[F.sum(c).alias(c) for c in ("p4", "t6", "e", "r4")], F.count(F.lit(1)).alias("m"))
     )
+    scaled = lambda c, digits: (F.col(c).cast("decimal(38,0)") / 10**digits).cast(OBS)
     cn = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("jurisdiction"))
     sn = nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("counterpart_jurisdiction"))
     return w.join(cn, "c_nationkey").join(sn, "s_nationkey").select(
-        "jurisdiction", "counterpart_jurisdiction", "year", "p", "t", "e", "m", "r"
+        "jurisdiction", "counterpart_jurisdiction", "year",
+        scaled("p4", 4).alias("p"), scaled("t6", 6).alias("t"), F.col("e").cast(OBS).alias("e"),
+        F.col("m").cast(OBS).alias("m"), scaled("r4", 4).alias("r"),
     )
 
 
@@ -101,13 +109,12 @@ def long_facts(spark: SparkSession, sf_dir: str, with_revenue: bool = False) ->
 def statutory_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(jurisdiction, year, statutory_rate)``: all nations but one, every order year.
 
-    The year range comes from scalar subqueries over ``orders`` (partial
+    The year range comes from one scalar subquery over ``orders`` (partial
     min/max on every task), so no cross join is planned.
     """
     years = F.year("o_orderdate")
-    orders = table(spark, sf_dir, "orders")
-    lo = orders.select(F.min(years)).scalar()
-    hi = orders.select(F.max(years)).scalar()
+    span = table(spark, sf_dir, "orders").select(F.struct(F.min(years).alias("lo"), F.max(years).alias("hi"))).scalar()
+    lo, hi = span.getField("lo"), span.getField("hi")
     nation = table(spark, sf_dir, "nation").filter(F.col("n_nationkey") != UNMATCHED_NATION)
     st = nation.select("n_nationkey", F.col("n_name").alias("jurisdiction"), F.explode(F.sequence(lo, hi)).alias("year"))
     return st.select(
