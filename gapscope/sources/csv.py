@@ -12,7 +12,6 @@ labels are mapped to positions on the driver, never data.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,19 +77,28 @@ def read_labelled_csv(
     return raw.select(*[F.col(f"_c{labels.index(lab)}").alias(new) for lab, new in select.items()])
 
 
-def sanitize(label: str) -> str:
-    """``Reference area`` -> ``reference_area``."""
-    return re.sub(r"[^0-9a-zA-Z]+", "_", label).strip("_").lower()
-
-
 def read_ingest_stamp(spark: SparkSession, folder: str, name: str = "_ingest_metadata.json") -> DataFrame:
     """The landing's side file as a one-row frame ``(ingested_at timestamp)``.
 
-    ``_``-prefixed files are skipped by the CSV scan, so the side file can sit
-    next to the landed data.
+    ``_``-prefixed files are skipped by Spark's scans, so the side file can
+    sit next to the landed data. For the same reason a plain side file is
+    read through the Hadoop FileSystem (one small metadata document); a
+    folder of that name (as Spark writes it) is read by Spark.
     """
     path = f"{folder.rstrip('/')}/{name}"
     require_path(spark, path)
-    return spark.read.schema("ingested_at_utc string").option("multiLine", True).json(path).select(
-        F.to_timestamp("ingested_at_utc").alias("ingested_at")
-    )
+    jvm = spark._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.getFileStatus(hpath).isDirectory():
+        raw = spark.read.schema("ingested_at_utc string").json(path)
+    else:
+        stream = fs.open(hpath)
+        try:
+            text = jvm.java.util.Scanner(stream, "UTF-8").useDelimiter("\\A").next()
+        finally:
+            stream.close()
+        raw = spark.createDataFrame([(text,)], "doc string").select(
+            F.get_json_object("doc", "$.ingested_at_utc").alias("ingested_at_utc")
+        )
+    return raw.select(F.to_timestamp("ingested_at_utc").alias("ingested_at"))
