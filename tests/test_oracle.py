@@ -48,3 +48,11 @@ def test_query_matches_oracle(spark, con, name):
     assert sc == dc
     assert len(s) == len(d)
     assert s == d
+
+
+def test_entry_smoke(spark):
+    from __spark_entry__ import entry
+
+    df = entry(spark)
+    assert df.columns[:2] == ["jurisdiction", "year"] and "gap_statutory_minus_effective" in df.columns
+    assert df.count() > 0
