@@ -52,3 +52,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if "://" not in root:
         os.makedirs(root, exist_ok=True)
     return f"{root.rstrip('/')}/gapscope/{name}-{uuid.uuid4().hex}"
+
+
+def cluster_settings(input_bytes: int, executor_cores: int, executors: int,
+                     target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Configuration for a cluster run sized from the input volume.
+
+    Shuffle partitions start high enough that each holds about
+    ``target_partition_bytes`` of the input (never fewer than two waves of
+    tasks); AQE then coalesces small ones and splits skewed ones at run
+    time. File splits match the target, so a scan task fits executor memory.
+    """
+    import math
+
+    slots = max(1, executor_cores * executors)
+    partitions = max(2 * slots, math.ceil(input_bytes / target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.session.timeZone": "UTC",
+    }
