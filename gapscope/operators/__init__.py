@@ -38,6 +38,7 @@ from gapscope.operators.quality import (
     filter_keywords,
     measure_listing,
     quality_rules,
+    sample_values,
     since_period,
     year_range,
 )

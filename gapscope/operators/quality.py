@@ -70,6 +70,18 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     )
 
 
+def sample_values(df: DataFrame, columns: Sequence[str] | None = None, n: int = 10) -> DataFrame:
+    """First ``n`` rows' values per column, as text (a quick look, like a file head).
+
+    Reads at most ``n`` rows (``limit`` stops the scan early), so the arrays
+    are bounded by ``n``. Which rows come first is up to the scan order.
+    """
+    columns = list(columns or df.columns)
+    head = df.limit(n).agg(*[F.collect_list(F.col(f"`{c}`").cast("string")).alias(f"s{i}") for i, c in enumerate(columns)])
+    parts = ", ".join(f"{_lit_sql(c)}, s{i}" for i, c in enumerate(columns))
+    return head.selectExpr(f"stack({len(columns)}, {parts}) as (column_name, sample_values)")
+
+
 def _tagged(sources: Mapping[str, DataFrame], cols: Sequence[str]) -> DataFrame:
     out = None
     for name, df in sources.items():

@@ -9,6 +9,7 @@ in tests) do we pick one ourselves.
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -63,8 +64,6 @@ def cluster_settings(input_bytes: int, executor_cores: int, executors: int,
     tasks); AQE then coalesces small ones and splits skewed ones at run
     time. File splits match the target, so a scan task fits executor memory.
     """
-    import math
-
     slots = max(1, executor_cores * executors)
     partitions = max(2 * slots, math.ceil(input_bytes / target_partition_bytes))
     return {

@@ -42,3 +42,10 @@ def test_filters_push_down(spark):
     part = spark.createDataFrame([("green ring",), ("Widget",), ("widget box",)], "p_name string")
     assert rows(op.filter_keywords(part, "p_name", ["ring", "widget"])) == [("green ring",), ("widget box",)]
     assert op.filter_keywords(part, "p_name", []).count() == 0
+
+
+def test_sample_values_bounded(spark):
+    df = spark.range(1000).selectExpr("id", "cast(id % 7 as string) as k")
+    got = {r["column_name"]: r["sample_values"] for r in op.sample_values(df, n=5).collect()}
+    assert set(got) == {"id", "k"} and all(len(v) == 5 for v in got.values())
+    assert all(0 <= int(x) < 1000 for x in got["id"])
