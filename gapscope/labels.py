@@ -45,6 +45,9 @@ RATE_NOT_NULL = ["jurisdiction", "year", "tax_rate"]
 TAX_CATEGORY_KEYWORDS = ["Total receipts from taxes"]
 UNIT_OF_MEASURE_KEYWORDS = ["Percentage of gross domestic product"]
 
+# --- fixed values: messages -------------------------------------------------
+MISSING_COLUMNS_MESSAGE = "Expected columns not found: {missing}. Available columns: {available}"
+
 # --- fixed values: constants ----------------------------------------------
 LOOKBACK_DAYS = 7
 FIRST_PERIOD = 2016

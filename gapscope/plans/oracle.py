@@ -248,12 +248,12 @@ ORACLE: dict[str, str] = {
                               "stat.jurisdiction, stat.year, stat.statutory_rate from stat "
                               "join dim on stat.jurisdiction = dim.jurisdiction",
     "flag_filings": _with("flags") + "select * from flags",
-    "measure_listing": _with("lng", "rates") + "select distinct 'cbcr' as source, measure from lng where measure is not null "
-                       "union select distinct 'tax_rates', measure from rates where measure is not null",
-    "year_range": _with("lng", "rates") + "select 'cbcr' as source, min(year) as min_year, max(year) as max_year from lng "
-                  "union all select 'tax_rates', min(year), max(year) from rates",
-    "distinct_sample": _with("lng", "rates") + "(select 'cbcr' as source, jurisdiction as value from "
+    "measure_listing": _with("lng", "rates") + "select distinct 'facts' as source, measure from lng where measure is not null "
+                       "union select distinct 'rates', measure from rates where measure is not null",
+    "year_range": _with("lng", "rates") + "select 'facts' as source, min(year) as min_year, max(year) as max_year from lng "
+                  "union all select 'rates', min(year), max(year) from rates",
+    "distinct_sample": _with("lng", "rates") + "(select 'facts' as source, jurisdiction as value from "
                        "(select distinct jurisdiction from lng where jurisdiction is not null) order by 2 limit 10) "
-                       "union all (select 'tax_rates', jurisdiction from (select distinct jurisdiction from rates "
+                       "union all (select 'rates', jurisdiction from (select distinct jurisdiction from rates "
                        "where jurisdiction is not null) order by 2 limit 10)",
 }

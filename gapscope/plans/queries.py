@@ -243,7 +243,7 @@ def q_flag_filings(spark, sf):
 
 
 def _sources(spark, sf):
-    return {"cbcr": B.long_facts(spark, sf), "tax_rates": B.rates_long(spark, sf)}
+    return {"facts": B.long_facts(spark, sf), "rates": B.rates_long(spark, sf)}
 
 
 def q_measure_listing(spark, sf):

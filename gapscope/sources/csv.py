@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gapscope.labels import MISSING_COLUMNS_MESSAGE
 from gapscope.sources.tables import require_path
 
 
@@ -34,7 +35,7 @@ def require_columns(available: list[str], required) -> None:
     """Raise naming the missing and the available columns (exact, case-sensitive)."""
     missing = [c for c in required if c not in available]
     if missing:
-        raise ValueError(f"Expected columns not found: {missing}. Available columns: {available}")
+        raise ValueError(MISSING_COLUMNS_MESSAGE.format(missing=missing, available=available))
 
 
 def unique_names(labels: list[str]) -> list[str]:
