@@ -142,6 +142,18 @@ def merged(spark: SparkSession, sf_dir: str, sort: bool = True) -> DataFrame:
     return effective_vs_statutory(long_facts(spark, sf_dir), rates_long(spark, sf_dir), sort=sort)
 
 
+def stored_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merged table materialized once, for plans that read it twice.
+
+    A self-join or join-back would otherwise evaluate the fact aggregation
+    twice (Spark reuses only identical exchanges, and the two branches get
+    different inferred filters). ``checkpoint()`` writes it to the shared
+    ``spark.checkpoint.dir`` and cuts the lineage, so a lost executor does
+    not send the plan back to the line items.
+    """
+    return merged(spark, sf_dir, sort=False).checkpoint(eager=True)
+
+
 # --- landings -----------------------------------------------------------------
 
 

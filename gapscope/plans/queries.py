@@ -72,7 +72,7 @@ def q_year_percentiles(spark, sf):
 
 
 def q_audit_candidates(spark, sf):
-    return op.audit_candidates(B.merged(spark, sf, sort=False))
+    return op.audit_candidates(B.stored_merged(spark, sf))
 
 
 def q_jurisdictions_dim(spark, sf):
@@ -219,12 +219,12 @@ def q_lookup_filing(spark, sf):
 
 
 def q_link_filing_jurisdiction(spark, sf):
-    m = B.merged(spark, sf, sort=False)
+    m = B.stored_merged(spark, sf)
     return op.link_filing_jurisdiction(m, op.jurisdictions_dim(m))
 
 
 def q_link_filing_flags(spark, sf):
-    m = B.merged(spark, sf, sort=False)
+    m = B.stored_merged(spark, sf)
     return op.link_filing_flags(m, _flags(spark, sf, m))
 
 

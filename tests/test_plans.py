@@ -38,3 +38,18 @@ def test_dedup_limits_before_shuffle(spark):
 def test_percentiles_are_aggregates_not_windows(spark):
     plan = queries()["audit_candidates"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "percentile_approx" in plan and "Window [" not in plan
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_fact_aggregation_runs_once(spark, name):
+    """Plans that read the merged table twice must not evaluate the line-item aggregation twice."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = queries()[name](spark, SF)._jdf.queryExecution().executedPlan().treeString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    # per_supplier and per nation pair: partial + final each
+    assert plan.count("HashAggregate(keys=[c_nationkey#") <= 4
