@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gapscope import labels as L
-from gapscope.session import scratch_path
+from gapscope.session import scratch_path, scratch_root
 
 # binding-only labels
 REVENUE_MEASURE = "Revenues"
@@ -151,6 +151,7 @@ def stored_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``spark.checkpoint.dir`` and cuts the lineage, so a lost executor does
     not send the plan back to the line items.
     """
+    scratch_root(spark)  # the configured folder; one is set only if none is
     return merged(spark, sf_dir, sort=False).checkpoint(eager=True)
 
 

@@ -10,7 +10,6 @@ in tests) do we pick one ourselves.
 from __future__ import annotations
 
 import math
-import os
 import tempfile
 import uuid
 
@@ -38,20 +37,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; set a private one only if none is configured."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="gapscope-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return root
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(root)
+        return root
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="gapscope-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder name under the scratch root (not created)."""
+    """A fresh, unique folder name under the scratch root (created by the writer)."""
     root = scratch_root(spark)
-    if "://" not in root:
-        os.makedirs(root, exist_ok=True)
+    if root.startswith("file:") and not root.startswith("file://"):
+        root = root[len("file:"):]
     return f"{root.rstrip('/')}/gapscope/{name}-{uuid.uuid4().hex}"
 
 
