@@ -40,11 +40,15 @@ def quality_rules(df: DataFrame, rules: Mapping[str, Column] | None = None) -> D
     return df.agg(*aggs).selectExpr(f"stack({len(rules)}, {parts}) as (rule, n_pass, n_fail, n_unknown)")
 
 
-def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def column_profile(df: DataFrame, columns: Sequence[str] | None = None, exact_distinct: bool = True) -> DataFrame:
     """One row per column: position, name hints, rows, nulls, distinct, min, max.
 
     ``year_like``/``value_like`` are the lower-cased name searches
     ('period'/'time', 'obs'/'value'). Min and max are typed, shown as text.
+    Exact distinct counts make Spark expand each row once per column before
+    the shuffle; on very wide or very large inputs ``exact_distinct=False``
+    uses HyperLogLog sketches instead (one pass, partial aggregation, about
+    2% error).
     """
     columns = list(columns or df.columns)
     aggs = [F.count(F.lit(1)).alias("n")]
@@ -52,7 +56,7 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
         col = F.col(f"`{c}`")
         aggs += [
             F.count_if(col.isNull()).alias(f"z{i}"),
-            F.count_distinct(col).alias(f"d{i}"),
+            (F.count_distinct(col) if exact_distinct else F.approx_count_distinct(col)).alias(f"d{i}"),
             F.min(col).cast("string").alias(f"lo{i}"),
             F.max(col).cast("string").alias(f"hi{i}"),
         ]

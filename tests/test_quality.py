@@ -22,6 +22,9 @@ def test_column_profile(spark):
     assert prof["TIME_PERIOD"]["n_null"] == 1 and prof["TIME_PERIOD"]["year_like"] is True
     assert prof["OBS_VALUE"]["value_like"] is True and prof["OBS_VALUE"]["max_value"] == "2"
     assert [prof[c]["position"] for c in df.columns] == [0, 1, 2]
+    approx = {r["column_name"]: r["n_distinct"] for r in op.column_profile(df, exact_distinct=False).collect()}
+    assert approx == {c: prof[c]["n_distinct"] for c in df.columns}
+    assert "Expand" not in op.column_profile(df, exact_distinct=False)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_listings(spark):
