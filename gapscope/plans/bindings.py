@@ -168,23 +168,32 @@ def raw_fact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     whose header differs from ``Measure`` only by case.
     """
     lng = long_facts(spark, sf_dir)
+    tp = F.col("year").cast("string")
+    ov = F.col("obs_value").cast("string")
+    domestic = F.col("jurisdiction") == F.col("counterpart_jurisdiction")
+    variant = lambda period, value, keep: F.struct(period.alias("tp"), value.alias("ov"), keep.alias("keep"))
+    # one pass: every fact row expands into the copies it owns (no union,
+    # so the fact aggregation below is planned once)
+    variants = F.array(
+        variant(tp, ov, F.lit(True)),
+        variant(F.concat(tp, F.lit("-Q1")), ov, domestic),
+        variant(tp, F.lit("n/a"), domestic),
+        variant(tp, F.lit(None).cast("string"), domestic),
+        variant(tp, ov, F.col("measure") == L.EMPLOYEES_MEASURE),
+    )
+    rows = lng.select("jurisdiction", "counterpart_jurisdiction", "measure",
+                      F.explode(F.filter(variants, lambda v: v["keep"])).alias("v"))
     # internal names until the last projection: Spark resolves names
     # case-insensitively, so the two measure labels cannot coexist mid-plan
-    base = lng.select(
+    return rows.select(
         F.col("jurisdiction").alias("ra"),
         F.col("counterpart_jurisdiction").alias("ca"),
         F.col("measure").alias("me"),
         F.upper(F.substring("measure", 1, 3)).alias("mc"),
-        F.col("year").cast("string").alias("tp"),
-        F.col("obs_value").cast("string").alias("ov"),
+        F.col("v.tp").alias("tp"),
+        F.col("v.ov").alias("ov"),
         F.lit("A").alias("os"),
     )
-    domestic = base.filter(F.col("ra") == F.col("ca"))
-    bad_period = domestic.withColumn("tp", F.concat(F.col("tp"), F.lit("-Q1")))
-    bad_value = domestic.withColumn("ov", F.lit("n/a"))
-    no_value = domestic.withColumn("ov", F.lit(None).cast("string"))
-    repeats = base.filter(F.col("me") == L.EMPLOYEES_MEASURE)
-    return base.unionByName(bad_period).unionByName(bad_value).unionByName(no_value).unionByName(repeats)
 
 
 RAW_FACT_LABELS = ["Reference area", "Counterpart area", "Measure", "MEASURE", "TIME_PERIOD", "OBS_VALUE", "OBS_STATUS"]

@@ -50,3 +50,14 @@ def test_query_plan_properties(spark, name):
         assert bad not in plan, f"{name}: {bad} in plan"
     # per supplier and per nation pair: partial + final each
     assert plan.split("== Optimized")[0].count("HashAggregate(keys=[c_nationkey#") <= 4
+
+
+def test_landing_builds_facts_once(spark):
+    from gapscope.plans import bindings as B
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = B.raw_fact_rows(spark, SF)._jdf.queryExecution().executedPlan().treeString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Union" not in plan and plan.count("HashAggregate(keys=[c_nationkey#") <= 4
