@@ -132,8 +132,10 @@ def clean_step_counts(
 ) -> DataFrame:
     """Row counts through the cleaning steps, in one pass over the input.
 
-    ``after_dedup`` counts distinct key tuples among complete rows, which is
-    exactly the number of rows the dedup keeps (null key parts included).
+    ``null_<column>`` counts rows whose typed value is null (missing or
+    malformed text). ``after_dedup`` counts distinct key tuples among
+    complete rows, exactly the number of rows the dedup keeps (null key
+    parts included).
     """
     types = types or {"year": "int", "obs_value": "double"}
     typed = raw.transform(select_rename, columns).transform(cast_types, types)
@@ -142,8 +144,7 @@ def clean_step_counts(
         complete = complete & F.col(c).isNotNull()
     return typed.agg(
         F.count(F.lit(1)).alias("raw_rows"),
-        F.count_if(F.col("year").isNull()).alias("null_year"),
-        F.count_if(F.col("obs_value").isNull()).alias("null_obs_value"),
+        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in types],
         F.count_if(complete).alias("after_dropna"),
         F.count_distinct(F.when(complete, F.struct(*keys))).alias("after_dedup"),
     )

@@ -217,6 +217,13 @@ ORACLE: dict[str, str] = {
                          f"(select count(*) from (select distinct {_KEYS} from typed where jurisdiction is not null "
                          "and year is not null and obs_value is not null)) as after_dedup from typed",
     "clean_rates": _with("rates") + "select distinct jurisdiction, measure, year, tax_rate from rates",
+    "clean_rate_step_counts": _with("rates") + ", landed as (select * from rates union all select * from rates) "
+                              "select count(*) as raw_rows, count(*) filter (where year is null) as null_year, "
+                              "count(*) filter (where tax_rate is null) as null_tax_rate, "
+                              "count(*) filter (where jurisdiction is not null and year is not null and tax_rate is not null) as after_dropna, "
+                              "(select count(*) from (select distinct jurisdiction, measure, year from landed "
+                              "where jurisdiction is not null and year is not null and tax_rate is not null)) as after_dedup "
+                              "from landed",
     "column_profile": _profile_sql(),
     "table_roundtrip": _with("mg") + f"select {_MG_COLS} from mg",
     "csv_export_roundtrip": _with("mg") + f"select {_MG_COLS} from mg",

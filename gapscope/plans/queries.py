@@ -119,6 +119,13 @@ def q_clean_step_counts(spark, sf):
     return op.clean_step_counts(read_labelled_csv(spark, B.land_facts(spark, sf)))
 
 
+def q_clean_rate_step_counts(spark, sf):
+    return op.clean_step_counts(
+        read_labelled_csv(spark, B.land_rates(spark, sf)), L.RATE_COLUMNS, L.RATE_KEYS, L.RATE_NOT_NULL,
+        {"year": "int", "tax_rate": "double"},
+    )
+
+
 def q_clean_rates(spark, sf):
     return op.clean_rates(read_labelled_csv(spark, B.land_rates(spark, sf)))
 
@@ -277,6 +284,7 @@ QUERIES: dict[str, Query] = {
     "clean_facts": q_clean_facts,
     "clean_step_counts": q_clean_step_counts,
     "clean_rates": q_clean_rates,
+    "clean_rate_step_counts": q_clean_rate_step_counts,
     "column_profile": q_column_profile,
     "table_roundtrip": q_table_roundtrip,
     "csv_export_roundtrip": q_csv_export_roundtrip,
