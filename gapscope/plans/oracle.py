@@ -239,6 +239,8 @@ ORACLE: dict[str, str] = {
                           "count(*) as n_rows from events, lb group by 1",
     "incremental_snapshot": "select * from events where ts is not null qualify row_number() over "
                             "(partition by user_id, event_type order by ts desc nulls last, event_id desc) = 1",
+    "snapshot_merge": "select * from events where ts is not null qualify row_number() over "
+                      "(partition by user_id, event_type order by ts desc nulls last, event_id desc) = 1",
     "filter_keywords": "select p_partkey, p_name from part where contains(p_name, 'ring') or contains(p_name, 'widget')",
     "since_period": "select o_orderkey, o_custkey, cast(year(o_orderdate) as integer) as year from orders "
                     "where o_orderdate >= timestamp '2000-01-01'",

@@ -188,6 +188,14 @@ def q_incremental_snapshot(spark, sf):
     )
 
 
+def q_snapshot_merge(spark, sf):
+    events = _events(spark, sf)
+    on_time, late = op.late_arrival_split(events, "ts", as_of=_events_as_of(spark, sf))
+    tiebreak = [F.col("event_id").desc()]
+    snapshot = op.dedup_latest(on_time, EVENT_KEYS, "ts", tiebreak)
+    return op.merge_into_snapshot(snapshot, late, EVENT_KEYS, "ts", tiebreak)
+
+
 # --- filters ---------------------------------------------------------------------
 
 
@@ -293,6 +301,7 @@ QUERIES: dict[str, Query] = {
     "dedup_any": q_dedup_any,
     "late_arrival_split": q_late_arrival_split,
     "incremental_snapshot": q_incremental_snapshot,
+    "snapshot_merge": q_snapshot_merge,
     "filter_keywords": q_filter_keywords,
     "since_period": q_since_period,
     "json_stat_decode": q_json_stat_decode,
