@@ -29,7 +29,7 @@ REVENUE_MEASURE = "Revenues"
 COMBINED_RATE_MEASURE = "Combined corporate income tax rate"
 UNMATCHED_NATION = 3
 LANDED_AT_UTC = "2026-01-15T08:30:00Z"
-FLAGGED_AT = "2026-01-15 09:00:00"
+FLAGGED_AT_UTC = "2026-01-15T09:00:00Z"
 FLAGGED_BY = "rule:gap"
 
 OBS = "decimal(38,6)"

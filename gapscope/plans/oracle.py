@@ -79,7 +79,7 @@ _CTES = {
   from mg group by year)""",
     "flags": f"""flags as (
   select sha256(id || '|' || {REASON}) as flag_id, id as filing_id, {REASON} as reason,
-         {_q(B.FLAGGED_BY)} as flagged_by, timestamp '{B.FLAGGED_AT}' as flagged_at, 'OPEN' as status
+         {_q(B.FLAGGED_BY)} as flagged_by, timestamp '{B.FLAGGED_AT_UTC[:10]} {B.FLAGGED_AT_UTC[11:19]}' as flagged_at, 'OPEN' as status
   from mg where gap_statutory_minus_effective > {L.GAP_FLAG_THRESHOLD})""",
     "dim": """dim as (select distinct jurisdiction from mg)""",
     "base": """base as (

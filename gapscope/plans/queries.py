@@ -226,7 +226,7 @@ def q_json_stat_clean(spark, sf):
 
 
 def _flags(spark, sf, filings):
-    return op.flag_filings(filings, flagged_by=B.FLAGGED_BY, flagged_at=F.lit(B.FLAGGED_AT).cast("timestamp"))
+    return op.flag_filings(filings, flagged_by=B.FLAGGED_BY, flagged_at=F.to_timestamp(F.lit(B.FLAGGED_AT_UTC)))
 
 
 def q_lookup_filing(spark, sf):
