@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gapscope import labels as L
 from gapscope.functions import any_keyword
 
 def default_rules() -> dict[str, Column]:
@@ -125,7 +126,7 @@ def filter_keywords(df: DataFrame, column: str, keywords: Sequence[str]) -> Data
     return df.filter(any_keyword(column, keywords))
 
 
-def since_period(df: DataFrame, column: str, first_year: int) -> DataFrame:
+def since_period(df: DataFrame, column: str = "year", first_year: int = L.FIRST_PERIOD) -> DataFrame:
     """Rows from ``first_year`` on. On a date/timestamp column the bound is a
     literal date, so the predicate reaches the parquet scan (``PushedFilters``)."""
     dtype = dict(df.dtypes)[column]
