@@ -75,18 +75,24 @@ def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     shrinks it and turns the distinct supplier count into a plain count.
     Small sides are broadcast only when the planner's size check allows.
     """
+    return fact_flows(*(table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "supplier", "nation")))
+
+
+def fact_flows(lineitem: DataFrame, orders: DataFrame, customer: DataFrame, supplier: DataFrame,
+               nation: DataFrame) -> DataFrame:
+    """``flows`` over given frames (e.g. a skewed or filtered variant of the tables)."""
     cents = lambda c: F.rint(F.col(c) * 100).cast("long")
-    li = table(spark, sf_dir, "lineitem").select(
+    li = lineitem.select(
         "l_orderkey",
         "l_suppkey",
         (cents("l_extendedprice") * (100 - cents("l_discount"))).alias("rev4"),
         cents("l_tax").alias("tax2"),
         F.rint("l_quantity").cast("long").alias("qty"),
     )
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").cast("int").alias("year"))
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    orders = orders.select("o_orderkey", "o_custkey", F.year("o_orderdate").cast("int").alias("year"))
+    customer = customer.select("c_custkey", "c_nationkey")
+    supplier = supplier.select("s_suppkey", "s_nationkey")
+    nation = nation.select("n_nationkey", "n_name")
 
     # orders meet customers first, so the 4x larger lineitem stream is
     # shuffled once (on the order key) instead of twice
