@@ -9,15 +9,18 @@ driver.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gapscope import labels as L
 from gapscope.operators.audit import init_audit_log
 from gapscope.operators.clean import clean_facts, clean_rates
-from gapscope.operators.incremental import incremental_snapshot
+from gapscope.operators.incremental import incremental_snapshot, merge_into_snapshot
 from gapscope.operators.json_stat import clean_ratio, decode_json_stat
 from gapscope.plans.report import run_report
+from gapscope.session import scratch_root
 from gapscope.sources.csv import read_ingest_stamp, read_labelled_csv
 from gapscope.sources.json_stat import read_json_stat_documents
 from gapscope.sources.schemas import FACTS_CLEAN, RATES_CLEAN
@@ -56,6 +59,39 @@ def snapshot_job(
     write_table(snap, out, partition_by=["year"])
 
 
+def merge_late_job(
+    spark: SparkSession,
+    snapshot: str,
+    batch: DataFrame,
+    keys: Sequence[str] = L.FACT_KEYS,
+    ts: str = "_ingested_at",
+    partition_col: str = "year",
+) -> list:
+    """Merge a batch of (late) rows into a year-partitioned snapshot, latest wins.
+
+    Only the partitions the batch touches are read (partition pruning on
+    the batch's distinct years, a handful of values) and rewritten
+    (dynamic partition overwrite); the rest of the snapshot is not
+    shuffled or rewritten. The merged rows are checkpointed before the
+    write, so overwriting partitions of the table being read is safe and a
+    lost executor does not re-read half-overwritten files. Returns the
+    partition values rewritten.
+    """
+    touched = [r[0] for r in batch.select(partition_col).distinct().collect()]
+    if not touched:
+        return []
+    current = read_table(spark, snapshot, FACTS_CLEAN).filter(F.col(partition_col).isin(touched))
+    scratch_root(spark)
+    merged = merge_into_snapshot(current, batch.select(*current.columns), keys, ts).checkpoint(eager=True)
+    (
+        merged.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition_col)
+        .parquet(snapshot)
+    )
+    return sorted(touched)
+
+
 def report_job(spark: SparkSession, facts: str, rates: str, out_dir: str) -> dict[str, str]:
     """Clean facts + clean rates -> the five report tables (see ``plans.report``)."""
     return run_report(spark, read_table(spark, facts, FACTS_CLEAN), read_table(spark, rates, RATES_CLEAN), out_dir)

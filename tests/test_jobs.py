@@ -1,6 +1,7 @@
 """End to end: driver-table landings -> jobs -> tables, checked against the operators."""
 
 import datetime as dt
+import os
 
 from conftest import rows
 from gapscope import operators as op
@@ -38,3 +39,29 @@ def test_jobs_end_to_end(spark, scratch):
 
     log = scratch("flags")
     assert jobs.init_flags_job(spark, log) is True and jobs.init_flags_job(spark, log) is False
+
+
+def test_merge_late_job_rewrites_only_touched_years(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from gapscope.operators import dedup_latest
+    from gapscope.sources import write_table
+
+    t1, t2 = dt.datetime(2026, 1, 10), dt.datetime(2026, 1, 20)
+    facts = B.long_facts(spark, SF).withColumn("obs_value", F.col("obs_value").cast("double")) \
+        .withColumn("_ingested_at", F.lit(t1).cast("timestamp")).select(*FACTS_CLEAN.fieldNames())
+    snap = scratch("snapshot")
+    write_table(facts, snap, partition_by=["year"])
+    years = sorted(r[0] for r in facts.select("year").distinct().collect())
+    late_year = years[1]
+    # late restatement: every fact of one year, value + 1, loaded later; plus one brand-new key
+    batch = facts.filter(F.col("year") == late_year).withColumn("obs_value", F.col("obs_value") + 1) \
+        .withColumn("_ingested_at", F.lit(t2).cast("timestamp"))
+    new_key = spark.createDataFrame([("NEWLAND", "NATION_1", "Employees", late_year, 5.0, t2)], FACTS_CLEAN)
+    batch = batch.unionByName(new_key)
+    untouched_files = sorted(p for p in os.listdir(f"{snap}/year={years[0]}"))
+    assert jobs.merge_late_job(spark, snap, batch) == [late_year]
+    result = read_table(spark, snap, FACTS_CLEAN)
+    expected = dedup_latest(facts.unionByName(batch), ["jurisdiction", "counterpart_jurisdiction", "measure", "year"])
+    assert rows(result) == rows(expected)
+    assert sorted(os.listdir(f"{snap}/year={years[0]}")) == untouched_files  # not rewritten
