@@ -65,3 +65,14 @@ def test_merge_late_job_rewrites_only_touched_years(spark, scratch):
     expected = dedup_latest(facts.unionByName(batch), ["jurisdiction", "counterpart_jurisdiction", "measure", "year"])
     assert rows(result) == rows(expected)
     assert sorted(os.listdir(f"{snap}/year={years[0]}")) == untouched_files  # not rewritten
+
+
+def test_command_line(spark, scratch):
+    from gapscope.__main__ import main
+
+    facts, rates, out = scratch("cli_facts"), scratch("cli_rates"), scratch("cli_report")
+    main(["clean-facts", "--landing", B.land_facts(spark, SF), "--out", facts])
+    main(["clean-rates", "--landing", B.land_rates(spark, SF), "--out", rates])
+    paths = main(["report", "--facts", facts, "--rates", rates, "--out", out])
+    assert read_table(spark, paths["effective_vs_statutory"]).count() == B.merged(spark, SF).count()
+    assert main(["init-flags", "--path", scratch("cli_flags")]) is True
