@@ -62,3 +62,11 @@ def test_top_gap_nulls_last_and_ties(spark):
     top = op.top_gap(df, 4).collect()
     assert [(r["jurisdiction"], r["year"]) for r in top] == [("D", 2020), ("A", 2020), ("A", 2021), ("B", 2020)]
     assert op.top_gap(df, 10).collect()[-1]["jurisdiction"] == "C"
+
+
+def test_exclude_aggregate_counterpart(spark):
+    merged = op.effective_vs_statutory(facts(spark), rates(spark), exclude_counterparts=["Y"])
+    got = {r["jurisdiction"]: r["profit_before_tax"] for r in merged.collect()}
+    assert got["A"] == 60.0  # the 40 booked against counterpart Y is left out
+    tot = op.aggregate_totals(facts(spark), exclude_counterparts=["Y"])
+    assert rows(tot.filter("jurisdiction = 'A' and measure = '%s'" % P), "obs_value") == [(60.0,)]
