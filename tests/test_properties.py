@@ -60,3 +60,65 @@ def test_pivot_preserves_sums(spark, data):
         expected[(j, y)] = (cell("m1"), cell("m2"))
     got = {(r["jurisdiction"], r["year"]): (r["a"], r["b"]) for r in pv.collect()}
     assert got == expected
+
+
+@st.composite
+def json_stat_docs(draw):
+    n_dims = draw(st.integers(1, 3))
+    ids, sizes, dims, orders = [], [], {}, []
+    for d in range(n_dims):
+        name = f"d{d}"
+        size = draw(st.integers(1, 3))
+        codes = [f"{name}c{i}" for i in range(size)]
+        form = draw(st.sampled_from(["map", "list", "none"]))
+        labels = {c: f"L{c}" for c in codes if draw(st.booleans()) or form == "none"}
+        cat = {"label": labels}
+        if form == "map":
+            pairs = list(enumerate(codes))
+            pairs = draw(st.permutations(pairs))  # object order is not position order
+            cat["index"] = {c: i for i, c in pairs}
+        elif form == "list":
+            cat["index"] = codes
+        else:
+            cat["label"] = {c: f"L{c}" for c in codes}  # label keys carry the order
+        ids.append(name)
+        sizes.append(size)
+        dims[name] = {"category": cat}
+        orders.append(codes)
+    total = 1
+    for s in sizes:
+        total *= s
+    cells = draw(st.lists(st.one_of(st.none(), st.integers(-9, 9)), min_size=total, max_size=total))
+    sparse = draw(st.booleans())
+    value = {str(i): v for i, v in enumerate(cells) if v is not None or draw(st.booleans())} if sparse else cells
+    return {"id": ids, "size": sizes, "dimension": dims, "value": value}, orders
+
+
+def brute_decode(doc, orders):
+    sizes, ids = doc["size"], doc["id"]
+    items = ([(int(k), v) for k, v in doc["value"].items()] if isinstance(doc["value"], dict)
+             else [(i, v) for i, v in enumerate(doc["value"]) if v is not None])
+    out = []
+    for offset, v in items:
+        coords, rest = [], offset
+        for s in reversed(sizes):
+            coords.append(rest % s)
+            rest //= s
+        coords.reverse()
+        row = []
+        for name, idx, codes in zip(ids, coords, orders):
+            code = codes[idx]
+            row += [code, doc["dimension"][name]["category"]["label"].get(code, code)]
+        out.append(tuple(row) + (None if v is None else float(v),))
+    return sorted(out, key=lambda t: tuple((x is not None, x) for x in t))
+
+
+@SETTINGS
+@given(json_stat_docs())
+def test_json_stat_decode_matches_brute_force(spark, generated):
+    import json
+
+    doc, orders = generated
+    docs = spark.createDataFrame([("doc", json.dumps(doc))], "doc string, text string")
+    out = op.decode_json_stat(docs, doc["id"])
+    assert rows(out) == brute_decode(doc, orders)
