@@ -122,3 +122,28 @@ def test_json_stat_decode_matches_brute_force(spark, generated):
     docs = spark.createDataFrame([("doc", json.dumps(doc))], "doc string, text string")
     out = op.decode_json_stat(docs, doc["id"])
     assert rows(out) == brute_decode(doc, orders)
+
+
+def _element(values, p):
+    vals = sorted(v for v in values if v is not None)
+    if not vals:
+        return None
+    import math
+
+    return vals[max(0, math.ceil(p * len(vals)) - 1)]
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from([2020, 2021]), st.one_of(st.none(), st.integers(0, 6)),
+                          st.one_of(st.none(), st.integers(-3, 6))), min_size=1, max_size=30))
+def test_audit_signal_matches_brute_force(spark, data):
+    rows_in = [(f"J{i}", y, None if e is None else float(e), None if p is None else float(p)) for i, (y, e, p) in enumerate(data)]
+    df = spark.createDataFrame(rows_in, "id string, year int, employees double, profit_per_employee double")
+    got = {r["id"]: r["audit_signal"] for r in op.qualify_audit(df).collect()}
+    for rid, y, e, p in rows_in:
+        same = [r for r in rows_in if r[1] == y]
+        med, q3 = _element([r[2] for r in same], 0.5), _element([r[3] for r in same], 0.75)
+        a = None if e is None or med is None else e > med
+        b = None if p is None or q3 is None else p >= q3
+        want = False if (a is False or b is False) else (None if (a is None or b is None) else True)
+        assert got[rid] == want, (rid, e, p, med, q3)
