@@ -66,3 +66,13 @@ def test_table_and_csv_roundtrip(spark, scratch):
     c = scratch("csv_out")
     export_csv(df, c)
     assert rows(read_csv_export(spark, c, EFFECTIVE_VS_STATUTORY)) == rows(df)
+
+
+def test_byte_order_mark_in_header(spark, scratch):
+    import os
+
+    path = scratch("bom")
+    os.makedirs(path)
+    with open(f"{path}/part-0.csv", "wb") as f:
+        f.write("﻿Reference area,TIME_PERIOD\nPL,2020\n".encode("utf-8"))
+    assert read_labelled_csv(spark, path).columns == ["Reference area", "TIME_PERIOD"]
