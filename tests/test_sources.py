@@ -74,5 +74,5 @@ def test_byte_order_mark_in_header(spark, scratch):
     path = scratch("bom")
     os.makedirs(path)
     with open(f"{path}/part-0.csv", "wb") as f:
-        f.write("﻿Reference area,TIME_PERIOD\nPL,2020\n".encode("utf-8"))
+        f.write(b"\xef\xbb\xbfReference area,TIME_PERIOD\nPL,2020\n")
     assert read_labelled_csv(spark, path).columns == ["Reference area", "TIME_PERIOD"]
