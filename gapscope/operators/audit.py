@@ -87,10 +87,20 @@ def _checked(flags: DataFrame) -> DataFrame:
     return out
 
 
-def append_flags(spark: SparkSession, flags: DataFrame, path: str) -> None:
-    """Append rows to the log (created on first use); never rewrites history."""
-    init_audit_log(spark, path)
-    _checked(flags).write.mode("append").parquet(path)
+def append_flags(spark: SparkSession, flags: DataFrame, path: str, skip_existing: bool = True) -> None:
+    """Append rows to the log (created on first use); never rewrites history.
+
+    ``flag_id`` is the log's primary key: with ``skip_existing`` (default)
+    rows whose key is already logged are left out, so re-running a flagging
+    job (e.g. after a failure) does not duplicate flags. The check is an
+    anti-join against the log's keys; appending while reading the same
+    table is safe because an append only adds files at commit.
+    """
+    created = init_audit_log(spark, path)
+    rows = _checked(flags)
+    if skip_existing and not created:
+        rows = rows.join(read_audit_log(spark, path).select("flag_id"), "flag_id", "left_anti").select(*AUDIT_FLAGS.fieldNames())
+    rows.write.mode("append").parquet(path)
 
 
 def read_audit_log(spark: SparkSession, path: str) -> DataFrame:

@@ -40,9 +40,11 @@ def test_flag_log_create_if_absent_and_append(spark, scratch):
     at = dt.datetime(2026, 1, 1, 12, 0)
     flags = op.flag_filings(filings(spark), flagged_by="tester", flagged_at=at)
     op.append_flags(spark, flags, path)
-    op.append_flags(spark, flags, path)  # append only: history kept
+    op.append_flags(spark, flags, path)  # a re-run: flag_id is the key, nothing new
     log = op.read_audit_log(spark, path)
-    assert log.count() == 2  # only K (gap 7) is above 5pp; appended twice
+    assert log.count() == 1  # only K (gap 7) is above 5pp
+    op.append_flags(spark, flags, path, skip_existing=False)  # plain append keeps history
+    assert op.read_audit_log(spark, path).count() == 2
     assert {r["status"] for r in log.collect()} == {"OPEN"}
 
 
