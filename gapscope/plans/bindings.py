@@ -31,6 +31,7 @@ UNMATCHED_NATION = 3
 LANDED_AT_UTC = "2026-01-15T08:30:00Z"
 FLAGGED_AT_UTC = "2026-01-15T09:00:00Z"
 FLAGGED_BY = "rule:gap"
+RESTATED_AT_UTC = "2026-02-01T00:00:00Z"
 
 OBS = "decimal(38,6)"
 

@@ -241,6 +241,12 @@ ORACLE: dict[str, str] = {
                             "(partition by user_id, event_type order by ts desc nulls last, event_id desc) = 1",
     "snapshot_merge": "select * from events where ts is not null qualify row_number() over "
                       "(partition by user_id, event_type order by ts desc nulls last, event_id desc) = 1",
+    "partition_merge": _with("lng") + ", hi as (select max(year) as y from lng) "
+                       "select jurisdiction, counterpart_jurisdiction, measure, year, "
+                       "cast(obs_value as double) + case when year = hi.y then 1 else 0 end as obs_value, "
+                       f"case when year = hi.y then timestamp '{B.RESTATED_AT_UTC[:10]} {B.RESTATED_AT_UTC[11:19]}' "
+                       f"else timestamp '{B.LANDED_AT_UTC[:10]} {B.LANDED_AT_UTC[11:19]}' end as _ingested_at "
+                       "from lng, hi",
     "filter_keywords": "select p_partkey, p_name from part where contains(p_name, 'ring') or contains(p_name, 'widget')",
     "since_period": "select o_orderkey, o_custkey, cast(year(o_orderdate) as integer) as year from orders "
                     "where o_orderdate >= timestamp '2000-01-01'",

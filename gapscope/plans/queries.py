@@ -196,6 +196,27 @@ def q_snapshot_merge(spark, sf):
     return op.merge_into_snapshot(snapshot, late, EVENT_KEYS, "ts", tiebreak)
 
 
+def q_partition_merge(spark, sf):
+    from gapscope.plans.jobs import merge_late_job
+    from gapscope.sources import FACTS_CLEAN
+
+    facts = B.long_facts(spark, sf).select(
+        "jurisdiction", "counterpart_jurisdiction", "measure", "year",
+        F.col("obs_value").cast("double").alias("obs_value"),
+        F.to_timestamp(F.lit(B.LANDED_AT_UTC)).alias("_ingested_at"),
+    )
+    snapshot = scratch_path(spark, "snapshot")
+    write_table(facts, snapshot, partition_by=["year"])
+    stored = read_table(spark, snapshot, FACTS_CLEAN)
+    # a late restatement of the latest period, loaded after the snapshot
+    latest = stored.select(F.max("year")).scalar()
+    batch = stored.filter(F.col("year") == latest).withColumns(
+        {"obs_value": F.col("obs_value") + 1, "_ingested_at": F.to_timestamp(F.lit(B.RESTATED_AT_UTC))}
+    )
+    merge_late_job(spark, snapshot, batch)
+    return read_table(spark, snapshot, FACTS_CLEAN)
+
+
 # --- filters ---------------------------------------------------------------------
 
 
@@ -302,6 +323,7 @@ QUERIES: dict[str, Query] = {
     "late_arrival_split": q_late_arrival_split,
     "incremental_snapshot": q_incremental_snapshot,
     "snapshot_merge": q_snapshot_merge,
+    "partition_merge": q_partition_merge,
     "filter_keywords": q_filter_keywords,
     "since_period": q_since_period,
     "json_stat_decode": q_json_stat_decode,
