@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 from gapscope import labels as L
 from gapscope import operators as op
 from gapscope.plans import bindings as B
+from gapscope.plans.jobs import merge_late_job
 from gapscope.session import scratch_path
 from gapscope.sources import (
     EFFECTIVE_VS_STATUTORY,
+    FACTS_CLEAN,
     export_csv,
     read_csv_export,
     read_ingest_stamp,
@@ -197,9 +199,6 @@ def q_snapshot_merge(spark, sf):
 
 
 def q_partition_merge(spark, sf):
-    from gapscope.plans.jobs import merge_late_job
-    from gapscope.sources import FACTS_CLEAN
-
     facts = B.long_facts(spark, sf).select(
         "jurisdiction", "counterpart_jurisdiction", "measure", "year",
         F.col("obs_value").cast("double").alias("obs_value"),
