@@ -36,3 +36,21 @@ def test_lookback_cutoff_forms(spark):
 def test_since_period_defaults_to_first_period(spark):
     df = spark.createDataFrame([(2015,), (2016,), (2020,)], "year int")
     assert [r[0] for r in op.since_period(df).collect()] == [2016, 2020]
+
+
+def test_cluster_settings_scale_with_input():
+    from gapscope.session import cluster_settings
+
+    small = cluster_settings(10 << 30, executor_cores=4, executors=2)
+    big = cluster_settings(100 << 40, executor_cores=8, executors=1000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 40  # 10 GiB / 256 MiB
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
+    assert int(cluster_settings(1 << 20, 8, 1000)["spark.sql.shuffle.partitions"]) == 16000  # two waves minimum
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_classify_arrival_labels(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 23),), (dt.datetime(2024, 1, 22, 23, 59),), (None,)],
+                               "_ingested_at timestamp")
+    got = [r["arrival"] for r in op.classify_arrival(df, as_of="2024-01-30").collect()]
+    assert got == ["late", "on_time", None]
