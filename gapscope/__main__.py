@@ -66,7 +66,13 @@ def main(argv: list[str] | None = None) -> object:
     return jobs.init_flags_job(spark, a.path)
 
 
-if __name__ == "__main__":
+def cli() -> int:
+    """Console entry: run the job, print its result (if any) as JSON, exit 0."""
     result = main(sys.argv[1:])
     if result is not None:
         print(json.dumps(result, default=str))
+    return 0
+
+
+if __name__ == "__main__":
+    sys.exit(cli())
