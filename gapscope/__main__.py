@@ -1,6 +1,6 @@
 """Command line for the batch jobs, e.g. under spark-submit.
 
-    spark-submit -m gapscope clean-facts  --landing s3://.../facts_raw --out s3://.../facts
+    spark-submit --py-files gapscope.zip gapscope/__main__.py clean-facts --landing .../facts_raw --out .../facts
     python -m gapscope report --facts .../facts --rates .../rates --out .../report
 
 The session comes from the environment (``SparkSession.builder.getOrCreate``),
