@@ -73,3 +73,18 @@ def test_encode_decode_identity_on_driver_tables(spark):
         F.col("year").cast("string").alias("time"), F.col("year").cast("string").alias("time_label"),
         F.col("n").alias("obs_value"))
     assert rows(decoded) == rows(expected)
+
+
+def test_single_named_document_file(spark, scratch):
+    import os
+
+    from gapscope.sources import read_json_stat_documents
+
+    folder = scratch("raw_ratio")
+    os.makedirs(folder)
+    path = f"{folder}/tax_gdp_raw.json"
+    with open(path, "w") as f:
+        json.dump({"id": ["a"], "size": [2], "dimension": {"a": DIMS["a"]}, "value": [1.5, None]}, f)
+    docs = read_json_stat_documents(spark, path)
+    assert docs.count() == 1 and docs.first()["doc"].endswith("tax_gdp_raw.json")
+    assert rows(op.decode_json_stat(docs), "a", "obs_value") == [("x", 1.5)]
