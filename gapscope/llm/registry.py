@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from gapscope.llm import mixing
+from gapscope.llm import mixing, secrets
 
-_MODULES = (mixing,)
+_MODULES = (mixing, secrets)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in getattr(module, "ORACLE", {}).items()}
