@@ -34,3 +34,21 @@ def let(value: Column, body) -> Column:
     again for each element; a lambda variable is not.
     """
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def with_columns(batch, columns: dict):
+    """The Arrow batch with ``columns`` after its own; columns of those names are replaced."""
+    import pyarrow as pa
+
+    kept = [n for n in batch.schema.names if n not in columns]
+    return pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(n)) for n in kept] + list(columns.values()), names=kept + list(columns))
+
+
+def labelled_sample(labels: DataFrame, key: str, label: str, rows: int) -> DataFrame:
+    """(key, label) of at most ``rows`` rows labelled 0 or 1, chosen by the key's hash: the same on every run.
+
+    A key with contradicting labels counts as 1. The result is small by its
+    bound, whatever the table's size.
+    """
+    one = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(key).agg(F.max(label).cast("int").alias("_label"))
+    return one.orderBy(F.xxhash64(key), key).limit(rows)

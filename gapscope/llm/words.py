@@ -98,21 +98,7 @@ class Words:
 
     def hashes(self, lower: bool = False) -> np.ndarray:
         """A 64-bit hash of each word: the same in every batch and process."""
-        out = np.empty(len(self.starts), np.uint64)
-        at = 0
-        while at < len(self.starts):
-            to = max(at + 1, int(np.searchsorted(self.ends, self.starts[at] + _PIECE)))
-            low, high = int(self.starts[at]), int(self.ends[to - 1])
-            data = self.texts.data[low:high]
-            starts, sizes = self.starts[at:to] - low, self.ends[at:to] - self.starts[at:to]
-            place = np.arange(high - low) - np.repeat(starts, np.diff(np.append(starts, high - low)))
-            value = _BYTE[LOWER[data] if lower else data] * _POWER[place & (_BLOCK - 1)]
-            if sizes.max() > _BLOCK:
-                value *= (place >> 12).astype(np.uint64) * _ODD | np.uint64(1)
-            value[place >= np.repeat(sizes, np.diff(np.append(starts, high - low)))] = 0
-            out[at:to] = np.add.reduceat(value, starts)
-            at = to
-        return mix64(out + (self.ends - self.starts).astype(np.uint64) * _ODD)
+        return segment_hashes(self.texts.data, self.starts, self.ends, lower)
 
     def windows(self, size: int) -> np.ndarray:
         """Indexes of the words that begin a window of ``size`` words of one text."""
@@ -126,6 +112,25 @@ class Words:
         return lead[self.texts.offsets[1:]] - lead[self.texts.offsets[:-1]]
 
 
+def segment_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
+    """A 64-bit hash of each ``data[start:end]``; segments are in order, not empty, and do not overlap."""
+    out = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        to = max(at + 1, int(np.searchsorted(ends, starts[at] + _PIECE)))
+        low, high = int(starts[at]), int(ends[to - 1])
+        piece, begin, sizes = data[low:high], starts[at:to] - low, ends[at:to] - starts[at:to]
+        reach = np.diff(np.append(begin, high - low))
+        place = np.arange(high - low) - np.repeat(begin, reach)
+        value = _BYTE[LOWER[piece] if lower else piece] * _POWER[place & (_BLOCK - 1)]
+        if sizes.max() > _BLOCK:
+            value *= (place >> 12).astype(np.uint64) * _ODD | np.uint64(1)
+        value[place >= np.repeat(sizes, reach)] = 0
+        out[at:to] = np.add.reduceat(value, begin)
+        at = to
+    return mix64(out + (ends - starts).astype(np.uint64) * _ODD)
+
+
 def sequence_hashes(word_hashes: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
     """64-bit hashes of the ``size``-word sequences that begin at ``at``; order matters."""
     h = np.full(len(at), np.uint64(size), np.uint64)
@@ -150,6 +155,18 @@ def repeated(keys: np.ndarray) -> np.ndarray:
     return twice[at] == keys
 
 
+def lines_with_words(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, text) of the lines, split at line feeds, that hold a word."""
+    data, offsets = texts.data, texts.offsets
+    cuts = np.flatnonzero(data == 0x0A)
+    edges = np.unique(np.concatenate([offsets, cuts, cuts + 1]))
+    starts, ends = edges[:-1], edges[1:]
+    words = np.concatenate([[0], np.cumsum(_IN_WORD[data])])
+    some = words[ends] > words[starts]
+    starts, ends = starts[some], ends[some]
+    return starts, ends, np.searchsorted(offsets, starts, "right") - 1
+
+
 def in_text(keys: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """Keys made different between texts."""
     return mix64(keys ^ mix64(doc.astype(np.uint64) * _ODD + _MIX1))
