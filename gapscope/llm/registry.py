@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from gapscope.llm import mixing, quality_rules, secrets
+from gapscope.llm import mixing, quality_rules, quality_votes, secrets
 
-_MODULES = (mixing, quality_rules, secrets)
+_MODULES = (quality_votes, quality_rules, secrets, mixing)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in getattr(module, "ORACLE", {}).items()}
