@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from gapscope.llm import jaccard_join, mixing, quality_rules, quality_votes, secrets
+from gapscope.llm import jaccard_join, mixing, piece_stream, quality_rules, quality_votes, secrets, token_counts
 
-_MODULES = (quality_votes, jaccard_join, quality_rules, secrets, mixing)
+_MODULES = (quality_votes, piece_stream, jaccard_join, token_counts, quality_rules, secrets, mixing)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in getattr(module, "ORACLE", {}).items()}
