@@ -2,9 +2,20 @@
 
 from __future__ import annotations
 
-from gapscope.llm import jaccard_join, mixing, piece_stream, posting_lists, quality_rules, quality_votes, secrets, token_counts
+from gapscope.llm import (
+    chat_views,
+    html_extract,
+    jaccard_join,
+    mixing,
+    piece_stream,
+    posting_lists,
+    quality_rules,
+    quality_votes,
+    secrets,
+    token_counts,
+)
 
-_MODULES = (quality_votes, piece_stream, jaccard_join, token_counts, quality_rules, secrets, posting_lists, mixing)
+_MODULES = (quality_votes, chat_views, html_extract, piece_stream, jaccard_join, token_counts, quality_rules, secrets, posting_lists, mixing)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in getattr(module, "ORACLE", {}).items()}
