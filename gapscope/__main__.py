@@ -27,6 +27,9 @@ def _parser() -> argparse.ArgumentParser:
         s = sub.add_parser(name)
         s.add_argument("--landing", required=True)
         s.add_argument("--out", required=True)
+        if name == "clean-facts":
+            s.add_argument("--first-year", type=int, default=None)
+            s.add_argument("--counts", default=None, help="folder for the row counts of the steps")
     s = sub.add_parser("clean-ratio")
     s.add_argument("--documents", required=True)
     s.add_argument("--out", required=True)
@@ -42,6 +45,11 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--facts", required=True)
     s.add_argument("--rates", required=True)
     s.add_argument("--out", required=True)
+    s.add_argument("--fail-on-quality", action="store_true")
+    s = sub.add_parser("flag")
+    s.add_argument("--filings", required=True)
+    s.add_argument("--log", required=True)
+    s.add_argument("--flagged-by", default="rule")
     s = sub.add_parser("init-flags")
     s.add_argument("--path", required=True)
     return p
@@ -51,7 +59,7 @@ def main(argv: list[str] | None = None) -> object:
     a = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"gapscope-{a.job}").getOrCreate()
     if a.job == "clean-facts":
-        return jobs.clean_facts_job(spark, a.landing, a.out)
+        return jobs.clean_facts_job(spark, a.landing, a.out, a.first_year, a.counts)
     if a.job == "clean-rates":
         return jobs.clean_rates_job(spark, a.landing, a.out)
     if a.job == "clean-ratio":
@@ -62,7 +70,9 @@ def main(argv: list[str] | None = None) -> object:
         batch = spark.read.schema(FACTS_CLEAN).parquet(a.batch)
         return jobs.merge_late_job(spark, a.snapshot, batch)
     if a.job == "report":
-        return jobs.report_job(spark, a.facts, a.rates, a.out)
+        return jobs.report_job(spark, a.facts, a.rates, a.out, a.fail_on_quality)
+    if a.job == "flag":
+        return jobs.flag_job(spark, a.filings, a.log, a.flagged_by)
     return jobs.init_flags_job(spark, a.path)
 
 

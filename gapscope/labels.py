@@ -45,12 +45,12 @@ RATE_NOT_NULL = ["jurisdiction", "year", "tax_rate"]
 TAX_CATEGORY_KEYWORDS = ["Total receipts from taxes"]
 UNIT_OF_MEASURE_KEYWORDS = ["Percentage of gross domestic product"]
 
-# --- fixed values: messages -------------------------------------------------
-MISSING_COLUMNS_MESSAGE = "Expected columns not found: {missing}. Available columns: {available}"
+# --- our own wording ----------------------------------------------------------
+MISSING_COLUMNS_MESSAGE = "The landing lacks the columns {missing}; it has {available}"
+GAP_FLAG_REASON = "statutory rate exceeds the effective rate by over five points"
 
 # --- fixed values: constants ----------------------------------------------
 LOOKBACK_DAYS = 7
 FIRST_PERIOD = 2016
 GAP_FLAG_THRESHOLD = 5.0
-GAP_FLAG_REASON = "effective rate more than 5pp below statutory rate"
 FLAG_STATUS_OPEN = "OPEN"

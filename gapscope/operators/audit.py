@@ -1,10 +1,9 @@
 """Audit signals, the append-only audit-flag log, and the filing links.
 
 Per-year thresholds are computed with ``groupBy(year)`` + ``percentile_approx``
-(mergeable sketches, partial aggregation before the shuffle) and joined
-back, instead of a window over ``partitionBy(year)`` that would hold a
-whole year in one task. The threshold table has one row per year; AQE sees
-its real size and broadcasts it only when it is small.
+(mergeable sketches, partial aggregation before the shuffle), instead of a
+window over ``partitionBy(year)`` that would hold a whole year in one task.
+Filings look them up in a map with one entry per year.
 """
 
 from __future__ import annotations
@@ -44,11 +43,16 @@ def qualify_audit(merged: DataFrame, accuracy: int = DEFAULT_ACCURACY) -> DataFr
     """Every filing with its year's thresholds and ``audit_signal``.
 
     Signal: employees above the year median AND profit per employee at or
-    above the year's upper quartile (three-valued: null stays null).
+    above the year's upper quartile (three-valued: null stays null). The
+    thresholds are one value, a map by year, so the filings are not
+    shuffled; it has as many entries as there are years.
     """
     th = year_percentiles(merged, accuracy=accuracy)
-    joined = merged.join(th, merged["year"].eqNullSafe(th["year"]), "left").drop(th["year"])
-    return joined.withColumn(
+    names = [c for c in th.columns if c != "year"]
+    year = F.coalesce(F.col("year").cast("string"), F.lit(""))
+    by_year = th.agg(F.map_from_entries(F.collect_list(F.struct(year, F.struct(*names)))).alias("m")).scalar()
+    found = merged.withColumn("_th", F.try_element_at(by_year, year))
+    return found.select(*merged.columns, *[F.col(f"_th.{n}").alias(n) for n in names]).withColumn(
         "audit_signal",
         (F.col("employees") > F.col("median_employees_year"))
         & (F.col("profit_per_employee") >= F.col("q3_profit_per_employee_year")),
@@ -91,13 +95,18 @@ def append_flags(spark: SparkSession, flags: DataFrame, path: str, skip_existing
     """Append rows to the log (created on first use); never rewrites history.
 
     ``flag_id`` is the log's primary key: with ``skip_existing`` (default)
-    rows whose key is already logged are left out, so re-running a flagging
-    job (e.g. after a failure) does not duplicate flags. The check is an
+    the earliest row of each key is taken from the batch, and keys already
+    logged are left out, so re-running a flagging job (e.g. after a failure)
+    does not duplicate flags. The check is an
     anti-join against the log's keys; appending while reading the same
     table is safe because an append only adds files at commit.
     """
     created = init_audit_log(spark, path)
     rows = _checked(flags)
+    if skip_existing:
+        rest = [c for c in AUDIT_FLAGS.fieldNames() if c not in ("flag_id", "flagged_at")]
+        first = F.min(F.struct("flagged_at", *rest)).alias("row")
+        rows = rows.groupBy("flag_id").agg(first).select(*[F.col("flag_id") if c == "flag_id" else F.col(f"row.{c}") for c in AUDIT_FLAGS.fieldNames()])
     if skip_existing and not created:
         rows = rows.join(read_audit_log(spark, path).select("flag_id"), "flag_id", "left_anti").select(*AUDIT_FLAGS.fieldNames())
     rows.write.mode("append").parquet(path)

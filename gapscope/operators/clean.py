@@ -18,11 +18,11 @@ from gapscope.sources.csv import require_columns
 def select_rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     """Keep the mapped source columns, renamed; error names missing/available.
 
-    A frame that already carries the clean names passes through unchanged
-    apart from the selection.
+    A frame that carries the clean names and none of the source labels
+    passes through unchanged apart from the selection.
     """
     cols = df.columns
-    if all(new in cols for new in mapping.values()) and not all(lab in cols for lab in mapping):
+    if all(new in cols for new in mapping.values()) and not any(lab in cols for lab in mapping):
         return df.select(*mapping.values())
     require_columns(cols, mapping.keys())
     return df.select(*[F.col(f"`{lab}`").alias(new) for lab, new in mapping.items()])

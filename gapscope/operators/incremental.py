@@ -15,11 +15,16 @@ from gapscope.operators.clean import dedup_latest
 AsOf = str | _dt.date | Column | None
 
 
+def _sides(ts: str, as_of: AsOf, lookback_days: int) -> tuple[Column, Column]:
+    """(on time, late): plain comparisons with the start of the cutoff day, which a scan can push down."""
+    start = lookback_cutoff(as_of, lookback_days).cast("timestamp")
+    return F.col(ts) < start, F.col(ts) >= start
+
+
 def _arrival(ts: str, as_of: AsOf, lookback_days: int) -> Column:
-    day = F.to_date(F.col(ts))
-    cutoff = lookback_cutoff(as_of, lookback_days)
+    on_time, late = _sides(ts, as_of, lookback_days)
     # a null load time is on neither side
-    return F.when(day >= cutoff, F.lit("late")).when(day < cutoff, F.lit("on_time"))
+    return F.when(late, F.lit("late")).when(on_time, F.lit("on_time"))
 
 
 def classify_arrival(df: DataFrame, ts: str = "_ingested_at", as_of: AsOf = None,
@@ -30,9 +35,9 @@ def classify_arrival(df: DataFrame, ts: str = "_ingested_at", as_of: AsOf = None
 
 def late_arrival_split(df: DataFrame, ts: str = "_ingested_at", as_of: AsOf = None,
                        lookback_days: int = L.LOOKBACK_DAYS) -> tuple[DataFrame, DataFrame]:
-    """``(on_time, late)`` as two filtered frames (both push down to the scan)."""
-    a = _arrival(ts, as_of, lookback_days)
-    return df.filter(a == "on_time"), df.filter(a == "late")
+    """``(on_time, late)`` as two filtered frames; with a literal ``as_of`` both filters reach the scan."""
+    on_time, late = _sides(ts, as_of, lookback_days)
+    return df.filter(on_time), df.filter(late)
 
 
 def late_arrival_counts(df: DataFrame, ts: str = "_ingested_at", as_of: AsOf = None,
@@ -49,14 +54,16 @@ def incremental_snapshot(
     as_of: AsOf = None,
     lookback_days: int = L.LOOKBACK_DAYS,
     tiebreak: Sequence[Column] | None = None,
+    arrival: str | None = None,
 ) -> DataFrame:
     """On-time rows union late rows, then the latest row per key.
 
     The two sides are complementary, so their union is every row whose load
-    day is known: one filtered scan instead of two scans and a union.
+    time is known: one filtered scan, whatever the cutoff. ``arrival`` names
+    a column that tells each kept row's side.
     """
-    known = df.filter(_arrival(ts, as_of, lookback_days).isNotNull())
-    return dedup_latest(known, keys, ts, tiebreak)
+    latest = dedup_latest(df.filter(F.col(ts).isNotNull()), keys, ts, tiebreak)
+    return classify_arrival(latest, ts, as_of, lookback_days, arrival) if arrival else latest
 
 
 def merge_into_snapshot(
@@ -66,5 +73,10 @@ def merge_into_snapshot(
     ts: str = "_ingested_at",
     tiebreak: Sequence[Column] | None = None,
 ) -> DataFrame:
-    """Union a batch of (possibly late) rows into the current snapshot by name; latest wins."""
-    return dedup_latest(snapshot.unionByName(batch, allowMissingColumns=True), keys, ts, tiebreak)
+    """Union a batch of (possibly late) rows into the current snapshot by name; latest wins.
+
+    As in ``incremental_snapshot``, batch rows without a load time take no
+    part; rows that are in the snapshot already stay.
+    """
+    arrived = batch.filter(F.col(ts).isNotNull())
+    return dedup_latest(snapshot.unionByName(arrived, allowMissingColumns=True), keys, ts, tiebreak)

@@ -46,27 +46,29 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None, exact_di
 
     ``year_like``/``value_like`` are the lower-cased name searches
     ('period'/'time', 'obs'/'value'). Min and max are typed, shown as text.
-    Exact distinct counts make Spark expand each row once per column before
-    the shuffle; on very wide or very large inputs ``exact_distinct=False``
-    uses HyperLogLog sketches instead (one pass, partial aggregation, about
+    Counts, nulls and bounds are one aggregation. Exact distinct counts
+    unpivot the table to (position, value) and count in two steps, so what
+    is shuffled is one narrow pair per distinct value of a task;
+    ``exact_distinct=False`` uses HyperLogLog sketches in the one pass (about
     2% error).
     """
     columns = list(columns or df.columns)
     aggs = [F.count(F.lit(1)).alias("n")]
     for i, c in enumerate(columns):
         col = F.col(f"`{c}`")
-        aggs += [
-            F.count_if(col.isNull()).alias(f"z{i}"),
-            (F.count_distinct(col) if exact_distinct else F.approx_count_distinct(col)).alias(f"d{i}"),
-            F.min(col).cast("string").alias(f"lo{i}"),
-            F.max(col).cast("string").alias(f"hi{i}"),
-        ]
-    parts = ", ".join(f"{_lit_sql(c)}, {i}, n, z{i}, d{i}, lo{i}, hi{i}" for i, c in enumerate(columns))
+        aggs += [F.count_if(col.isNull()).alias(f"z{i}"), F.min(col).cast("string").alias(f"lo{i}"), F.max(col).cast("string").alias(f"hi{i}")]
+        if not exact_distinct:
+            aggs.append(F.approx_count_distinct(col).alias(f"d{i}"))
+    parts = ", ".join(f"{_lit_sql(c)}, {i}, n, z{i}, {'-1L' if exact_distinct else f'd{i}'}, lo{i}, hi{i}" for i, c in enumerate(columns))
     prof = df.agg(*aggs).selectExpr(
         f"stack({len(columns)}, {parts}) as (column_name, position, n_rows, n_null, n_distinct, min_value, max_value)"
     )
+    if exact_distinct:
+        pairs = F.inline(F.array(*[F.struct(F.lit(i).alias("position"), F.col(f"`{c}`").cast("string").alias("value")) for i, c in enumerate(columns)]))
+        seen = df.select(pairs).where("value is not null").distinct().groupBy("position").agg(F.count("*").alias("d"))
+        prof = prof.join(seen, "position", "left").withColumn("n_distinct", F.coalesce("d", F.lit(0).cast("long"))).drop("d")
     name = F.lower(F.col("column_name"))
-    return prof.withColumns(
+    return prof.select("column_name", "position", "n_rows", "n_null", "n_distinct", "min_value", "max_value").withColumns(
         {
             "position": F.col("position").cast("int"),
             "year_like": name.contains("period") | name.contains("time"),
@@ -76,13 +78,16 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None, exact_di
 
 
 def sample_values(df: DataFrame, columns: Sequence[str] | None = None, n: int = 10) -> DataFrame:
-    """First ``n`` rows' values per column, as text (a quick look, like a file head).
+    """First ``n`` rows' values per column, as text, nulls included (a quick look, like a file head).
 
     Reads at most ``n`` rows (``limit`` stops the scan early), so the arrays
     are bounded by ``n``. Which rows come first is up to the scan order.
     """
     columns = list(columns or df.columns)
-    head = df.limit(n).agg(*[F.collect_list(F.col(f"`{c}`").cast("string")).alias(f"s{i}") for i, c in enumerate(columns)])
+    # wrapped in a struct, as collect_list leaves bare nulls out
+    text = [F.when(F.col(f"`{c}`").isNotNull(), F.col(f"`{c}`").cast("string")) for c in columns]
+    values = [F.collect_list(F.struct(v.alias("v"))) for v in text]
+    head = df.limit(n).agg(*[F.transform(v, lambda x: x["v"]).alias(f"s{i}") for i, v in enumerate(values)])
     parts = ", ".join(f"{_lit_sql(c)}, s{i}" for i, c in enumerate(columns))
     return head.selectExpr(f"stack({len(columns)}, {parts}) as (column_name, sample_values)")
 

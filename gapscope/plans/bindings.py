@@ -65,9 +65,9 @@ def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     any amount with at most two decimals, at a quarter of the cost, since a
     double-to-decimal cast formats every value as text), then carried as
     scaled longs (revenue in 1e-4, tax in 1e-6). The per-line work and both
-    aggregations stay on primitive longs inside codegen; long sums fail
-    loudly on overflow (ANSI), they never wrap. Only the reduced sums become
-    ``decimal(38,6)``.
+    first aggregation stay on primitive longs inside codegen; a long sum
+    fails on overflow (ANSI), it never wraps. The sums per supplier are added
+    up as ``decimal(38,0)``, so totals have no such limit.
 
     Plan: orders join customers (shuffled on the customer key; AQE splits a
     hot customer), then lineitem joins that on the order key (lineitem is
@@ -101,15 +101,16 @@ per_supplier as (
   group by c_nationkey, l_suppkey, year),
 w as (
   select c_nationkey, s_nationkey, year,
-         sum(p4) as p4, sum(t6) as t6, sum(e) as e, sum(r4) as r4, count(1) as m
+         sum(cast(p4 as decimal(38,0))) as p4, sum(cast(t6 as decimal(38,0))) as t6, sum(e) as e,
+         sum(cast(r4 as decimal(38,0))) as r4, count(1) as m
   from per_supplier join {supplier} on l_suppkey = s_suppkey
   group by c_nationkey, s_nationkey, year)
 select cn.n_name as jurisdiction, sn.n_name as counterpart_jurisdiction, year,
-       cast(cast(p4 as decimal(38,0)) / 10000 as decimal(38,6)) as p,
-       cast(cast(t6 as decimal(38,0)) / 1000000 as decimal(38,6)) as t,
+       cast(p4 / 10000 as decimal(38,6)) as p,
+       cast(t6 / 1000000 as decimal(38,6)) as t,
        cast(e as decimal(38,6)) as e,
        cast(m as decimal(38,6)) as m,
-       cast(cast(r4 as decimal(38,0)) / 10000 as decimal(38,6)) as r
+       cast(r4 / 10000 as decimal(38,6)) as r
 from w
 join {nation} cn on w.c_nationkey = cn.n_nationkey
 join {nation} sn on w.s_nationkey = sn.n_nationkey

@@ -15,26 +15,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gapscope import labels as L
-from gapscope.operators.audit import init_audit_log
-from gapscope.operators.clean import clean_facts, clean_rates
+from gapscope.operators.audit import append_flags, flag_filings, init_audit_log
+from gapscope.operators.clean import clean_facts, clean_rates, clean_step_counts
 from gapscope.operators.incremental import incremental_snapshot, merge_into_snapshot
 from gapscope.operators.json_stat import clean_ratio, decode_json_stat
+from gapscope.operators.quality import default_rules, quality_rules, since_period
 from gapscope.plans.report import run_report
 from gapscope.session import scratch_root
 from gapscope.sources.csv import read_ingest_stamp, read_labelled_csv
 from gapscope.sources.json_stat import read_json_stat_documents
-from gapscope.sources.schemas import FACTS_CLEAN, RATES_CLEAN
-from gapscope.sources.tables import path_exists, read_table, write_table
+from gapscope.sources.schemas import EFFECTIVE_VS_STATUTORY, FACTS_CLEAN, RATES_CLEAN
+from gapscope.sources.tables import clustered, path_exists, read_table, write_table
 
 
-def clean_facts_job(spark: SparkSession, landing: str, out: str) -> None:
+#: Partitions that one merge may rewrite.
+MOST_PARTITIONS = 10_000
+
+
+def clean_facts_job(spark: SparkSession, landing: str, out: str, first_year: int | None = None, counts: str | None = None) -> None:
     """Labelled fact CSV (+ optional ``_ingest_metadata.json``) -> clean facts, partitioned by year.
 
     Without a side file the load is stamped with the job's start time.
+    ``first_year`` keeps rows from that year on; ``counts`` is a folder for
+    the row counts of the cleaning steps.
     """
     stamp = read_ingest_stamp(spark, landing) if path_exists(spark, f"{landing.rstrip('/')}/_ingest_metadata.json") else None
-    facts = clean_facts(read_labelled_csv(spark, landing, select=L.FACT_COLUMNS), ingested_at=stamp)
-    write_table(facts, out, partition_by=["year"])
+    raw = read_labelled_csv(spark, landing, select=L.FACT_COLUMNS)
+    facts = clean_facts(raw, ingested_at=stamp)
+    write_table(facts if first_year is None else since_period(facts, "year", first_year), out, partition_by=["year"])
+    if counts:
+        write_table(clean_step_counts(raw), counts)
 
 
 def clean_rates_job(spark: SparkSession, landing: str, out: str) -> None:
@@ -45,6 +55,8 @@ def clean_rates_job(spark: SparkSession, landing: str, out: str) -> None:
 def clean_ratio_job(spark: SparkSession, documents: str, out: str) -> None:
     """JSON-stat documents -> ``(jurisdiction, jurisdiction_name, year, tax_to_gdp_ratio)``."""
     write_table(clean_ratio(decode_json_stat(read_json_stat_documents(spark, documents))), out)
+    if spark.read.parquet(out).isEmpty():
+        raise ValueError(f"no ratio row came out of the documents in {documents}")
 
 
 def snapshot_job(
@@ -77,24 +89,47 @@ def merge_late_job(
     lost executor does not re-read half-overwritten files. Returns the
     partition values rewritten.
     """
-    touched = [r[0] for r in batch.select(partition_col).distinct().collect()]
+    touched = [r[0] for r in batch.filter(F.col(ts).isNotNull()).select(partition_col).distinct().limit(MOST_PARTITIONS + 1).collect()]
+    if len(touched) > MOST_PARTITIONS:
+        raise ValueError(f"the batch touches over {MOST_PARTITIONS} partitions of {partition_col}: merge it in parts")
     if not touched:
         return []
-    current = read_table(spark, snapshot, FACTS_CLEAN).filter(F.col(partition_col).isin(touched))
+    known = [v for v in touched if v is not None]
+    # the null partition is rewritten too if the batch has such rows, so it has to be read
+    of_batch = F.coalesce(F.col(partition_col).isin(known), F.lit(None in touched))
+    current = read_table(spark, snapshot, FACTS_CLEAN).filter(of_batch)
     scratch_root(spark)
     merged = merge_into_snapshot(current, batch.select(*current.columns), keys, ts).checkpoint(eager=True)
     (
-        merged.write.mode("overwrite")
+        clustered(merged, [partition_col]).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col)
         .parquet(snapshot)
     )
-    return sorted(touched)
+    return sorted(touched, key=lambda v: (v is not None, v))
 
 
-def report_job(spark: SparkSession, facts: str, rates: str, out_dir: str) -> dict[str, str]:
-    """Clean facts + clean rates -> the five report tables (see ``plans.report``)."""
-    return run_report(spark, read_table(spark, facts, FACTS_CLEAN), read_table(spark, rates, RATES_CLEAN), out_dir)
+def report_job(spark: SparkSession, facts: str, rates: str, out_dir: str, fail_on_quality: bool = False) -> dict[str, str]:
+    """Clean facts + clean rates -> the five report tables and the counts of the quality rules.
+
+    ``fail_on_quality`` raises, after everything is written, if a filing
+    breaks a rule.
+    """
+    paths = run_report(spark, read_table(spark, facts, FACTS_CLEAN), read_table(spark, rates, RATES_CLEAN), out_dir)
+    filings = spark.read.parquet(paths["effective_vs_statutory"])
+    rules = {name: rule for name, rule in default_rules().items() if "revenue" not in name}
+    paths["quality_rules"] = f"{out_dir.rstrip('/')}/quality_rules"
+    write_table(quality_rules(filings, rules), paths["quality_rules"])
+    broken = spark.read.parquet(paths["quality_rules"]).where("n_fail > 0")
+    if fail_on_quality and not broken.isEmpty():
+        raise ValueError(f"filings break quality rules: {[tuple(r) for r in broken.select('rule', 'n_fail').collect()]}")
+    return paths
+
+
+def flag_job(spark: SparkSession, filings: str, log: str, flagged_by: str = "rule", reason: str = L.GAP_FLAG_REASON) -> None:
+    """Flag the filings of a stored merged table whose gap is over the threshold; a re-run adds nothing."""
+    merged = read_table(spark, filings, EFFECTIVE_VS_STATUTORY)
+    append_flags(spark, flag_filings(merged, reason=reason, flagged_by=flagged_by), log)
 
 
 def init_flags_job(spark: SparkSession, path: str) -> bool:

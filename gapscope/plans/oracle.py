@@ -107,7 +107,9 @@ _CTES = {
          cast(count(*) as double) as obs_value
   from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
   group by all)""",
-    "lb": """lb as (select max(cast(ts as date)) - 7 as cutoff from events)""",
+    "lb": """lb as (select date '2024-01-23' as cutoff)""",
+    "arriving": """arriving as (
+  select event_id, case when event_id % 7 <> 3 then ts end as ts, user_id, event_type, value, props from events)""",
 }
 
 _DEPS = {
@@ -237,16 +239,20 @@ ORACLE: dict[str, str] = {
     "late_arrival_split": _with("lb") + "select coalesce(case when cast(ts as date) >= cutoff then 'late' "
                           "when cast(ts as date) < cutoff then 'on_time' end, 'no_timestamp') as arrival, "
                           "count(*) as n_rows from events, lb group by 1",
-    "incremental_snapshot": "select * from events where ts is not null qualify row_number() over "
-                            "(partition by user_id, event_type order by ts desc nulls last, event_id desc) = 1",
-    "snapshot_merge": "select * from events where ts is not null qualify row_number() over "
-                      "(partition by user_id, event_type order by ts desc nulls last, event_id desc) = 1",
-    "partition_merge": _with("lng") + ", hi as (select max(year) as y from lng) "
+    "incremental_snapshot": _with("arriving") + "select *, case when ts >= timestamp '2024-01-23' then 'late' else 'on_time' end as arrival "
+                            "from arriving where ts is not null qualify row_number() over "
+                            "(partition by user_id, event_type order by ts desc, event_id desc) = 1",
+    "snapshot_merge": _with("arriving") + "select event_id, ts, user_id, event_type, value + case when ts >= timestamp '2024-01-23' then 1000 else 0 end as value, props "
+                      "from arriving where ts is not null qualify row_number() over "
+                      "(partition by user_id, event_type order by ts desc, event_id desc) = 1",
+    "partition_merge": _with("lng") + ", hi as (select max(year) as y from lng where jurisdiction <> 'NATION_5'), "
+                       "stored as (select jurisdiction, counterpart_jurisdiction, measure, "
+                       "case when jurisdiction <> 'NATION_5' then year end as year, cast(max(obs_value) as double) as v from lng group by 1, 2, 3, 4) "
                        "select jurisdiction, counterpart_jurisdiction, measure, year, "
-                       "cast(obs_value as double) + case when year = hi.y then 1 else 0 end as obs_value, "
-                       f"case when year = hi.y then timestamp '{B.RESTATED_AT_UTC[:10]} {B.RESTATED_AT_UTC[11:19]}' "
+                       f"v + case when year = hi.y or (year is null and measure = {TAXP}) then 1 else 0 end as obs_value, "
+                       f"case when year = hi.y or (year is null and measure = {TAXP}) then timestamp '{B.RESTATED_AT_UTC[:10]} {B.RESTATED_AT_UTC[11:19]}' "
                        f"else timestamp '{B.LANDED_AT_UTC[:10]} {B.LANDED_AT_UTC[11:19]}' end as _ingested_at "
-                       "from lng, hi",
+                       "from stored, hi",
     "filter_keywords": "select p_partkey, p_name from part where contains(p_name, 'ring') or contains(p_name, 'widget')",
     "since_period": "select o_orderkey, o_custkey, cast(year(o_orderdate) as integer) as year from orders "
                     "where o_orderdate >= timestamp '2000-01-01'",
@@ -263,6 +269,15 @@ ORACLE: dict[str, str] = {
                               "stat.jurisdiction, stat.year, stat.statutory_rate from stat "
                               "join dim on stat.jurisdiction = dim.jurisdiction",
     "flag_filings": _with("flags") + "select * from flags",
+    "report_outputs": _with("mg", "th", "dim", "stat") + "select 'effective_vs_statutory' as output, jurisdiction, year from mg union all "
+                      "(select 'top10_gap', jurisdiction, year from mg order by gap_statutory_minus_effective desc nulls last, jurisdiction, year limit 10) union all "
+                      "select 'audit_candidates', mg.jurisdiction, mg.year from mg join th on mg.year = th.year "
+                      "where employees > median_employees_year and profit_per_employee >= q3_profit_per_employee_year union all "
+                      "select 'jurisdictions_dim', jurisdiction, null from dim union all select 'tax_rates_with_id', jurisdiction, year from stat",
+    "sample_values": "with first as (select * from events order by event_id limit 6) "
+                     "select 'event_id' as column_name, string_agg(cast(event_id as varchar), ',' order by event_id) as sample_values from first union all "
+                     "select 'event_type', string_agg(event_type, ',' order by event_id) from first union all "
+                     "select 'value', string_agg(case when event_id % 3 <> 1 then cast(value as varchar) else 'null' end, ',' order by event_id) from first",
     "measure_listing": _with("lng", "rates") + "select distinct 'facts' as source, measure from lng where measure is not null "
                        "union select distinct 'rates', measure from rates where measure is not null",
     "year_range": _with("lng", "rates") + "select 'facts' as source, min(year) as min_year, max(year) as max_year from lng "

@@ -16,6 +16,7 @@ from gapscope import labels as L
 from gapscope import operators as op
 from gapscope.plans import bindings as B
 from gapscope.plans.jobs import merge_late_job
+from gapscope.plans.report import OUTPUTS, run_report
 from gapscope.session import scratch_path
 from gapscope.sources import (
     EFFECTIVE_VS_STATUTORY,
@@ -32,9 +33,13 @@ from gapscope.sources import (
 Query = Callable[[SparkSession, str], DataFrame]
 
 EVENT_KEYS = ["user_id", "event_type"]
+#: The reporting day of the event queries: a literal, so the cutoff reaches the scan.
+EVENTS_AS_OF = "2024-01-30"
 QUALITY_MEASURES = {**L.PIVOT_COLUMNS, B.REVENUE_MEASURE: "revenue"}
 KEYWORDS = ["ring", "widget"]
 SINCE_YEAR = 2000
+#: Percentiles are exact elements up to so many filings a year.
+AUDIT_ACCURACY = 1_000_000
 LOOKUP_JURISDICTION = "NATION_7"
 
 
@@ -70,11 +75,11 @@ def q_top_gap(spark, sf):
 
 
 def q_year_percentiles(spark, sf):
-    return op.year_percentiles(B.merged(spark, sf, sort=False))
+    return op.year_percentiles(B.merged(spark, sf, sort=False), accuracy=AUDIT_ACCURACY)
 
 
 def q_audit_candidates(spark, sf):
-    return op.audit_candidates(B.stored_merged(spark, sf))
+    return op.audit_candidates(B.stored_merged(spark, sf), accuracy=AUDIT_ACCURACY)
 
 
 def q_jurisdictions_dim(spark, sf):
@@ -158,9 +163,6 @@ def _events(spark, sf):
     return B.table(spark, sf, "events")
 
 
-def _events_as_of(spark, sf):
-    return _events(spark, sf).select(F.max(F.to_date("ts"))).scalar()
-
 
 def q_safe_cast(spark, sf):
     k = F.get_json_object("props", "$.k")
@@ -181,25 +183,33 @@ def q_dedup_any(spark, sf):
 
 
 def q_late_arrival_split(spark, sf):
-    return op.late_arrival_counts(_events(spark, sf), "ts", as_of=_events_as_of(spark, sf))
+    return op.late_arrival_counts(_events(spark, sf), "ts", as_of=EVENTS_AS_OF)
+
+
+def _arriving_events(spark, sf):
+    """Events of which one in seven has lost its load time."""
+    return _events(spark, sf).withColumn("ts", F.when(F.col("event_id") % 7 != 3, F.col("ts")))
 
 
 def q_incremental_snapshot(spark, sf):
     return op.incremental_snapshot(
-        _events(spark, sf), EVENT_KEYS, "ts", as_of=_events_as_of(spark, sf), tiebreak=[F.col("event_id").desc()]
+        _arriving_events(spark, sf), EVENT_KEYS, "ts", as_of=EVENTS_AS_OF, tiebreak=[F.col("event_id").desc()], arrival="arrival"
     )
 
 
 def q_snapshot_merge(spark, sf):
-    events = _events(spark, sf)
-    on_time, late = op.late_arrival_split(events, "ts", as_of=_events_as_of(spark, sf))
+    on_time, late = op.late_arrival_split(_arriving_events(spark, sf), "ts", as_of=EVENTS_AS_OF)
     tiebreak = [F.col("event_id").desc()]
     snapshot = op.dedup_latest(on_time, EVENT_KEYS, "ts", tiebreak)
-    return op.merge_into_snapshot(snapshot, late, EVENT_KEYS, "ts", tiebreak)
+    restated = late.withColumn("value", F.col("value") + 1000)
+    lost = _arriving_events(spark, sf).where("ts is null").withColumn("value", F.lit(-1.0))
+    return op.merge_into_snapshot(snapshot, restated.unionByName(lost), EVENT_KEYS, "ts", tiebreak)
 
 
 def q_partition_merge(spark, sf):
-    facts = B.long_facts(spark, sf).select(
+    # NATION_5 reports without a year: the null partition
+    year = F.when(F.col("jurisdiction") != "NATION_5", F.col("year"))
+    facts = B.long_facts(spark, sf).groupBy("jurisdiction", "counterpart_jurisdiction", "measure", year.alias("year")).agg(F.max("obs_value").alias("obs_value")).select(
         "jurisdiction", "counterpart_jurisdiction", "measure", "year",
         F.col("obs_value").cast("double").alias("obs_value"),
         F.to_timestamp(F.lit(B.LANDED_AT_UTC)).alias("_ingested_at"),
@@ -209,7 +219,8 @@ def q_partition_merge(spark, sf):
     stored = read_table(spark, snapshot, FACTS_CLEAN)
     # a late restatement of the latest period, loaded after the snapshot
     latest = stored.select(F.max("year")).scalar()
-    batch = stored.filter(F.col("year") == latest).withColumns(
+    lost = F.col("year").isNull() & (F.col("measure") == L.TAX_PAID_MEASURE)
+    batch = stored.filter((F.col("year") == latest) | lost).withColumns(
         {"obs_value": F.col("obs_value") + 1, "_ingested_at": F.to_timestamp(F.lit(B.RESTATED_AT_UTC))}
     )
     merge_late_job(spark, snapshot, batch)
@@ -250,7 +261,10 @@ def _flags(spark, sf, filings):
 
 
 def q_lookup_filing(spark, sf):
-    return op.lookup(B.merged(spark, sf, sort=False), jurisdiction=LOOKUP_JURISDICTION)
+    path = scratch_path(spark, "filings")
+    write_table(B.merged(spark, sf, sort=False), path, partition_by=["jurisdiction"])
+    # only the folder of that jurisdiction is read
+    return op.lookup(read_table(spark, path, EFFECTIVE_VS_STATUTORY), jurisdiction=LOOKUP_JURISDICTION)
 
 
 def q_link_filing_jurisdiction(spark, sf):
@@ -270,10 +284,30 @@ def q_link_rate_jurisdiction(spark, sf):
 
 def q_flag_filings(spark, sf):
     path = scratch_path(spark, "audit_flags")
-    op.append_flags(spark, _flags(spark, sf, B.merged(spark, sf, sort=False)), path)
+    flags = _flags(spark, sf, B.stored_merged(spark, sf))
+    op.init_audit_log(spark, path)
+    # every flag twice in one batch, then the batch again: the log has it once
+    op.append_flags(spark, flags.unionByName(flags), path)
+    op.append_flags(spark, flags, path)
     return op.read_audit_log(spark, path)
 
 
+def q_report_outputs(spark, sf):
+    facts = B.long_facts(spark, sf).withColumn("obs_value", F.col("obs_value").cast("double"))
+    paths = run_report(spark, facts, B.rates_long(spark, sf), scratch_path(spark, "report"))
+    out = None
+    for name in OUTPUTS:
+        table = spark.read.parquet(paths[name])
+        part = table.select(F.lit(name).alias("output"), "jurisdiction", (F.col("year") if "year" in table.columns else F.lit(None)).cast("int").alias("year"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_sample_values(spark, sf):
+    first = B.table(spark, sf, "events").orderBy("event_id").select("event_id", "event_type", F.when(F.col("event_id") % 3 != 1, F.col("value")).alias("value"))
+    return op.sample_values(first, n=6).withColumn("sample_values", F.concat_ws(",", F.transform("sample_values", lambda v: F.coalesce(v, F.lit("null")))))
+
+
 # --- listings and profile ------------------------------------------------------------
 
 
@@ -332,6 +366,8 @@ QUERIES: dict[str, Query] = {
     "link_filing_flags": q_link_filing_flags,
     "link_rate_jurisdiction": q_link_rate_jurisdiction,
     "flag_filings": q_flag_filings,
+    "report_outputs": q_report_outputs,
+    "sample_values": q_sample_values,
     "measure_listing": q_measure_listing,
     "year_range": q_year_range,
     "distinct_sample": q_distinct_sample,

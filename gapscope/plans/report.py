@@ -31,7 +31,8 @@ def run_report(
 ) -> dict[str, str]:
     """Write the five outputs under ``out_dir``; return name -> path."""
     paths = {name: f"{out_dir.rstrip('/')}/{name}" for name in OUTPUTS}
-    merged = effective_vs_statutory(facts, rates, sort=True)
+    # not sorted: a partitioned table keeps no order across its files
+    merged = effective_vs_statutory(facts, rates, sort=False)
     write_table(merged, paths["effective_vs_statutory"], partition_by=["year"] if partition_by_year else None)
     stored = read_table(spark, paths["effective_vs_statutory"], schema=EFFECTIVE_VS_STATUTORY)
     write_table(top_gap(stored, top_n), paths["top10_gap"])

@@ -10,6 +10,7 @@ in tests) do we pick one ourselves.
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
 
@@ -37,7 +38,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a private one only if none is configured."""
+    """The shared checkpoint folder.
+
+    A private one is made only where none is configured and the session is
+    local, as in tests; on a cluster that is an error. What is written below
+    it stays until the caller removes ``<folder>/gapscope`` after the run.
+    """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
@@ -45,6 +51,10 @@ def scratch_root(spark: SparkSession) -> str:
             sc.setCheckpointDir(root)
         return root
     if sc.getCheckpointDir() is None:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder that the driver and all executors share "
+                f"(master {sc.master}); a machine-local folder would split the data between machines")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="gapscope-ckpt-"))
     return sc.getCheckpointDir()
 
@@ -78,4 +88,6 @@ def cluster_settings(input_bytes: int, executor_cores: int, executors: int,
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.session.timeZone": "UTC",
+        # an overflowing sum must fail, not wrap
+        "spark.sql.ansi.enabled": "true",
     }

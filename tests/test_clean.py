@@ -22,7 +22,7 @@ def test_select_rename_missing_column_names_both_lists(spark):
     with pytest.raises(ValueError) as e:
         op.select_rename(df, L.FACT_COLUMNS)
     msg = str(e.value)
-    assert "Counterpart area" in msg and "OBS_VALUE" in msg and "Available columns" in msg and "TIME_PERIOD" in msg
+    assert "Counterpart area" in msg and "OBS_VALUE" in msg and "it has" in msg and "TIME_PERIOD" in msg
 
 
 def test_cast_bad_text_becomes_null(spark):

@@ -6,7 +6,8 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from gapscope.plans.oracle import ORACLE
+from gapscope.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -35,15 +36,15 @@ def _norm(rows, cols):
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables missing")
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    df = queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     s, sc = _norm([tuple(r) for r in df.collect()], df.columns)
-    res = con.execute(oracle_sql()[name])
+    res = con.execute(ORACLE[name])
     d, dc = _norm(res.fetchall(), [x[0] for x in res.description])
     assert sc == dc
     assert len(s) == len(d)

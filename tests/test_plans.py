@@ -2,7 +2,7 @@
 
 import pytest
 
-from __spark_entry__ import queries
+from gapscope.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,7 +13,7 @@ def physical(df):
 
 
 def test_flagship_prunes_and_pushes(spark):
-    df = queries()["effective_vs_statutory"](spark, SF)
+    df = QUERIES["effective_vs_statutory"](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     # lineitem is read with only the columns the metrics need
     assert "ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint,l_quantity:double" in plan
@@ -23,16 +23,16 @@ def test_flagship_prunes_and_pushes(spark):
 
 
 def test_dedup_limits_before_shuffle(spark):
-    plan = queries()["dedup_latest"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES["dedup_latest"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
 def test_percentiles_are_aggregates_not_windows(spark):
-    plan = queries()["audit_candidates"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES["audit_candidates"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "percentile_approx" in plan and "Window [" not in plan
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_plan_properties(spark, name):
     """Planned as a large cluster would (no size-based broadcast, static plan):
     no cross or nested-loop join, no Python in the plan, and the line-item
@@ -41,7 +41,7 @@ def test_query_plan_properties(spark, name):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        plan = physical(queries()[name](spark, SF))
+        plan = physical(QUERIES[name](spark, SF))
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)

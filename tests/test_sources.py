@@ -34,7 +34,7 @@ def test_case_twin_headers_and_selection(spark, scratch):
 def test_missing_required_column(spark, scratch):
     path = scratch("csv")
     land(path, "Reference area,TIME_PERIOD\nPL,2020\n")
-    with pytest.raises(ValueError, match="Expected columns not found"):
+    with pytest.raises(ValueError, match="lacks the columns"):
         read_labelled_csv(spark, path, select=L.FACT_COLUMNS)
 
 
