@@ -13,10 +13,10 @@ needs_pipeline = pytest.mark.skipif(importlib.util.find_spec("corpus_pipeline")
 @needs_pipeline
 def test_stages_one_by_one(spark):
     import corpus_pipeline as P
-    from test_jaccard_join import brute as components
-    from test_mixing import WORD, targets
-    from test_quality_rules import brute as counts
-    from test_secrets import brute as spans
+    from .test_jaccard_join import brute as components
+    from .test_mixing import WORD, targets
+    from .test_quality_rules import brute as counts
+    from .test_secrets import brute as spans
 
     from gapscope.llm.common import stored
 
