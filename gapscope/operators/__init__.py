@@ -31,7 +31,7 @@ from gapscope.operators.incremental import (
     late_arrival_split,
     merge_into_snapshot,
 )
-from gapscope.operators.json_stat import clean_ratio, decode_json_stat
+from gapscope.operators.json_stat import clean_ratio, decode_json_stat, json_stat_rejects
 from gapscope.operators.quality import (
     column_profile,
     distinct_sample,

@@ -53,10 +53,50 @@ def test_clean_ratio_filters_and_renames(spark):
     assert rows(out) == [("PL", "Poland", 2021, 36.5)]
 
 
-def test_document_without_values_is_an_error(spark):
-    d = {"id": ["a"], "size": [2], "dimension": {"a": DIMS["a"]}, "value": []}
-    with pytest.raises(ValueError):
-        op.clean_ratio(op.decode_json_stat(docs(spark, d)))
+def test_documents_without_any_value_fail_the_job(spark, scratch):
+    import os
+
+    from gapscope.plans import jobs
+
+    folder = scratch("empty_ratio")
+    os.makedirs(folder)
+    with open(f"{folder}/empty.json", "w") as f:
+        json.dump({"id": ["geo"], "size": [2], "dimension": {"geo": DIMS["a"]}, "value": []}, f)
+    with pytest.raises(ValueError, match="no ratio row"):
+        jobs.clean_ratio_job(spark, folder, scratch("ratio"))
+
+
+GOOD = {"id": ["a", "b"], "size": [2, 2], "dimension": DIMS, "value": [1, None, 3, 4]}
+
+
+@pytest.mark.parametrize("text,problem", [
+    (json.dumps(GOOD)[:-12], "not a whole"),
+    ("", "not a whole"),
+    (json.dumps({**GOOD, "value": [1, "n/a", 3, 4]}), "no number"),
+    (json.dumps({**GOOD, "value": {"0": 1, "2": "n/a"}}), "no number"),
+    (json.dumps({**GOOD, "value": {"9": 1}}), "outside the cube"),
+    (json.dumps({**GOOD, "size": [2]}), "sizes"),
+    (json.dumps({**GOOD, "id": ["a", "z"]}), "dimension is missing"),
+])
+def test_broken_documents_and_cells_fail_by_name_or_are_listed(spark, text, problem):
+    frame = spark.createDataFrame([("good", json.dumps(GOOD)), ("broken", text)], "doc string, text string")
+    with pytest.raises(Exception, match=f"broken: .*{problem}"):
+        op.decode_json_stat(frame, ["a", "b"]).collect()
+    kept = op.decode_json_stat(frame, ["a", "b"], keep_doc=True, on_error="reject")
+    assert len(rows(kept.where("doc = 'good'"))) == 3
+    listed = op.json_stat_rejects(frame).collect()
+    assert [(r.doc, r.n) for r in listed] == [("broken", 1)] and problem in listed[0].problem
+
+
+def test_wide_dimension_with_many_cells(spark):
+    codes = [f"c{i:05d}" for i in range(4000)]
+    d = {"id": ["a", "b"], "size": [10, 4000],
+         "dimension": {"a": {"category": {"index": [f"r{i}" for i in range(10)]}}, "b": {"category": {"index": codes, "label": {c: f"label {c}" for c in codes}}}},
+         "value": list(range(40_000))}
+    out = op.decode_json_stat(docs(spark, d))
+    assert out.count() == 40_000
+    assert rows(out.where("obs_value in (0, 39999, 4001)"), "a", "b", "b_label", "obs_value") == [
+        ("r0", "c00000", "label c00000", 0.0), ("r1", "c00001", "label c00001", 4001.0), ("r9", "c03999", "label c03999", 39999.0)]
 
 
 def test_encode_decode_identity_on_driver_tables(spark):
