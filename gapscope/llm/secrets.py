@@ -107,15 +107,17 @@ def of_kind(kind_no: int, spans: Column) -> Column:
 
 def normal_tail(z: Column) -> Column:
     """P(Z > z) of a standard normal; a rational approximation of erfc (error below 2e-7), relative in the tail."""
-    x = F.abs(z) / math.sqrt(2)
-    t = 1 / (1 + x / 2)
     # Coefficients of the Chebyshev fit of erfc, lowest power first.
     fit = (-1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806, 0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277)
-    power = F.lit(fit[-1])
-    for c in reversed(fit[:-1]):
-        power = power * t + c
-    tail = t * F.exp(-x * x + power) / 2
-    return F.when(z >= 0, tail).otherwise(1 - tail)
+
+    def upper(x: Column, t: Column) -> Column:
+        power = F.lit(fit[-1])
+        for c in reversed(fit[:-1]):
+            power = power * t + c
+        return t * F.exp(-x * x + power) / 2
+
+    tail = lambda v: let(F.abs(v) / math.sqrt(2), lambda x: let(1 / (1 + x / 2), lambda t: upper(x, t)))
+    return let(z, lambda v: let(tail(v), lambda p: F.when(v >= 0, p).otherwise(1 - p)))
 
 
 def chi_squared_tail(x: Column, freedom: Column) -> Column:
@@ -144,8 +146,11 @@ def p_value(run: Column, encoding: Column) -> Column:
 def _battery(g: Column) -> Column:
     x, a = g["x"], g["a"]
     n = F.size(x).cast("double")
+    return let(F.greatest(F.lit(2.0), F.least(a, F.floor(n / 5).cast("double"))), lambda bins: _smallest(x, a, n, bins))
+
+
+def _smallest(x: Column, a: Column, n: Column, bins: Column) -> Column:
     zero = F.lit(0.0)
-    bins = F.greatest(F.lit(2.0), F.least(a, F.floor(n / 5).cast("double")))
 
     def deviation(k: Column) -> Column:
         wide = F.ceil((k + 1) * a / bins) - F.ceil(k * a / bins)
@@ -156,18 +161,23 @@ def _battery(g: Column) -> Column:
     chi = F.aggregate(F.sequence(F.lit(0), (bins - 1).cast("int")), zero, lambda s, k: s + deviation(k))
     uniformity = chi_squared_tail(chi, bins - 1)
 
-    pairs = F.zip_with(F.slice(x, F.lit(1), F.size(x) - 1), F.slice(x, F.lit(2), F.size(x) - 1), lambda u, v: F.struct(u.alias("u"), v.alias("v")))
-    high = F.size(F.filter(x, lambda v: v >= a / 2)).cast("double")
-    runs = 1 + F.size(F.filter(pairs, lambda p: (p["u"] >= a / 2) != (p["v"] >= a / 2)))
-    both = 2 * high * (n - high)
-    spread = both * (both - n) / (n * n * (n - 1))
-    runs_p = F.when(spread <= 0, zero).otherwise(2 * normal_tail(F.abs(runs - (both / n + 1)) / F.sqrt(spread)))
+    neighbours = F.zip_with(F.slice(x, F.lit(1), F.size(x) - 1), F.slice(x, F.lit(2), F.size(x) - 1), lambda u, v: F.struct(u.alias("u"), v.alias("v")))
+
+    def runs_test(high: Column, pairs: Column) -> Column:
+        runs = 1 + F.size(F.filter(pairs, lambda p: (p["u"] >= a / 2) != (p["v"] >= a / 2)))
+        return let(2 * high * (n - high), lambda both: let(
+            both * (both - n) / (n * n * (n - 1)),
+            lambda spread: F.when(spread <= 0, zero).otherwise(2 * normal_tail(F.abs(runs - (both / n + 1)) / F.sqrt(spread)))))
 
+    def serial_test(mean: Column, pairs: Column) -> Column:
+        power = F.aggregate(x, zero, lambda s, v: s + (v - mean) * (v - mean))
+        lagged = F.aggregate(pairs, zero, lambda s, p: s + (p["u"] - mean) * (p["v"] - mean))
+        return let(power, lambda w: F.when(w <= 0, zero).otherwise(2 * normal_tail(F.abs(lagged / w + 1 / n) * F.sqrt(n))))
+
+    high = F.size(F.filter(x, lambda v: v >= a / 2)).cast("double")
     mean = F.aggregate(x, zero, lambda s, v: s + v) / n
-    power = F.aggregate(x, zero, lambda s, v: s + (v - mean) * (v - mean))
-    lagged = F.aggregate(pairs, zero, lambda s, p: s + (p["u"] - mean) * (p["v"] - mean))
-    serial_p = F.when(power <= 0, zero).otherwise(2 * normal_tail(F.abs(lagged / power + 1 / n) * F.sqrt(n)))
-    return F.least(uniformity, runs_p, serial_p)
+    return let(neighbours, lambda pairs: F.least(
+        uniformity, let(high, lambda h: runs_test(h, pairs)), let(mean, lambda m: serial_test(m, pairs))))
 
 
 def tested_runs(text: Column, base: Column) -> Column:
