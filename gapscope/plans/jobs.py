@@ -96,7 +96,9 @@ def merge_late_job(
         return []
     known = [v for v in touched if v is not None]
     # the null partition is rewritten too if the batch has such rows, so it has to be read
-    of_batch = F.coalesce(F.col(partition_col).isin(known), F.lit(None in touched))
+    of_batch = F.col(partition_col).isin(known) if known else F.lit(False)
+    if None in touched:
+        of_batch = of_batch | F.col(partition_col).isNull()
     current = read_table(spark, snapshot, FACTS_CLEAN).filter(of_batch)
     scratch_root(spark)
     merged = merge_into_snapshot(current, batch.select(*current.columns), keys, ts).checkpoint(eager=True)

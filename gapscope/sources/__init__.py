@@ -1,6 +1,6 @@
 """Sources and sinks: labelled CSV landings, JSON-stat documents, tables."""
 
-from gapscope.sources.csv import read_header, read_ingest_stamp, read_labelled_csv, require_columns
+from gapscope.sources.csv import malformed_lines, read_header, read_ingest_stamp, read_labelled_csv, require_columns
 from gapscope.sources.json_stat import read_json_stat_documents
 from gapscope.sources.schemas import AUDIT_FLAGS, EFFECTIVE_VS_STATUTORY, FACTS_CLEAN, RATES_CLEAN
 from gapscope.sources.tables import (
@@ -18,6 +18,7 @@ __all__ = [
     "FACTS_CLEAN",
     "RATES_CLEAN",
     "export_csv",
+    "malformed_lines",
     "path_exists",
     "read_csv_export",
     "read_header",

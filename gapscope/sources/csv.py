@@ -22,6 +22,10 @@ from gapscope.labels import MISSING_COLUMNS_MESSAGE
 from gapscope.sources.tables import require_path
 
 
+#: A landing's side file is one short record.
+MOST_SIDE_BYTES = 1 << 20
+
+
 def read_header(spark: SparkSession, path: str) -> list[str]:
     """Labels of the landed CSV files (first line of a file)."""
     require_path(spark, path)
@@ -31,6 +35,45 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
     return [("" if v is None else v) for v in first]
 
 
+def file_headers(spark: SparkSession, path: str) -> DataFrame:
+    """(file, header): the first line of every file of a landing, found in one scan of its text lines.
+
+    A file's lines keep their order within its first split, so the first is
+    the one with the least row number there; the aggregation combines on the
+    tasks and gives a row per file.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("line")).alias("place"),
+        F.regexp_replace("value", "^\ufeff|\r$", "").alias("header"),
+    )
+    return lines.groupBy("file").agg(F.min_by("header", "place").alias("header"))
+
+
+def require_one_header(spark: SparkSession, path: str) -> None:
+    """Raise naming a file whose header differs from the others', as columns are read by place."""
+    headers = file_headers(spark, path)
+    ends = headers.agg(F.min(F.struct("header", "file")).alias("a"), F.max(F.struct("header", "file")).alias("b")).first()
+    if ends["a"] is not None and ends["a"]["header"] != ends["b"]["header"]:
+        raise ValueError(
+            f"Files of one landing have different headers: {ends['a']['file']} has {ends['a']['header']!r}, "
+            f"{ends['b']['file']} has {ends['b']['header']!r}")
+
+
+def malformed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, n): lines with more or fewer fields than the header, which a scan pads or cuts; files without any are absent."""
+    labels = read_header(spark, path)
+    fields = [T.StructField(f"_c{i}", T.StringType(), True) for i in range(len(labels))]
+    raw = (
+        spark.read.schema(T.StructType([*fields, T.StructField("_line", T.StringType(), True)])).option("header", True)
+        .option("enforceSchema", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_line").csv(path)
+    )
+    # the filter names all columns, as Spark parses only the fields that a plan asks for
+    whole = F.concat_ws("", *[f.name for f in fields]) != "\0"
+    bad = raw.withColumn("file", F.col("_metadata.file_path")).where(F.col("_line").isNotNull() & whole)
+    return bad.groupBy("file").agg(F.count("*").alias("n"))
+
+
 def require_columns(available: list[str], required) -> None:
     """Raise naming the missing and the available columns (exact, case-sensitive)."""
     missing = [c for c in required if c not in available]
@@ -61,9 +104,11 @@ def read_labelled_csv(
     ``select`` maps source labels to clean names: the labels are checked
     (error names missing and available ones), only those columns are kept
     (pruned at the scan) and renamed. Without it every column is returned,
-    case twins disambiguated by position.
+    case twins disambiguated by position. All files must have one header;
+    ``malformed_lines`` counts the lines that do not have its fields.
     """
     labels = read_header(spark, path)
+    require_one_header(spark, path)
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(len(labels))])
     raw = (
         spark.read.schema(schema)
@@ -84,7 +129,8 @@ def read_ingest_stamp(spark: SparkSession, folder: str, name: str = "_ingest_met
     ``_``-prefixed files are skipped by Spark's scans, so the side file can
     sit next to the landed data. For the same reason a plain side file is
     read through the Hadoop FileSystem (one small metadata document); a
-    folder of that name (as Spark writes it) is read by Spark.
+    folder of that name (as Spark writes it) is read by Spark. A plain side
+    file over ``MOST_SIDE_BYTES`` is refused.
     """
     path = f"{folder.rstrip('/')}/{name}"
     require_path(spark, path)
@@ -94,6 +140,9 @@ def read_ingest_stamp(spark: SparkSession, folder: str, name: str = "_ingest_met
     if fs.getFileStatus(hpath).isDirectory():
         raw = spark.read.schema("ingested_at_utc string").json(path)
     else:
+        size = fs.getFileStatus(hpath).getLen()
+        if size > MOST_SIDE_BYTES:
+            raise ValueError(f"{path} has {size} bytes: no side file of a landing")
         stream = fs.open(hpath)
         try:
             text = jvm.java.util.Scanner(stream, "UTF-8").useDelimiter("\\A").next()

@@ -48,6 +48,13 @@ def test_flag_log_create_if_absent_and_append(spark, scratch):
     assert {r["status"] for r in log.collect()} == {"OPEN"}
 
 
+def test_append_takes_each_key_of_a_batch_once(spark, scratch):
+    path = scratch("flags_twice")
+    early, late = (op.flag_filings(filings(spark), flagged_by=by, flagged_at=dt.datetime(2026, 1, day)) for by, day in (("a", 1), ("b", 2)))
+    op.append_flags(spark, late.unionByName(early).unionByName(late), path)
+    assert [(r["filing_id"], r["flagged_by"]) for r in op.read_audit_log(spark, path).collect()] == [("K_2021", "a")]
+
+
 def test_flag_rows_and_ids(spark):
     flags = op.flag_filings(filings(spark), flagged_at=dt.datetime(2026, 1, 1))
     got = rows(flags, "filing_id")

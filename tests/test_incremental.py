@@ -34,3 +34,16 @@ def test_merge_into_snapshot(spark):
     base = spark.createDataFrame([("a", 1, dt.datetime(2024, 1, 1))], SCHEMA)
     batch = spark.createDataFrame([("a", 9, dt.datetime(2024, 1, 2)), ("z", 7, dt.datetime(2023, 1, 1))], SCHEMA)
     assert rows(op.merge_into_snapshot(base, batch, ["k"]), "k", "v") == [("a", 9), ("z", 7)]
+    # a batch row without a load time takes no part, as in the snapshot
+    lost = spark.createDataFrame([("a", 8, None), ("q", 1, None)], SCHEMA)
+    assert rows(op.merge_into_snapshot(base, lost, ["k"]), "k", "v") == [("a", 1)]
+
+
+def test_sides_reach_the_scan(spark, scratch):
+    path = scratch("events")
+    frame(spark).write.parquet(path)
+    on_time, late = op.late_arrival_split(spark.read.parquet(path), as_of="2024-01-30", lookback_days=7)
+    for side, bound in ((on_time, "LessThan(_ingested_at"), (late, "GreaterThanOrEqual(_ingested_at")):
+        assert bound in side._jdf.queryExecution().executedPlan().toString()
+    marked = op.incremental_snapshot(frame(spark), ["k"], as_of="2024-01-30", arrival="arrival")
+    assert rows(marked, "k", "arrival") == [("a", "late"), ("b", "late")]

@@ -67,6 +67,18 @@ def test_merge_late_job_rewrites_only_touched_years(spark, scratch):
     assert sorted(os.listdir(f"{snap}/year={years[0]}")) == untouched_files  # not rewritten
 
 
+def test_merge_late_job_keeps_rows_without_a_year(spark, scratch):
+    from gapscope.sources import write_table
+
+    t1, t2 = dt.datetime(2026, 1, 10), dt.datetime(2026, 1, 20)
+    stored = spark.createDataFrame([("A", "X", "m", None, 1.0, t1), ("B", "X", "m", None, 2.0, t1), ("A", "X", "m", 2020, 3.0, t1)], FACTS_CLEAN)
+    snap = scratch("null_year")
+    write_table(stored, snap, partition_by=["year"])
+    batch = spark.createDataFrame([("B", "X", "m", None, 9.0, t2), ("C", "X", "m", 2021, 4.0, None)], FACTS_CLEAN)
+    assert jobs.merge_late_job(spark, snap, batch) == [None]
+    assert rows(read_table(spark, snap, FACTS_CLEAN), "jurisdiction", "year", "obs_value") == [("A", None, 1.0), ("A", 2020, 3.0), ("B", None, 9.0)]
+
+
 def test_command_line(spark, scratch):
     from gapscope.__main__ import main
 
@@ -75,4 +87,9 @@ def test_command_line(spark, scratch):
     main(["clean-rates", "--landing", B.land_rates(spark, SF), "--out", rates])
     paths = main(["report", "--facts", facts, "--rates", rates, "--out", out])
     assert read_table(spark, paths["effective_vs_statutory"]).count() == B.merged(spark, SF).count()
+    log = scratch("cli_log")
+    for _ in range(2):
+        main(["flag", "--filings", paths["effective_vs_statutory"], "--log", log])
+    assert read_table(spark, log).count() == B.merged(spark, SF).where("gap_statutory_minus_effective > 5").count()
+    assert read_table(spark, paths["quality_rules"]).count() == 2
     assert main(["init-flags", "--path", scratch("cli_flags")]) is True

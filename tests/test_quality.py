@@ -52,3 +52,8 @@ def test_sample_values_bounded(spark):
     got = {r["column_name"]: r["sample_values"] for r in op.sample_values(df, n=5).collect()}
     assert set(got) == {"id", "k"} and all(len(v) == 5 for v in got.values())
     assert all(0 <= int(x) < 1000 for x in got["id"])
+
+
+def test_sample_values_keep_nulls(spark):
+    df = spark.createDataFrame([(None,), ("b",), (None,)], "v string").coalesce(1)
+    assert op.sample_values(df).first()["sample_values"] == [None, "b", None]

@@ -70,3 +70,10 @@ def test_exclude_aggregate_counterpart(spark):
     assert got["A"] == 60.0  # the 40 booked against counterpart Y is left out
     tot = op.aggregate_totals(facts(spark), exclude_counterparts=["Y"])
     assert rows(tot.filter("jurisdiction = 'A' and measure = '%s'" % P), "obs_value") == [(60.0,)]
+
+
+def test_excluding_counterparts_keeps_null_ones(spark):
+    df = spark.createDataFrame([("A", "W", P, 2020, 4.0), ("A", None, P, 2020, 5.0), ("A", "X", P, 2020, 1.0)], LONG)
+    assert rows(op.aggregate_totals(df, exclude_counterparts=["W"]), "obs_value") == [(6.0,)]
+    out = op.effective_vs_statutory(df, rates(spark), exclude_counterparts=["W"])
+    assert rows(out.where("jurisdiction = 'A'"), "profit_before_tax") == [(6.0,)]

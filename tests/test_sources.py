@@ -5,6 +5,7 @@ from gapscope import labels as L
 from gapscope.sources import (
     EFFECTIVE_VS_STATUTORY,
     export_csv,
+    malformed_lines,
     read_csv_export,
     read_ingest_stamp,
     read_labelled_csv,
@@ -38,6 +39,51 @@ def test_missing_required_column(spark, scratch):
         read_labelled_csv(spark, path, select=L.FACT_COLUMNS)
 
 
+def test_files_of_one_landing_must_have_one_header(spark, scratch):
+    path = scratch("csv")
+    land(path, "a,b\n1,2\n")
+    with open(f"{path}/part-1.csv", "w") as f:
+        f.write("\ufeffa,b\r\n3,4\r\n")
+    assert rows(read_labelled_csv(spark, path)) == [("1", "2"), ("3", "4")]
+    with open(f"{path}/part-2.csv", "w") as f:
+        f.write("b,a\n6,5\n")
+    with pytest.raises(ValueError, match="part-2.csv has 'b,a'"):
+        read_labelled_csv(spark, path)
+
+
+def test_malformed_lines_are_counted(spark, scratch):
+    path = scratch("csv")
+    land(path, "a,b\n1,2\n1\n1,2,3\n4,5\n")
+    counted = malformed_lines(spark, path).collect()
+    assert [(r.file.rsplit("/", 1)[-1], r.n) for r in counted] == [("part-0.csv", 2)]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
+    from gapscope.session import scratch_root
+
+    class Context:
+        master = "spark://head:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default: default)})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(Session())
+
+
+def test_partitioned_write_makes_few_files(spark, scratch):
+    import glob
+
+    path = scratch("few")
+    df = spark.range(0, 4000, 1, 16).selectExpr("id", "cast(id % 4 as int) as year")
+    write_table(df, path, partition_by=["year"])
+    assert len(glob.glob(f"{path}/year=*/*.parquet")) <= 8 and read_table(spark, path).count() == 4000
+
+
 def test_missing_input(spark, scratch):
     with pytest.raises(FileNotFoundError):
         read_labelled_csv(spark, scratch("nothing_here"))
