@@ -31,7 +31,8 @@ from pyspark.sql import types as T
 from gapscope.llm.common import read, with_columns
 from gapscope.llm.pieces import SPACE, Vocabulary
 
-MOST_NODES = 1_500_000
+MOST_NODES = 800_000
+CODE_POINTS = 0x110000
 #: Pre-tokens up to this length are remembered whole; longer ones are walked node by node and not kept.
 LONGEST_KEPT = 64
 
@@ -50,7 +51,7 @@ class PrefixCounts:
         self.clear()
 
     def clear(self) -> None:
-        self.children: list[dict[str, int]] = [{}]
+        self.children: dict[int, int] = {}  # node and code point, packed -> child
         self.parent, self.char = [-1], [""]
         self.score, self.tokens = [0.0], [0]
         self.terminal: dict[str, int] = {}
@@ -67,9 +68,9 @@ class PrefixCounts:
         return found
 
     def insert(self, pre_token: str) -> int:
-        node = 0
+        node, children = 0, self.children
         for c in pre_token.replace(" ", SPACE):
-            child = self.children[node].get(c)
+            child = children.get(node * CODE_POINTS + ord(c))
             node = self.extend(node, c) if child is None else child
         return self.tokens[node]
 
@@ -87,8 +88,7 @@ class PrefixCounts:
             match = match.get(self.char[at])
             at = self.parent[at]
         new = len(self.score)
-        self.children[node][c] = new
-        self.children.append({})
+        self.children[node * CODE_POINTS + ord(c)] = new
         self.parent.append(node)
         self.char.append(c)
         self.score.append(best)
