@@ -327,7 +327,13 @@ def json_stat_documents(cells: DataFrame) -> DataFrame:
         F.to_json("ge_k")
     )
     sparse = F.to_json(F.map_from_entries(F.transform(F.map_entries("vals"), lambda e: F.struct(e["key"].cast("string"), e["value"]))))
-    dense = F.to_json(F.transform(F.sequence(F.lit(0), n_cells - 1), lambda i: F.try_element_at(F.col("vals"), i)))
+    # the cells in order, with as many nulls between them as are missing
+    entries = F.array_sort(F.map_entries("vals"))
+    before = lambda e, i: F.when(i == 0, F.lit(-1)).otherwise(F.col("entries")[i - 1]["key"])
+    filled = F.transform("entries", lambda e, i: F.concat(F.repeat(F.lit("null,"), (e["key"] - before(e, i) - 1).cast("int")), e["value"].cast("string")))
+    rest = F.repeat(F.lit(",null"), (n_cells - 1 - F.element_at("entries", -1)["key"]).cast("int"))
+    dense = F.concat(F.lit("["), F.array_join(filled, ","), rest, F.lit("]"))
+    docs = docs.withColumn("entries", entries)
     y = F.col("year").cast("string")
     text = F.concat(
         F.lit('{"version":"2.0","class":"dataset","id":["na_item","unit","geo","time"],"size":'),
