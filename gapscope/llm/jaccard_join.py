@@ -1,24 +1,23 @@
 """N-gram Jaccard join: which documents reach each other by links of similarity 0.75 or more.
 
 Documents with equal shingle sets are one class from the start, so copies are
-never paired. Shingles are ordered globally: rare ones first (by hash), the
-ones that many documents share last. Of two linked sets, each holds one of
+never paired. Shingles are ordered globally by how often they were counted,
+rare ones first (by hash), those that most documents share last. Of two linked sets, each holds one of
 the other's first ``n - ceil(0.75 n) + 1`` shingles in that order, so only
 this prefix is dealt out by shingle.
 
 Classes that meet under a shingle are checked in two rounds, both exact, by
 walking a prefix tree of the candidates with the probe's set
-(``gapscope.llm.jaccard_trie``). Round one checks each shingle's classes only
-against two of them: linear work, which joins groups of near copies. Round
-two checks the pairs that still lie in different components; a shingle whose
-classes are all in one component is left out, since more links inside a
-component change nothing. So no link between different components is lost,
+(``gapscope.llm.jaccard_trie``). Round one checks all pairs under a shingle
+of few classes; under others each class against two of them: linear work,
+which joins groups of near copies. Round two checks the pairs that still lie
+in different components; a shingle whose classes are all in one component is
+left out, since more links inside a component change nothing. So no link between different components is lost,
 and no group of near copies is expanded into its pairs.
 
-Scale: shingles are counted over all documents. The list of frequent ones is
-broadcast; a shingle is frequent from ``max(16, total / MOST_FREQUENT)``
-occurrences on, so the list has at most ``MOST_FREQUENT`` entries. The order
-only steers the cost; any order gives the same links. Sets are shuffled only
+Scale: shingles are counted over all documents. The most frequent ones, at
+most ``MOST_FREQUENT``, are broadcast. The order only steers the cost; any
+order gives the same links. Sets are shuffled only
 for classes that met another one. Tables that several steps read are written
 to the shared scratch folder.
 
@@ -45,11 +44,14 @@ from gapscope.llm.words import Texts, Words, sequence_hashes
 
 SHINGLE = 5
 PART, WHOLE = 75, 100
+#: Entries of the broadcast list of frequent shingles, at most (9 bytes each).
 MOST_FREQUENT = 1_000_000
-LEAST_FREQUENT = 16
+#: A shingle of so many classes or fewer has all its pairs checked in round one.
+FEW = 8
 #: Candidates of one probe that share a task's prefix tree.
 BLOCK = 256
-_TOP = np.uint64(1 << 63)
+#: Order keys hold the level of a shingle's count from this bit on, and its hash below.
+LEVEL_AT = 58
 
 
 # --- sets -----------------------------------------------------------------------
@@ -72,13 +74,15 @@ def signature(shingles: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
 
 
-def ordered(shingles: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """Order keys, ascending: frequent shingles get the top bit, so they come last."""
-    if not len(frequent) or not len(shingles):
-        return shingles
-    at = np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)
-    common = frequent[at] == shingles
-    return np.concatenate([shingles[~common], shingles[common] | _TOP])
+def ordered(shingles: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Order keys, ascending: the level of a shingle's count in the top six bits, 0 if it is not frequent, then its hash."""
+    hashes, levels = frequent
+    keys = shingles >> np.uint64(63 - LEVEL_AT)
+    if not len(hashes) or not len(shingles):
+        return keys
+    at = np.minimum(np.searchsorted(hashes, shingles), len(hashes) - 1)
+    level = np.where(hashes[at] == shingles, levels[at], 0).astype(np.uint64)
+    return np.sort(keys | (level << np.uint64(LEVEL_AT)))
 
 
 def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,16 +103,36 @@ def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ], names=["key", "n", "sig", "shingle", "seen"])
 
 
-def frequent_shingles(signed: DataFrame) -> np.ndarray:
-    """Ascending hashes of the frequent shingles; at most ``MOST_FREQUENT``, as counts add up to no more than the total."""
-    total = signed.agg(F.sum("n")).first()[0] or 0
-    least = max(LEAST_FREQUENT, -(-total // MOST_FREQUENT))
-    rows = signed.where("shingle is not null").groupBy("shingle").agg(F.sum("seen").alias("seen")).where(F.col("seen") >= least).select("shingle").toArrow()
-    return np.sort(rows.column("shingle").to_numpy().astype(np.int64).view(np.uint64))
+def frequent_shingles(signed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending hashes of the most frequent shingles, and the levels of their counts.
+
+    As many are taken, from the highest level down, as ``MOST_FREQUENT``
+    entries hold. A level is half a power of two. Counts are those seen
+    within the batches, so a shingle has to recur within one to count; the
+    order needs no more than that.
+    """
+    level = F.least(F.lit(63), 1 + F.floor(2 * F.log2(F.col("seen")))).cast("int").alias("level")
+    seen = stored(signed.where("shingle is not null").groupBy("shingle").agg(F.sum("seen").alias("seen")).select("shingle", level), "jaccard-seen")
+    held, least = 0, None
+    for row in seen.groupBy("level").count().orderBy(F.desc("level")).collect():  # 63 rows at most
+        held += row["count"]
+        if held > MOST_FREQUENT:
+            break
+        least = row["level"]
+    if least is None:
+        return np.empty(0, np.uint64), np.empty(0, np.uint8)
+    rows = seen.where(F.col("level") >= least).toArrow()
+    hashes = rows.column("shingle").to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], rows.column("level").to_numpy().astype(np.uint8)[order]
 
 
 def postings(docs: DataFrame, frequent) -> DataFrame:
-    """(shingle, sig, n, at) of each class's prefix; ``at`` is the place in the set, from 1."""
+    """(shingle, sig, n, at, rare) of each class's prefix.
+
+    ``at`` is the shingle's place in the set, from 1; ``rare`` counts the
+    set's shingles that are not frequent.
+    """
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done: set[int] = set()
@@ -119,80 +143,92 @@ def postings(docs: DataFrame, frequent) -> DataFrame:
                         continue
                     done.add(sig)
                     n = len(s)
-                    head = ordered(s, frequent.value)[: n - -(-PART * n // WHOLE) + 1]
-                    out.append((head, sig, n))
-            sizes = [len(h) for h, _, _ in out]
+                    keys = ordered(s, frequent.value)
+                    out.append((keys[: n - -(-PART * n // WHOLE) + 1], sig, n, int(np.searchsorted(keys, np.uint64(1 << LEVEL_AT)))))
+            sizes = [len(row[0]) for row in out]
+            each = lambda k, kind: np.repeat(np.array([row[k] for row in out], kind), sizes)
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate([np.empty(0, np.uint64), *(h for h, _, _ in out)]).view(np.int64), pa.int64()),
-                pa.array(np.repeat(np.array([g for _, g, _ in out], np.int64), sizes), pa.int64()),
-                pa.array(np.repeat(np.array([n for _, _, n in out], np.int32), sizes), pa.int32()),
+                pa.array(np.concatenate([np.empty(0, np.uint64), *(row[0] for row in out)]).view(np.int64), pa.int64()),
+                pa.array(each(1, np.int64), pa.int64()), pa.array(each(2, np.int32), pa.int32()),
                 pa.array(np.concatenate([np.empty(0, np.int32), *(np.arange(1, k + 1, dtype=np.int32) for k in sizes)]), pa.int32()),
-            ], names=["shingle", "sig", "n", "at"])
+                pa.array(each(3, np.int32), pa.int32()),
+            ], names=["shingle", "sig", "n", "at", "rare"])
 
-    return docs.mapInArrow(deal, "shingle long, sig long, n int, at int")
+    return docs.mapInArrow(deal, "shingle long, sig long, n int, at int, rare int")
 
 
 def met(posted: DataFrame) -> DataFrame:
-    """Postings of the shingles that two classes or more hold, with the least and greatest class of each."""
+    """Postings of the shingles that several classes hold: how many, and two hubs of each.
+
+    The original of a group of near copies has none of their rare shingles.
+    So the first hub is the class with the fewest rare shingles, the other
+    the one with the greatest signature.
+    """
     of_shingle = Window.partitionBy("shingle")
+    own = F.struct("sig", "n", "at")
+    several = posted.withColumn("last", F.max(own).over(of_shingle)).withColumn("least", F.min("sig").over(of_shingle)).where("least < last.sig")
     return (
-        posted.withColumn("low", F.min("sig").over(of_shingle)).withColumn("high", F.max("sig").over(of_shingle))
-        .where("low < high").dropDuplicates(["shingle", "sig"])
+        several.withColumn("hub", F.min_by(own, F.struct("rare", "sig")).over(of_shingle)).drop("least", "rare")
+        .dropDuplicates(["shingle", "sig"]).withColumn("classes", F.count("*").over(of_shingle))
     )
 
 
 # --- links ----------------------------------------------------------------------
 
 
-def may_link(n: str, m: str, at_n: str = "1", at_m: str = "1") -> str:
-    """SQL: sizes and places of a first common shingle leave room for enough overlap."""
-    need = f"{PART} * ({n} + {m})"
-    return f"{WHOLE + PART} * (1 + least({n} - {at_n}, {m} - {at_m})) >= {need}"
+def may_link(a: str, b: str) -> str:
+    """SQL: if this is the first shingle two sets share, is there room for enough overlap behind it?"""
+    return f"{WHOLE + PART} * (1 + least({a}.n - {a}.at, {b}.n - {b}.at)) >= {PART} * ({a}.n + {b}.n)"
 
 
-def star_pairs(shared: DataFrame) -> DataFrame:
-    """Each shingle's classes, paired with its least and its greatest one."""
-    ends = shared.select("shingle", "sig", F.explode(F.array("low", "high")).alias("probe")).where("probe != sig")
-    return ends.select(F.least("probe", "sig").alias("a"), F.greatest("probe", "sig").alias("b")).distinct()
+def first_pairs(shared: DataFrame) -> DataFrame:
+    """All pairs under a shingle of few classes; under others, each class with the two hubs."""
+    few = shared.where(F.col("classes") <= FEW).groupBy("shingle").agg(F.sort_array(F.collect_list(F.struct("sig", "n", "at"))).alias("held"))  # at most FEW
+    every = F.flatten(F.transform("held", lambda x, i: F.transform(F.slice("held", i + 2, F.lit(FEW)), lambda y: F.struct(x.alias("x"), y.alias("y")))))
+    within = few.select(F.explode(every).alias("pair")).select("pair.x", "pair.y")
+    own = F.struct("sig", "n", "at")
+    to_hubs = shared.where(F.col("classes") > FEW).select(F.explode(F.array("hub", "last")).alias("h"), own.alias("o")).where("h.sig != o.sig")
+    to_hubs = to_hubs.select(F.when(F.expr("h.sig < o.sig"), F.col("h")).otherwise(F.col("o")).alias("x"), F.when(F.expr("h.sig < o.sig"), F.col("o")).otherwise(F.col("h")).alias("y"))
+    return within.unionByName(to_hubs).where(may_link("x", "y")).select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b")).distinct()
 
 
 def crossing_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs under one shingle that lie in different components and were not checked under that shingle."""
+    """Pairs under a shingle of many classes that lie in different components and were not checked under that shingle."""
     of_shingle = Window.partitionBy("shingle")
     named = (
-        shared.join(labels, "sig", "left").withColumn("label", F.coalesce("label", "sig"))
+        shared.where(F.col("classes") > FEW).join(labels, "sig", "left").withColumn("label", F.coalesce("label", "sig"))
         .withColumn("least", F.min("label").over(of_shingle)).withColumn("most", F.max("label").over(of_shingle))
-        .where("least < most").select("shingle", "sig", "n", "at", "low", "high", "label")
+        .where("least < most").select("shingle", "sig", "n", "at", F.array("hub.sig", "last.sig").alias("hubs"), "label")
     )
     left = stored(named, "jaccard-crossing")
     a, b = left.alias("a"), left.alias("b")
-    return a.join(b, F.expr(f"a.shingle = b.shingle and a.sig < b.sig and a.label != b.label and a.sig != a.low and b.sig != b.high and {may_link('a.n', 'b.n', 'a.at', 'b.at')}")).select(F.col("a.sig").alias("a"), F.col("b.sig").alias("b")).distinct()
+    apart = F.expr(f"a.shingle = b.shingle and a.sig < b.sig and a.label != b.label and not array_contains(a.hubs, a.sig) and not array_contains(a.hubs, b.sig) and {may_link('a', 'b')}")
+    return a.join(b, apart).select(F.col("a.sig").alias("a"), F.col("b.sig").alias("b")).distinct()
 
 
 def class_sets(docs: DataFrame, one_each: DataFrame, frequent) -> DataFrame:
-    """(sig, n, keys): the ordered set of each listed class, from one of its documents."""
+    """(sig, keys): the ordered set of each listed class, from the document (key, sig) that stands for it."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[int] = set()  # repeated rows of a document
         for batch in batches:
-            signs, sizes, keys = [], [], []
+            signs, keys = [], []
+            wanted = iter(batch.column(1).to_pylist())
             for texts in Texts.chunks(batch.column(0)):
                 for s in shingle_sets(texts):
-                    if len(s):
-                        signs.append(signature(s))
-                        sizes.append(len(s))
+                    sig = next(wanted)
+                    if len(s) and sig not in done and signature(s) == sig:
+                        done.add(sig)
+                        signs.append(sig)
                         keys.append(ordered(s, frequent.value).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(signs, pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary())], names=["sig", "n", "keys"])
+            yield pa.RecordBatch.from_arrays([pa.array(signs, pa.int64()), pa.array(keys, pa.binary())], names=["sig", "keys"])
 
-    return docs.join(one_each, "key", "left_semi").select("text").mapInArrow(build, "sig long, n long, keys binary").dropDuplicates(["sig"])
+    same = docs["key"].eqNullSafe(F.col("one"))
+    return docs.join(one_each.withColumnRenamed("key", "one"), same).select("text", "sig").mapInArrow(build, "sig long, keys binary")
 
 
 def check_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that link. Candidates of one probe share a prefix tree, ``BLOCK`` or so at a time."""
-    sized = sets.select("sig", "n")
-    fit = (
-        pairs.join(sized.toDF("a", "an"), "a").join(sized.toDF("b", "bn"), "b")
-        .where(may_link("an", "bn")).select("a", "b")
-    )
-    fit = stored(fit, "jaccard-pairs")
+    fit = stored(pairs, "jaccard-pairs")
     # the class with more candidates is the probe
     both = fit.select(F.explode(F.array("a", "b")).alias("probe")).groupBy("probe").count()
     counted = fit.join(both.toDF("a", "ca"), "a").join(both.toDF("b", "cb"), "b")
@@ -202,7 +238,7 @@ def check_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         F.ceil(F.greatest("ca", "cb") / BLOCK).alias("blocks"))
     rows = stored(rows.withColumn("block", F.expr("pmod(hash(sig), blocks)")), "jaccard-candidates")
     probes = rows.select("probe", "block").distinct().select("probe", "block", F.col("probe").alias("sig"))
-    asked = rows.select("probe", "block", "sig").unionByName(probes).join(sets.select("sig", "keys"), "sig")
+    asked = rows.select("probe", "block", "sig").unionByName(probes).join(sets, "sig")
     dealt = asked.repartition(F.col("probe"), F.col("block")).sortWithinPartitions("probe", "block")
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,10 +301,11 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     documents = signed.where("n is not null").select("key", "n", "sig")
     frequent = spark.sparkContext.broadcast(frequent_shingles(signed))
     shared = stored(met(postings(keyed, frequent)), "jaccard-met")
-    meeting = shared.select("sig").distinct()
-    one_each = documents.where("sig is not null and key is not null").groupBy("sig").agg(F.min("key").alias("key")).join(meeting, "sig", "left_semi").select("key")
+    pairs = stored(first_pairs(shared), "jaccard-first")
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("sig")).unionByName(shared.where(F.col("classes") > FEW).select("sig")).distinct()
+    one_each = documents.where("sig is not null").groupBy("sig").agg(F.min(F.struct(F.col("key").isNull(), "key")).alias("m")).select("sig", "m.key").join(asked, "sig", "left_semi")
     sets = stored(class_sets(keyed, one_each, frequent), "jaccard-sets")
-    labels = components(check_pairs(star_pairs(shared), sets))
+    labels = components(check_pairs(pairs, sets))
     rest = check_pairs(crossing_pairs(shared, labels), sets)
     return documents, components(rest, labels)
 
