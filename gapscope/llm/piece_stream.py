@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +36,8 @@ from gapscope.llm.pieces import SPACE, Vocabulary, decoded
 
 #: Segments remembered per task, and the longest of them.
 REMEMBERED, LONGEST_REMEMBERED = 400_000, 48
+#: Ids decoded together.
+IDS_AT_ONCE = 500_000
 #: Characters read between two looks for a common boundary.
 LOOK = 32
 
@@ -161,8 +164,13 @@ def decode(coded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", text: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(ids))
-            offsets = np.concatenate([[0], np.cumsum([len(x) if x.is_valid else 0 for x in column])]).astype(np.int64)
-            texts = decoded(shared.value, np.asarray(column.flatten()).astype(np.int64), offsets)
+            offsets = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(column).fill_null(0).to_numpy())]).astype(np.int64)
+            flat, at, parts = np.asarray(column.flatten()), 0, []
+            while at < len(column):  # some rows at a time, as the decoder's work arrays are wider than its texts
+                to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + IDS_AT_ONCE, "right")) - 1)
+                parts.append(decoded(shared.value, flat[offsets[at]: offsets[to]], offsets[at: to + 1] - offsets[at]))
+                at = to
+            texts = pa.concat_arrays(parts) if parts else pa.array([], pa.string())
             nulls = pa.array([not x.is_valid for x in column], pa.bool_())
             yield with_columns(batch, {text: pa.compute.if_else(nulls, pa.scalar(None, pa.string()), texts)})
 

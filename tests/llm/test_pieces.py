@@ -99,7 +99,8 @@ def test_counts_equal_ids_on_odd_texts_and_after_clearing(vocabulary, monkeypatc
         assert sum(prefixes.count(s) for s in vocabulary.segments(t)) == len(brute(vocabulary, t))
 
 
-def test_odd_rows_and_empty_table(odd_docs, no_docs, vocabulary):
+def test_odd_rows_and_empty_table(odd_docs, no_docs, vocabulary, monkeypatch):
+    monkeypatch.setattr(P, "IDS_AT_ONCE", 7)
     docs = odd_docs.withColumn("ids", F.lit("clash")).withColumn("n_tokens", F.lit("clash"))
     both = P.decode(P.encode(docs, vocabulary), vocabulary).collect()
     assert [r.decoded for r in both] == [r.text for r in odd_docs.collect()]
