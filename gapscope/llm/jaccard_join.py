@@ -12,7 +12,9 @@ walking a prefix tree of the candidates with the probe's set
 of few classes; under others each class against two of them: linear work,
 which joins groups of near copies. Round two checks the pairs that still lie
 in different components; a shingle whose classes are all in one component is
-left out, since more links inside a component change nothing. So no link between different components is lost,
+left out, since more links inside a component change nothing. In both
+rounds, counts by hash cell (128 bytes a set) first rule out pairs that
+cannot share enough, so that few sets travel. So no link between different components is lost,
 and no group of near copies is expanded into its pairs.
 
 Scale: shingles are counted over all documents. The most frequent ones, at
@@ -48,6 +50,8 @@ PART, WHOLE = 75, 100
 MOST_FREQUENT = 1_000_000
 #: A shingle of so many classes or fewer has all its pairs checked in round one.
 FEW = 8
+#: Hash cells of a set's sketch, one byte each.
+CELLS = 128
 #: Candidates of one probe that share a task's prefix tree.
 BLOCK = 256
 #: Order keys hold the level of a shingle's count from this bit on, and its hash below.
@@ -207,11 +211,11 @@ def crossing_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def class_sets(docs: DataFrame, one_each: DataFrame, frequent) -> DataFrame:
-    """(sig, keys): the ordered set of each listed class, from the document (key, sig) that stands for it."""
+    """(sig, keys, sketch): the ordered set of each listed class, from the document (key, sig) that stands for it."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()  # repeated rows of a document
         for batch in batches:
-            signs, keys = [], []
+            signs, keys, sketches = [], [], []
             wanted = iter(batch.column(1).to_pylist())
             for texts in Texts.chunks(batch.column(0)):
                 for s in shingle_sets(texts):
@@ -219,16 +223,45 @@ def class_sets(docs: DataFrame, one_each: DataFrame, frequent) -> DataFrame:
                     if len(s) and sig not in done and signature(s) == sig:
                         done.add(sig)
                         signs.append(sig)
-                        keys.append(ordered(s, frequent.value).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(signs, pa.int64()), pa.array(keys, pa.binary())], names=["sig", "keys"])
+                        own = ordered(s, frequent.value)
+                        keys.append(own.tobytes())
+                        sketches.append(sketch(own))
+            yield pa.RecordBatch.from_arrays([pa.array(signs, pa.int64()), pa.array(keys, pa.binary()), pa.array(sketches, pa.binary())], names=["sig", "keys", "sketch"])
 
     same = docs["key"].eqNullSafe(F.col("one"))
-    return docs.join(one_each.withColumnRenamed("key", "one"), same).select("text", "sig").mapInArrow(build, "sig long, keys binary")
+    return docs.join(one_each.withColumnRenamed("key", "one"), same).select("text", "sig").mapInArrow(build, "sig long, keys binary, sketch binary")
+
+
+def sketch(keys: np.ndarray) -> bytes | None:
+    """How many of a set's shingles fall to each of ``CELLS`` hash cells; None where a count exceeds a byte."""
+    counts = np.bincount((keys & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS)
+    return counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256 else None
+
+
+def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b, sketch of a, sketch of b): pairs whose sketches leave room for a link.
+
+    Two sets share no more shingles of a cell than the smaller count there, so
+    the sum of the smaller counts bounds the intersection from above.
+    """
+    for batch in batches:
+        whole = np.array([x.is_valid and y.is_valid for x, y in zip(batch.column(2), batch.column(3))], bool)
+        keep = ~whole
+        if whole.any():
+            x, y = (np.frombuffer(b"".join(v for v in batch.column(k).filter(pa.array(whole)).to_pylist()), np.uint8).reshape(-1, CELLS).astype(np.int64) for k in (2, 3))
+            keep[whole] = (WHOLE + PART) * np.minimum(x, y).sum(1) >= PART * (x.sum(1) + y.sum(1))
+        yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
 def check_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link. Candidates of one probe share a prefix tree, ``BLOCK`` or so at a time."""
-    fit = stored(pairs, "jaccard-pairs")
+    """The pairs (a, b) that link.
+
+    The sets' sketches, much smaller than the sets, rule most pairs out.
+    Candidates of one probe share a prefix tree, ``BLOCK`` or so at a time.
+    """
+    small = sets.select("sig", "sketch")
+    both_sketches = pairs.join(small.toDF("a", "sketch_a"), "a").join(small.toDF("b", "sketch_b"), "b").select("a", "b", "sketch_a", "sketch_b")
+    fit = stored(both_sketches.mapInArrow(possible, "a long, b long"), "jaccard-pairs")
     # the class with more candidates is the probe
     both = fit.select(F.explode(F.array("a", "b")).alias("probe")).groupBy("probe").count()
     counted = fit.join(both.toDF("a", "ca"), "a").join(both.toDF("b", "cb"), "b")
@@ -238,7 +271,7 @@ def check_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         F.ceil(F.greatest("ca", "cb") / BLOCK).alias("blocks"))
     rows = stored(rows.withColumn("block", F.expr("pmod(hash(sig), blocks)")), "jaccard-candidates")
     probes = rows.select("probe", "block").distinct().select("probe", "block", F.col("probe").alias("sig"))
-    asked = rows.select("probe", "block", "sig").unionByName(probes).join(sets, "sig")
+    asked = rows.select("probe", "block", "sig").unionByName(probes).join(sets.select("sig", "keys"), "sig")
     dealt = asked.repartition(F.col("probe"), F.col("block")).sortWithinPartitions("probe", "block")
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -63,6 +63,23 @@ def test_prefix_tree_equals_all_pairs():
         assert sorted(PrefixTree(sets).linked(probe)) == want
 
 
+def test_sketches_never_rule_out_a_link():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(8)
+    pairs = []
+    for _ in range(300):
+        base = np.unique(rng.integers(0, 1 << 58, rng.integers(1, 400)).astype(np.uint64))
+        other = np.unique(np.where(rng.random(len(base)) < rng.choice([0.0, 0.1, 0.14, 0.3]), rng.integers(0, 1 << 58, len(base)).astype(np.uint64), base))
+        pairs.append((base, other))
+    pairs.append((np.arange(0, 128 * 300, 128, dtype=np.uint64),) * 2)
+    assert J.sketch(pairs[-1][0]) is None
+    batch = pa.RecordBatch.from_arrays([pa.array(range(301), pa.int64())] * 2 + [pa.array([J.sketch(p[k]) for p in pairs], pa.binary()) for k in (0, 1)], names=["a", "b", "x", "y"])
+    kept = {r for out in J.possible([batch]) for r in out.column(0).to_pylist()}
+    linked = {i for i, (x, y) in enumerate(pairs) if 100 * len(np.intersect1d(x, y)) >= 75 * len(np.union1d(x, y))}
+    assert linked <= kept and len(kept) < 301
+
+
 def test_least_overlap_is_exact():
     for n in range(1, 40):
         for m in range(1, 40):
