@@ -100,18 +100,19 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     flat = lambda name: found.column(name).chunk(0) if found.column(name).num_chunks else None
     lists = flat("buckets")
     rows_at = np.asarray(lists.offsets)
-    bucket, share = np.asarray(lists.values), np.asarray(flat("shares").values).astype(np.float64)
+    bucket, share = np.asarray(lists.values), np.asarray(flat("shares").values)
+    del found, lists
     part = np.arange(len(y)) % 4 == 3  # every fourth row calibrates
     if len(set(y[part])) < 2 or len(set(y[~part])) < 2:
         part = np.zeros(len(y), bool)
     weights, bias = descend(bucket, share, rows_at, y, ~part)
-    margins = row_sums(share * weights[bucket], rows_at) + bias
+    margins = row_sums(share * weights.astype(np.float32)[bucket], rows_at) + bias
     slope, shift = platt(margins[part], y[part]) if part.any() else (1.0, 0.0)
     return Model(weights.astype(np.float32), float(bias), slope, shift)
 
 
 def row_sums(values: np.ndarray, rows_at: np.ndarray) -> np.ndarray:
-    total = np.concatenate([[0.0], np.cumsum(values)])
+    total = np.concatenate([[0.0], np.cumsum(values, dtype=np.float64)])
     return total[rows_at[1:]] - total[rows_at[:-1]]
 
 
@@ -122,8 +123,8 @@ def descend(bucket, share, rows_at, y, used) -> tuple[np.ndarray, float]:
     bias = float(np.log(y[used].mean() / (1 - y[used].mean())))
     width = np.diff(rows_at)
     for _ in range(STEPS):
-        error = np.where(used, sigmoid(row_sums(share * weights[bucket], rows_at) + bias) - y, 0.0) / used.sum()
-        slope = np.bincount(bucket, share * np.repeat(error, width), minlength=size)
+        error = np.where(used, sigmoid(row_sums(share * weights.astype(np.float32)[bucket], rows_at) + bias) - y, 0.0) / used.sum()
+        slope = np.bincount(bucket, share * np.repeat(error.astype(np.float32), width), minlength=size)
         past += slope * slope
         weights -= RATE * slope / (np.sqrt(past) + 1e-12)
         bias -= 0.5 * error.sum()
