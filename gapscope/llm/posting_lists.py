@@ -7,7 +7,9 @@ it lies near a boundary, in further lists whose centroids are nearly as near
 and not hidden behind a chosen one. The centroids (at most ``MOST_LISTS``)
 and their neighbour graph are broadcast. A query walks the graph to its
 nearest centroids and reads the lists whose distance is within a ratio of
-the nearest one's.
+the nearest one's. Centroids that are equal up to rounding are one, so equal
+vectors share their lists and the queries that read them. Queries that find
+fewer than ``k`` rows read more lists until they have ``k`` or have read all.
 
 A list that many vectors share is dealt to several blocks, and so are the
 queries that read one list; a task compares one block of queries with one
@@ -18,7 +20,8 @@ of operations, so equal vectors tie exactly.
 Defined results: vectors that are null, all zero, or hold null or non-finite
 components take no part, nor do rows without an id, nor vectors whose length
 is not the table's most frequent one; repeated ids count once (the least of
-their vectors); a query without candidates has no rows; an empty table gives
+their vectors); a query has fewer than ``k`` rows only if the table has fewer
+other vectors, and none if it has no other; an empty table gives
 an empty table. Other columns are not used.
 """
 
@@ -42,6 +45,10 @@ LIST_SIZE, MOST_LISTS = 256, 4096
 REPLICA_RATIO, MOST_REPLICAS = 1.05, 3
 #: A query reads lists up to this ratio of its nearest centroid's distance, among so many nearest centroids.
 PROBE_RATIO, MOST_PROBES = 1.22, 256
+#: A query short of rows reads so many nearest lists, then so many times as many, and so on.
+MORE_LISTS, MORE_TIMES = 16, 4
+#: Distances below this are rounding noise (a distance is the root of a difference with an error of 1e-16 or more).
+NOISE = 1e-6
 GRAPH_DEGREE, BEAM = 24, 256
 VECTOR_BLOCK, QUERY_BLOCK = 2048, 512
 
@@ -80,10 +87,12 @@ class Centroids:
         found = sorted((-d, i) for d, i in best)[:count]
         return np.array([i for _, i in found]), np.array([d for d, _ in found])
 
-    def probes(self, query: np.ndarray) -> np.ndarray:
-        """The lists a query reads."""
-        ids, far = self.nearest(query, MOST_PROBES)
-        return ids[far <= PROBE_RATIO * max(far[0], 1e-9)]
+    def probes(self, query: np.ndarray, least: int = 1) -> np.ndarray:
+        """The lists a query reads, at least the ``least`` nearest."""
+        if least >= len(self.points):
+            return np.arange(len(self.points))
+        ids, far = self.nearest(query, max(MOST_PROBES, least))
+        return ids[(far <= PROBE_RATIO * max(far[0], NOISE)) | (np.arange(len(ids)) < least)]
 
     def replicas(self, vectors: np.ndarray) -> list[list[int]]:
         """The lists each unit vector goes to: the nearest, and boundary lists no chosen centroid hides."""
@@ -93,7 +102,7 @@ class Centroids:
         for row, order in zip(far, near):
             chosen: list[int] = []
             for j in order:
-                if len(chosen) == MOST_REPLICAS or row[j] > REPLICA_RATIO * row[order[0]] + 1e-9:
+                if len(chosen) == MOST_REPLICAS or row[j] > REPLICA_RATIO * max(row[order[0]], NOISE):
                     break
                 if not chosen or np.linalg.norm(self.points[chosen] - self.points[j], axis=1).min() >= row[j]:
                     chosen.append(int(j))
@@ -127,8 +136,18 @@ def halves(vectors: np.ndarray, lists: int, seed: int = 0) -> np.ndarray:
     return np.array(done)
 
 
+def apart(points: np.ndarray) -> np.ndarray:
+    """``points`` without those that equal an earlier one up to ``NOISE``."""
+    kept = np.ones(len(points), bool)
+    for i in range(len(points)):
+        if kept[i]:
+            kept[i + 1:] &= np.abs(points[i + 1:] - points[i]).max(1, initial=0) > NOISE
+    return points[kept]
+
+
 def centroid_graph(points: np.ndarray) -> Centroids:
     """Each centroid with its ``GRAPH_DEGREE`` nearest, links both ways, and a ring so that all can be reached."""
+    points = apart(points)
     n = len(points)
     links: list[set[int]] = [set() for _ in range(n)]
     for at in range(0, n, 1024):
@@ -181,14 +200,14 @@ def fit(rows: DataFrame, n: int, sample_rows: int = SAMPLE_ROWS) -> Centroids:
     return centroid_graph(halves(units(matrix(sample.column("vector"))), lists))
 
 
-def with_lists(rows: DataFrame, centroids, which: str) -> DataFrame:
-    """``rows`` once for each list they go to (``replicas``) or read (``probes``)."""
+def with_lists(rows: DataFrame, centroids, which: str, least: int = 1) -> DataFrame:
+    """``rows`` once for each list they go to (``replicas``) or read (``probes``, at least ``least`` lists)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 unit = units(matrix(part.column(1)))
-                lists = centroids.value.replicas(unit) if which == "replicas" else [centroids.value.probes(u) for u in unit]
+                lists = centroids.value.replicas(unit) if which == "replicas" else [centroids.value.probes(u, least) for u in unit]
                 taken = part.take(pa.array(np.repeat(np.arange(len(unit)), [len(x) for x in lists])))
                 yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(np.concatenate(lists).astype(np.int32), pa.int32())], names=[*taken.schema.names, "list"])
 
@@ -232,7 +251,22 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, key: str = "vec_id", vecto
     rows = rows.where(F.size("vector") == usual["d"])
     centroids = spark.sparkContext.broadcast(fit(rows, usual["count"]))
     listed = stored(with_lists(rows, centroids, "replicas"), "ann-lists")
-    asked = stored(with_lists(rows.where(is_query), centroids, "probes"), "ann-probes")
+    queries, n_lists, least = rows.where(is_query), len(centroids.value.points), 1
+    best = stored(best_of(listed, stored(with_lists(queries, centroids, "probes"), "ann-probes"), k), "ann-best")
+    while least < n_lists:
+        least = min(n_lists, least * MORE_TIMES if least > 1 else MORE_LISTS)
+        full = best.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"))
+        short = stored(queries.join(full, "vec_id", "left_anti").select(*rows.columns), "ann-short")
+        if short.isEmpty():
+            break
+        more = best_of(listed, stored(with_lists(short, centroids, "probes", least), "ann-probes"), k)
+        done = best.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").select(*best.columns)
+        best = stored(done.unionByName(more), "ann-best")
+    return best
+
+
+def best_of(listed: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """(query_id, rank, vec_id, score): the best ``k`` of each query among the vectors of the lists it reads."""
     # a cell is a block of a list's vectors and a block of the queries that read the list
     sizes = stored(blocks(listed, VECTOR_BLOCK, "vector_blocks").join(blocks(asked, QUERY_BLOCK, "query_blocks"), "list"), "ann-blocks")
     each = lambda own, other: (

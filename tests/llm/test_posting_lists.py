@@ -79,3 +79,24 @@ def test_lists_are_balanced_and_the_graph_reaches_all(spark):
     own = np.bincount((m @ c.points.T).argmax(1), minlength=64)
     assert own.max() < 6 * own.mean()
     assert len(c.nearest(m[0], 64)[0]) == 64
+
+
+def test_equal_vectors_are_read_where_they_are_stored():
+    for seed in range(60):
+        rng = np.random.default_rng(seed)
+        m = A.units(np.vstack([np.tile(rng.standard_normal(32), (700, 1)), rng.standard_normal((1400, 32))]).astype(np.float32).astype(np.float64))
+        c = A.centroid_graph(A.halves(m, 2100 // 64))
+        gaps = np.linalg.norm(c.points[:, None] - c.points[None], axis=2) + np.eye(len(c.points))
+        assert gaps.min() > 1e-6
+        assert set(c.replicas(m[:1])[0]) & set(c.probes(m[0]).tolist())
+
+
+def test_queries_short_of_rows_read_more_lists(spark, monkeypatch):
+    monkeypatch.setattr(A, "LIST_SIZE", 2)
+    monkeypatch.setattr(A, "MORE_LISTS", 2)
+    m = np.random.default_rng(2).standard_normal((120, 3))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id long, embedding array<double>")
+    got = rows_of(A.nearest(df, F.col("vec_id") % 2 == 0))
+    assert got.keys() == set(range(0, 120, 2)) and all(len(x) == 5 for x in got.values())
+    few = rows_of(A.nearest(df.where("vec_id < 4"), F.col("vec_id") % 2 == 0))
+    assert got.keys() > few.keys() == {0, 2} and all(len(x) == 3 for x in few.values())
