@@ -12,8 +12,13 @@ _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"
 _WORDS_OF_NAMES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements whose text is never page text.
-SILENT = ("script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "math", "object", "canvas", "select")
+#: Elements of raw text up to their end tag, which is never page text.
+SILENT = frozenset("script style title textarea iframe".split())
+#: Nodes of their own that do not end the line they are in.
+EMBEDDED = frozenset("svg math object canvas select noscript template".split())
+#: Inside these a start tag with "/>" has no content; elements are formatting but for the second set and for blocks of HTML.
+FOREIGN = frozenset(("svg", "math"))
+FOREIGN_BLOCKS = frozenset(("text", "foreignobject", "desc"))
 #: Formatting inside a block: its text belongs to the block.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup time tt u var label".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl dd dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section table ul".split())
@@ -101,7 +106,7 @@ def parse(source: str, label_attribute: str | None = None) -> Page:
 
     root = add(-1, "body", "")
     stack: list[tuple[str, int]] = [("body", root)]  # open elements and the node their text belongs to
-    at, size, links = 0, len(source), 0
+    at, size, links, foreign = 0, len(source), 0, 0
     parts = page.parts
 
     def text(raw: str) -> None:
@@ -117,14 +122,17 @@ def parse(source: str, label_attribute: str | None = None) -> Page:
             page.links[node] += n
 
     def close(down_to: int) -> None:
-        nonlocal links
+        nonlocal links, foreign
         while len(stack) > down_to:
             name, _ = stack.pop()
-            if name == "a":
-                links -= 1
-            if name not in INLINE:
+            links -= name == "a"
+            foreign -= name in FOREIGN
+            if name not in INLINE and name not in EMBEDDED and not formatting(name):
                 parts.append((-1, ""))
 
+    def formatting(name: str) -> bool:
+        return foreign > 0 and name not in KINDS and name not in FOREIGN_BLOCKS
+
     while at < size:
         m = _TOKEN.search(source, at)
         if m is None:
@@ -144,10 +152,14 @@ def parse(source: str, label_attribute: str | None = None) -> Page:
                     close(k)
                     break
             continue
+        if m[3].endswith("/") and (foreign or name in FOREIGN):
+            if name == "br" or name in KINDS:
+                parts.append((-1, ""))
+            continue
         if name in SILENT:
-            end = re.compile(rf"</{name}\s*>", re.I).search(source, at)
+            end = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I).search(source, at)
             at = end.end() if end else size
-            page.controls[stack[-1][1]] += name in ("textarea", "select")
+            page.controls[stack[-1][1]] += name == "textarea"
             continue
         if name in VOID:
             if name in ("br", "hr", "img"):
@@ -173,7 +185,13 @@ def parse(source: str, label_attribute: str | None = None) -> Page:
                     found = k
             if found:
                 close(found)
-        if name in INLINE:
+        if name in EMBEDDED:
+            page.controls[stack[-1][1]] += name == "select"
+            own = add(stack[-1][1], name, m[3])
+            page.hidden[own] |= name == "template"
+            stack.append((name, own))
+            foreign += name in FOREIGN
+        elif name in INLINE or formatting(name):
             links += name == "a"
             attributes = m[3]
             own = stack[-1][1]

@@ -8,7 +8,8 @@ pseudo-likelihood: a node's label is regressed on its look and on its
 neighbours' labels. On a tree, sum-product message passing is exact: one
 pass from the leaves up, one from the root down, and every node has its
 marginal. Text of nodes with a marginal of one half or more is kept, in page
-order. Scripts, styles, titles and other silent elements are no nodes.
+order. Scripts, styles, titles, text areas and inner frames are no nodes;
+pictures, formulas, objects and lists of choices are nodes like any other.
 
 Messages are passed for a whole batch of pages at once, level by level. Work
 is per row: no shuffle, no state. The training pages

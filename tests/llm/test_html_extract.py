@@ -81,3 +81,22 @@ def test_odd_rows_and_empty_table(spark, model):
     assert [(r.page_id, r.url) for r in got] == [(r[0], r[1]) for r in rows]
     assert got[0].text == got[1].text == "" and got[3].n_chars == 40_000 * 6 - 1 and got[4] == got[5]
     assert H.extract(pages.where("false"), model).count() == 0
+
+
+def test_embedded_elements_take_no_text_with_them(model):
+    whole = lambda source: (lambda page: assembled(page, [True] * len(page.parent)))(parse(source))
+    assert whole("<svg/><p>one</p><math display='block'/><p>two</p>") == "one two"
+    assert whole("<svg><svg><path d='M0'/></svg><g><text>in</text></g></svg>out") == "in out"
+    assert whole("<object data=a><object data=b>inner</object>outer</object> after") == "innerouter after"
+    for name in ("select", "object", "canvas", "noscript", "template", "svg", "math"):
+        assert whole(f"<div><{name}></div><p>one</p><p>two</p>") == "one two"
+        assert whole(f"<{name}><p>one</p><p>two</p>") == "one two"
+    assert whole("<p>for <math><mi>x</mi><mo>=</mo><mn>1</mn></math>, say</p>") == "for x=1, say"
+    assert whole("<svg><title/><style/><g/></svg><p>a<script>b</script >c</p>") == "ac"
+    article = "".join(f"<p>The {w} of this ated and inre ther, onti was eres and hand.</p>" for w in ("an", "ble", "ou"))
+    body = " ".join(f"The {w} of this ated and inre ther, onti was eres and hand." for w in ("an", "ble", "ou"))
+    page = '<header>{0}<a href="/">Site name</a></header><nav><a href=a>Home</a></nav><main><article><h1>Head line</h1>{1}</article></main><footer>&copy; 2020 Site name</footer>'
+    for mark in ("", '<svg class="logo" viewBox="0 0 9 9"/>', "<math/>", '<svg><svg><path d="M0"/></svg><g></g></svg>', "<canvas></canvas>"):
+        assert H.main_texts([page.format(mark, article)], model)[0] == f"Head line {body}"
+    for name in ("noscript", "object"):
+        assert H.main_texts([page.format("", f"<{name}>{article}</{name}>")], model)[0] == f"Head line {body}"
