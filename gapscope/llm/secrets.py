@@ -3,9 +3,13 @@
 Three kinds come from patterns: ``assign`` (a name like ``password`` and a
 value of 6 or more characters), ``access`` (``AKIA`` keys of 20 or more) and
 ``hex`` (24 or more lower-case hex digits). The battery adds ``random``:
-runs of 20 or more key-like characters, with a digit and a letter, that touch
-no span of the other kinds and look like uniform draws from the alphabet of
-the encoding inferred for them. Per run it computes a chi-squared test of
+runs of 20 or more key-like characters, with a digit and a letter or letters
+of both cases, that look like uniform draws from the alphabet of the encoding
+inferred for them. Spans of the other kinds are cut out of a run; what is left
+on either side is tested. Besides a whole run, its parts between ``/`` and its
+parts between ``/``, ``_`` and ``-`` are tested, so a path or a prefix does
+not hide a key; of runs within each other, the outermost that is reported
+stands for all. Per run it computes a chi-squared test of
 alphabet uniformity, a runs test and a lag-one serial correlation test, and
 takes three times the smallest p-value. Ordinary identifiers are then
 *rejected* as random by the Benjamini-Hochberg rule over all candidates of
@@ -39,9 +43,12 @@ HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "random")
 LEAST_ASSIGNED = 6
 
-RUN = r"[A-Za-z0-9+/_-]{20,}"
+LEAST_RUN = 20
+RUN = rf"[A-Za-z0-9+/_-]{{{LEAST_RUN},}}"
+#: A run's parts between slashes, and between any separators.
+PARTS = (rf"[A-Za-z0-9+_-]{{{LEAST_RUN},}}", rf"[A-Za-z0-9+]{{{LEAST_RUN},}}")
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-ALPHABETS = {"hex": DIGITS + LOWER[:6], "base32": UPPER + "234567", "base36": DIGITS + LOWER, "base64": UPPER + LOWER + DIGITS + "+/"}
+ALPHABETS = {"hex": DIGITS + LOWER[:6], "base32": UPPER + "234567", "base36": DIGITS + LOWER, "letters": UPPER + LOWER, "base64": UPPER + LOWER + DIGITS + "+/"}
 BANDS = (32, 48, 80)
 #: Allowed share of falsely rejected runs: RATE at RATE_LENGTH characters, more for shorter runs.
 RATE, RATE_LENGTH, MOST_RATE = 0.05, 64, 0.25
@@ -127,10 +134,10 @@ def chi_squared_tail(x: Column, freedom: Column) -> Column:
 
 
 def inferred_encoding(run: Column) -> Column:
-    """Name of the smallest alphabet that fits; null for runs of letters or of digits only."""
-    mixed = run.rlike("[0-9]") & run.rlike("[A-Za-z]")
+    """Name of the smallest alphabet that fits; null for runs of digits only or of letters of one case."""
+    mixed = (run.rlike("[0-9]") & run.rlike("[A-Za-z]")) | (run.rlike("[a-z]") & run.rlike("[A-Z]"))
     return F.when(mixed, F.when(run.rlike("^([0-9a-f]+|[0-9A-F]+)$"), "hex").when(run.rlike("^[A-Z2-7]+$"), "base32")
-                  .when(run.rlike("^([0-9a-z]+|[0-9A-Z]+)$"), "base36").otherwise("base64"))
+                  .when(run.rlike("^([0-9a-z]+|[0-9A-Z]+)$"), "base36").when(run.rlike("^[A-Za-z]+$"), "letters").otherwise("base64"))
 
 
 def p_value(run: Column, encoding: Column) -> Column:
@@ -180,8 +187,43 @@ def _smallest(x: Column, a: Column, n: Column, bins: Column) -> Column:
         uniformity, let(high, lambda h: runs_test(h, pairs)), let(mean, lambda m: serial_test(m, pairs))))
 
 
+def free_of(run: Column, base: Column) -> Column:
+    """array<struct<start, end, hit>>: the stretches of ``run`` outside the base spans, of ``LEAST_RUN`` characters or more."""
+    kind = "array<struct<start:bigint,end:bigint,hit:string>>"
+
+    def stretch(g: Column, end: Column) -> Column:
+        hit = F.substr(run["hit"], (g["at"] - run["start"] + 1).cast("int"), (end - g["at"]).cast("int"))
+        long = F.array(F.struct(g["at"].alias("start"), end.alias("end"), hit.alias("hit")))
+        return F.when(end - g["at"] >= LEAST_RUN, F.concat(g["out"], long)).otherwise(g["out"])
+
+    def cut(spans: Column) -> Column:
+        start = F.struct(run["start"].alias("at"), F.array().cast(kind).alias("out"))
+        step = lambda g, b: F.struct(F.greatest(g["at"], b["end"]).alias("at"), stretch(g, b["start"]).alias("out"))
+        return F.aggregate(spans, start, step, lambda g: stretch(g, run["end"]))
+
+    touching = F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
+    return let(touching, lambda spans: F.when(F.size(spans) == 0, F.array(run)).otherwise(cut(spans)))
+
+
+def candidates(text: Column, base: Column) -> Column:
+    """array<struct<start, end, hit>>: runs and their parts outside the base spans, each once, by position."""
+    levels = [F.flatten(F.transform(located(text, pattern), lambda s: free_of(s, base))) for pattern in (RUN, *PARTS)]
+    return let(F.array_sort(F.concat(*levels)), lambda all_: F.filter(all_, lambda s, i: (i == 0) | (F.get(all_, i - 1) != s)))
+
+
+def outermost(runs: Column) -> Column:
+    """array<struct<start, end>>: ``runs`` without those inside another one."""
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("out"))
+
+    def step(g: Column, r: Column) -> Column:
+        own = F.array(F.struct(r["start"].alias("start"), (-r["back"]).alias("end")))
+        return F.struct(F.greatest(g["at"], -r["back"]).alias("at"), F.when(-r["back"] > g["at"], F.concat(g["out"], own)).otherwise(g["out"]).alias("out"))
+
+    return F.aggregate(F.array_sort(F.transform(runs, lambda r: F.struct(r["start"].alias("start"), (-r["end"]).alias("back")))), start, step, lambda g: g["out"])
+
+
 def tested_runs(text: Column, base: Column) -> Column:
-    """array<struct<start, end, stratum, cell>> of the candidates that touch no base span."""
+    """array<struct<start, end, stratum, cell>> of the candidates."""
     none = F.array().cast("array<struct<start:bigint,end:bigint,stratum:string,cell:int>>")
 
     def tested(s: Column) -> Column:
@@ -193,8 +235,7 @@ def tested_runs(text: Column, base: Column) -> Column:
         return F.struct(s["start"].alias("start"), s["end"].alias("end"), F.concat_ws(":", s["encoding"], band.cast("string")).alias("stratum"),
                         F.least(cell, F.lit(LAST_CELL)).cast("int").alias("cell"))
 
-    free = F.filter(located(text, RUN), lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    named = F.transform(free, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["hit"].alias("hit"), inferred_encoding(s["hit"]).alias("encoding")))
+    named = F.transform(candidates(text, base), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["hit"].alias("hit"), inferred_encoding(s["hit"]).alias("encoding")))
     return F.when(text.rlike(RUN), F.transform(F.filter(named, lambda s: s["encoding"].isNotNull()), tested)).otherwise(none)
 
 
@@ -238,7 +279,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     limits = cuts.agg(F.map_from_entries(F.collect_list(F.struct("stratum", "cut"))).alias("m")).scalar()
     found = let(base_spans(value), lambda b: F.struct(b.alias("base"), tested_runs(value, b).alias("runs")))
     random = F.filter("_found.runs", lambda r: r["cell"] < F.coalesce(F.try_element_at(F.col("_limits"), r["stratum"]), F.lit(LAST_CELL + 1)))
-    added = of_kind(KINDS.index("random"), random)
+    added = of_kind(KINDS.index("random"), outermost(random))
     return (base.withColumn("_found", found).withColumn("_limits", limits)
             .withColumn("secrets", F.array_sort(F.concat("_found.base", added))).drop("_found", "_limits"))
 
