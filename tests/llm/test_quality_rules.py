@@ -71,3 +71,17 @@ def test_odd_rows_and_empty_table(odd_docs, no_docs):
     assert counts(r for r in rows if r.doc_id is not None) == {r.doc_id: brute(r.text) for r in odd_docs.collect() if r.doc_id is not None}
     assert len(rows) == docs.count() and all(isinstance(r.kept, bool) for r in rows)
     assert Q.apply_rules(no_docs, None).count() == 0
+
+
+def test_large_sample_stays_distributed_and_fits_alike(spark, monkeypatch):
+    docs, labels = spark.read.parquet(f"{SF_MORE}/documents.parquet"), spark.read.parquet(f"{SF_MORE}/labels.parquet")
+    want = Q.fit(docs, labels, rows=300)
+    kind = type(docs)
+    collected, to_arrow = [], kind.toArrow
+    monkeypatch.setattr(kind, "toArrow", lambda df: (collected.append(df.columns), to_arrow(df))[1])
+    monkeypatch.setattr(Q, "MOST_PAIRS", 1000, raising=False)
+    monkeypatch.setattr(Q, "SAMPLE_PARTS", 3, raising=False)
+    got = Q.fit(docs, labels, rows=300)
+    assert collected and not [c for c in collected if "buckets" in c]
+    assert np.abs(got.weights - want.weights).max() < 1e-3 and abs(got.bias - want.bias) < 1e-4
+    assert abs(got.slope - want.slope) < 1e-3 and abs(got.shift - want.shift) < 1e-3
