@@ -346,13 +346,18 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, component_id) per row of ``docs``; the id is the smallest key of the component."""
     documents, labels = jaccard_classes(docs, key, text)
-    smallest = documents.where("sig is not null").groupBy("sig").agg(F.min("key").alias("own")).join(labels, "sig", "left").withColumn("label", F.coalesce("label", "sig"))
-    of_label = smallest.groupBy("label").agg(F.min("own").alias("component"))
-    of_class = smallest.join(of_label, "label").select("sig", "component")
+    of_class = class_components(documents, labels).select("sig", "component")
     return documents.join(of_class, "sig", "left").select(
         F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "key").alias("component_id"))
 
 
+def class_components(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """(sig, label, component) of each class; ``component`` is the smallest key, null if no document of it has one."""
+    smallest = documents.where("sig is not null").groupBy("sig").agg(F.min("key").alias("own")).join(labels, "sig", "left").withColumn("label", F.coalesce("label", "sig"))
+    of_label = smallest.groupBy("label").agg(F.min("own").alias("component"))
+    return smallest.join(of_label, "label").select("sig", "label", "component")
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read(spark, sf_dir, "documents"))
 

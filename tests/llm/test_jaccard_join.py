@@ -129,3 +129,15 @@ def test_odd_rows_and_empty_table(odd_docs, no_docs):
     docs = odd_docs.withColumn("key", F.lit("clash")).withColumn("component_id", F.lit(1))
     assert got(J.jaccard_components(docs)) == brute([(r.doc_id, r.text) for r in odd_docs.collect()])
     assert J.jaccard_components(no_docs).count() == 0
+
+
+def test_rows_without_an_id_are_reduced_to_one_of_each_group(spark):
+    from gapscope.llm.near_copies import one_of_each
+
+    say = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    rows = [(None, say(1)), (None, say(1)), (None, say(1) + " more"), (5, say(2)), (6, say(2)), (None, say(2)), (None, say(3)), (None, ""), (None, ""), (None, None), (7, say(4))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.text) for r in one_of_each(docs).collect()]
+    assert len([t for k, t in got if k is None and t in (say(1), say(1) + " more")]) == 1
+    assert sorted(k for k, _ in got if k is not None) == [5, 7]
+    assert got.count((None, say(2))) == 0 and got.count((None, say(3))) == 1 and got.count((None, "")) == 2 and got.count((None, None)) == 1
