@@ -42,6 +42,8 @@ SAMPLE_ROWS = 3000
 #: (bucket, share) pairs of 8 bytes that the driver takes at most; parts of a sample that has more.
 MOST_PAIRS, SAMPLE_PARTS = 16_000_000, 48
 STEPS, RATE = 40, 1.0
+#: Bytes of text judged at a time, to lower the peak of an executor.
+TEXT_BYTES = 2 << 20
 #: A text is kept from this probability of label 1.
 KEEP_AT = 0.5
 LEAST_WORDS, WINDOW, MOST_REPEATED_PERCENT = 10, 5, 20
@@ -83,7 +85,7 @@ def gram_shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key, label, text) to (key, label, buckets, shares): a text's n-grams as shares of their family."""
     for batch in batches:
         at = 0
-        for texts in Texts.chunks(batch.column(2)):
+        for texts in Texts.chunks(batch.column(2), TEXT_BYTES):
             buckets, shares = [], []
             families = list(gram_families(texts, Words(texts), BITS))
             for i in range(len(texts)):
@@ -227,7 +229,7 @@ def repeated_lines(texts: Texts) -> np.ndarray:
 
 def judged(column: pa.Array, model: Model | None) -> dict[str, pa.Array]:
     parts: dict[str, list[np.ndarray]] = {f.name: [] for f in ADDED.fields}
-    for texts in Texts.chunks(column):
+    for texts in Texts.chunks(column, TEXT_BYTES):
         words = Words(texts)
         counts = base_counts(texts, words)
         counts["base_failed"] = (counts["n_words"] < LEAST_WORDS) | (100 * counts["n_repeat_words"] > MOST_REPEATED_PERCENT * counts["n_words"])
