@@ -6,6 +6,7 @@ from gapscope.llm import (
     chat_views,
     html_extract,
     jaccard_join,
+    merkle_manifest,
     mixing,
     piece_stream,
     posting_lists,
@@ -15,7 +16,7 @@ from gapscope.llm import (
     token_counts,
 )
 
-_MODULES = (quality_votes, chat_views, html_extract, piece_stream, jaccard_join, token_counts, quality_rules, secrets, posting_lists, mixing)
+_MODULES = (quality_votes, chat_views, html_extract, piece_stream, jaccard_join, token_counts, quality_rules, secrets, posting_lists, mixing, merkle_manifest)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in getattr(module, "ORACLE", {}).items()}
