@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from gapscope.llm import (
     chat_views,
+    decontamination,
     html_extract,
     jaccard_join,
     merkle_manifest,
@@ -16,7 +17,7 @@ from gapscope.llm import (
     token_counts,
 )
 
-_MODULES = (quality_votes, chat_views, html_extract, piece_stream, jaccard_join, token_counts, quality_rules, secrets, posting_lists, mixing, merkle_manifest)
+_MODULES = (quality_votes, chat_views, html_extract, piece_stream, jaccard_join, token_counts, quality_rules, secrets, posting_lists, mixing, merkle_manifest, decontamination)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in getattr(module, "ORACLE", {}).items()}

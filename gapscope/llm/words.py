@@ -76,12 +76,12 @@ class Texts:
 
 
 class Words:
-    """Words of ``texts``: byte positions, and which text each is in."""
+    """Words of ``texts`` (runs of the bytes flagged in ``in_word``): byte positions, and which text each is in."""
 
-    def __init__(self, texts: Texts):
+    def __init__(self, texts: Texts, in_word: np.ndarray = _IN_WORD):
         data, offsets = texts.data, texts.offsets
         self.texts = texts
-        inside = _IN_WORD[data]
+        inside = in_word[data]
         first = inside.copy()
         first[1:] &= ~inside[:-1]
         heads = offsets[:-1][np.diff(offsets) > 0]
