@@ -9,6 +9,7 @@ from gapscope.llm import (
     jaccard_join,
     merkle_manifest,
     mixing,
+    phrase_mining,
     piece_stream,
     posting_lists,
     quality_rules,
@@ -17,7 +18,7 @@ from gapscope.llm import (
     token_counts,
 )
 
-_MODULES = (quality_votes, chat_views, html_extract, piece_stream, jaccard_join, token_counts, quality_rules, secrets, posting_lists, mixing, merkle_manifest, decontamination)
+_MODULES = (quality_votes, chat_views, html_extract, piece_stream, jaccard_join, token_counts, quality_rules, secrets, posting_lists, mixing, phrase_mining, merkle_manifest, decontamination)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in getattr(module, "ORACLE", {}).items()}
