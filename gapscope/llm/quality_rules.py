@@ -8,11 +8,10 @@ scored in one pass over its bytes, whole, without a feature matrix. The
 score is calibrated on rows kept out of the fit (Platt's method) and held
 against a fixed threshold.
 
-The fit uses at most ``SAMPLE_ROWS`` labelled rows, chosen by hash. Each has
-at most ``4 * 2 ** BITS`` (bucket, share) pairs, far fewer in ordinary texts.
-Up to ``MOST_PAIRS`` of them in all are brought to the driver; beyond that
-they stay in the scratch folder, and a step brings a gradient of ``2 ** BITS``
-sums from each of some ``SAMPLE_PARTS`` tasks. Both take the same steps.
+The fit uses at most ``SAMPLE_ROWS`` labelled ids, chosen by hash, and one
+document of each. Their (bucket, share) pairs stay in the scratch folder, in
+``SAMPLE_PARTS`` parts; a step brings a gradient of ``2 ** BITS`` sums from
+each part's tasks, so the driver holds no document's features, whatever their size. One row in four, by the id's hash, calibrates.
 Everything else is per row: no shuffle, no state.
 
 Defined results: null and empty texts have no words, so they fail the base
@@ -33,14 +32,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gapscope.llm.common import labelled_sample, read, stored, with_columns
+from gapscope.llm.common import labelled_documents, read, stored, with_columns
 from gapscope.llm.grams import gram_families, sums
 from gapscope.llm.words import Texts, Words, in_text, lines_with_words, per_text, repeated, segment_hashes, sequence_hashes
 
 BITS = 16
 SAMPLE_ROWS = 3000
-#: (bucket, share) pairs of 8 bytes that the driver takes at most; parts of a sample that has more.
-MOST_PAIRS, SAMPLE_PARTS = 16_000_000, 48
+#: Parts in which the sample's features are kept.
+SAMPLE_PARTS = 12
 STEPS, RATE = 40, 1.0
 #: Bytes of text judged at a time, to lower the peak of an executor.
 TEXT_BYTES = 2 << 20
@@ -82,7 +81,7 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def gram_shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, label, text) to (key, label, buckets, shares): a text's n-grams as shares of their family."""
+    """(key, label, text, used) to (key, label, used, buckets, shares): a text's n-grams as shares of their family."""
     for batch in batches:
         at = 0
         for texts in Texts.chunks(batch.column(2), TEXT_BYTES):
@@ -93,80 +92,61 @@ def gram_shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 buckets.append(np.concatenate([u for (u, _), _ in found]) if found else np.empty(0, np.int32))
                 shares.append(np.concatenate([n / c for (_, n), c in found]).astype(np.float32) if found else np.empty(0, np.float32))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(at, len(texts)), batch.column(1).slice(at, len(texts)), pa.array(buckets, pa.list_(pa.int32())), pa.array(shares, pa.list_(pa.float32()))], names=["key", "label", "buckets", "shares"])
+                [*(batch.column(k).slice(at, len(texts)) for k in (0, 1, 3)), pa.array(buckets, pa.list_(pa.int32())), pa.array(shares, pa.list_(pa.float32()))], names=["key", "label", "used", "buckets", "shares"])
             at += len(texts)
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", rows: int = SAMPLE_ROWS) -> Model | None:
     """Fit and calibrate on a bounded labelled sample; None if it lacks one of the classes."""
-    sample = labelled_sample(labels, key, label, rows)
-    picked = docs.select(key, text).join(F.broadcast(sample), key).select(F.col(key).cast("string").alias("key"), F.col("_label").alias("label"), F.col(text).alias("text"))
-    pairs = stored(picked.mapInArrow(gram_shares, "key string, label int, buckets array<int>, shares array<float>"), "quality-sample")
-    rows_of = pairs.select("key", "label").toArrow().sort_by([("key", "ascending")])
-    y = rows_of.column("label").to_numpy().astype(float)
-    if not len(y) or y.min() == y.max():
+    picked = labelled_documents(docs, labels, key, text, label, rows).withColumn("used", F.pmod(F.xxhash64("key"), F.lit(4)) != 3)
+    pairs = stored(picked.repartition(SAMPLE_PARTS, "key").sortWithinPartitions("key").mapInArrow(gram_shares, "key string, label int, used boolean, buckets array<int>, shares array<float>"), "quality-sample")
+    of_part = {row["used"]: (row["n"], row["ones"]) for row in pairs.groupBy("used").agg(F.count("*").alias("n"), F.sum("label").alias("ones")).collect()}
+    n_all, ones_all = (sum(v) for v in zip((0, 0), *of_part.values()))
+    if not 0 < ones_all < n_all:
         return None
-    part = np.arange(len(y)) % 4 == 3  # every fourth row calibrates
-    if len(set(y[part])) < 2 or len(set(y[~part])) < 2:
-        part = np.zeros(len(y), bool)
-    n_used = int((~part).sum())
-    if (pairs.agg(F.sum(F.size("buckets"))).first()[0] or 0) > MOST_PAIRS:
-        found = Spread(pairs, rows_of.column("key").filter(pa.array(part)).to_pylist())
-    else:
-        table = pairs.toArrow().sort_by([("key", "ascending")]).combine_chunks()
-        found = Held(table.column("buckets").chunk(0), table.column("shares").chunk(0), y, ~part)
-        del table
-    weights, bias = descend(found, float(np.log(y[~part].mean() / (1 - y[~part].mean()))), n_used)
-    margins, y, part = found.margins(weights.astype(np.float32), bias)
-    slope, shift = platt(margins[part], y[part]) if part.any() else (1.0, 0.0)
+    if not all(0 < ones < n for n, ones in (of_part.get(used, (0, 0)) for used in (True, False))):
+        pairs, of_part = pairs.withColumn("used", F.lit(True)), {True: (n_all, ones_all)}  # too few rows to keep some back
+    n, ones = of_part[True]
+    sample = Sample(pairs, n)
+    weights, bias = descend(sample, float(np.log(ones / (n - ones))))
+    margins, y, used = sample.margins(weights.astype(np.float32), bias)
+    slope, shift = (1.0, 0.0) if used.all() else platt(margins[~used], y[~used])
     return Model(weights.astype(np.float32), float(bias), slope, shift)
 
 
-class Held:
-    """Pairs of some rows in memory, the rows' labels, and which of them the fit uses."""
+class Sample:
+    """The sample's features in the scratch folder: tasks hand sums to the driver. ``n_used`` rows are fitted."""
 
-    def __init__(self, buckets: pa.ListArray, shares: pa.ListArray, y: np.ndarray, used: np.ndarray):
-        offsets = np.asarray(buckets.offsets)
-        self.rows_at, self.y, self.used = offsets - offsets[0], y, used
-        self.bucket, self.share = np.asarray(buckets.flatten()), np.asarray(shares.flatten())
-
-    def margins(self, weights: np.ndarray, bias: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(margin, label, calibrates) of each row."""
-        return row_sums(self.share * weights[self.bucket], self.rows_at) + bias, self.y, ~self.used
-
-    def gradient(self, weights: np.ndarray, bias: float, n_used: int) -> tuple[np.ndarray, float]:
-        """Sum of the used rows' errors per bucket, by share, and of the errors."""
-        error = np.where(self.used, sigmoid(self.margins(weights, bias)[0]) - self.y, 0.0) / n_used
-        return np.bincount(self.bucket, self.share * np.repeat(error.astype(np.float32), np.diff(self.rows_at)), minlength=1 << BITS), float(error.sum())
-
-
-class Spread:
-    """The same for rows in the scratch folder: tasks hand sums to the driver."""
-
-    def __init__(self, pairs: DataFrame, calibrating: list[str]):
-        parts = pairs.withColumn("used", ~F.col("key").isin(calibrating)).repartition(SAMPLE_PARTS, "key").sortWithinPartitions("key")
-        self.rows = stored(parts, "quality-parts")
+    def __init__(self, pairs: DataFrame, n_used: int):
+        self.pairs, self.n_used = pairs, n_used
 
     def each(self, made, schema: str) -> pa.Table:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 if b.num_rows:
-                    held = Held(b.column(2), b.column(3), b.column(1).to_numpy().astype(float), b.column(4).to_numpy(zero_copy_only=False))
-                    yield made(b.column(0), held)
+                    offsets = np.asarray(b.column(3).offsets)
+                    yield made(b.column(0), b.column(1).to_numpy().astype(float), b.column(2).to_numpy(zero_copy_only=False), offsets - offsets[0],
+                               np.asarray(b.column(3).flatten()), np.asarray(b.column(4).flatten()))
 
-        return self.rows.mapInArrow(run, schema).toArrow().sort_by([("key", "ascending")])
+        return self.pairs.mapInArrow(run, schema).toArrow().sort_by([("key", "ascending")])
 
     def margins(self, weights: np.ndarray, bias: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        def made(keys: pa.Array, held: Held) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([keys, *map(pa.array, held.margins(weights, bias))], names=["key", "margin", "y", "part"])
+        """(margin, label, fitted?) of each row."""
+        def made(keys, y, used, rows_at, bucket, share) -> pa.RecordBatch:
+            margin = row_sums(share * weights[bucket], rows_at) + bias
+            return pa.RecordBatch.from_arrays([keys, pa.array(margin), pa.array(y), pa.array(used)], names=["key", "margin", "y", "used"])
+
+        out = self.each(made, "key string, margin double, y double, used boolean")
+        return tuple(out.column(n).to_numpy() for n in ("margin", "y", "used"))
 
-        out = self.each(made, "key string, margin double, y double, part boolean")
-        return tuple(out.column(n).to_numpy() for n in ("margin", "y", "part"))
+    def gradient(self, weights: np.ndarray, bias: float) -> tuple[np.ndarray, float]:
+        """Mean of the fitted rows' errors per bucket, by share, and of the errors."""
+        n_used = self.n_used
 
-    def gradient(self, weights: np.ndarray, bias: float, n_used: int) -> tuple[np.ndarray, float]:
-        def made(keys: pa.Array, held: Held) -> pa.RecordBatch:
-            slope, error = held.gradient(weights, bias, n_used)
-            return pa.RecordBatch.from_arrays([keys.slice(0, 1), pa.array([slope.tobytes()], pa.binary()), pa.array([error])], names=["key", "slope", "error"])
+        def made(keys, y, used, rows_at, bucket, share) -> pa.RecordBatch:
+            error = np.where(used, sigmoid(row_sums(share * weights[bucket], rows_at) + bias) - y, 0.0) / n_used
+            slope = np.bincount(bucket, share * np.repeat(error.astype(np.float32), np.diff(rows_at)), minlength=1 << BITS)
+            return pa.RecordBatch.from_arrays([keys.slice(0, 1), pa.array([slope.tobytes()], pa.binary()), pa.array([float(error.sum())])], names=["key", "slope", "error"])
 
         out = self.each(made, "key string, slope binary, error double")
         return sum(np.frombuffer(x) for x in out.column("slope").to_pylist()), sum(out.column("error").to_pylist())
@@ -177,12 +157,12 @@ def row_sums(values: np.ndarray, rows_at: np.ndarray) -> np.ndarray:
     return total[rows_at[1:]] - total[rows_at[:-1]]
 
 
-def descend(found: Held | Spread, bias: float, n_used: int) -> tuple[np.ndarray, float]:
+def descend(sample: Sample, bias: float) -> tuple[np.ndarray, float]:
     """Full-batch gradient descent with a step per weight that shrinks with its past gradients."""
     size = 1 << BITS
     weights, past = np.zeros(size), np.zeros(size)
     for _ in range(STEPS):
-        slope, error = found.gradient(weights.astype(np.float32), bias, n_used)
+        slope, error = sample.gradient(weights.astype(np.float32), bias)
         past += slope * slope
         weights -= RATE * slope / (np.sqrt(past) + 1e-12)
         bias -= 0.5 * error

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gapscope.llm.common import labelled_sample, read, with_columns
+from gapscope.llm.common import labelled_documents, read, with_columns
 from gapscope.llm.grams import byte_grams
 from gapscope.llm.words import Texts, Words
 
@@ -93,12 +93,11 @@ class Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", rows: int = SAMPLE_ROWS) -> Model | None:
-    """Latent space of at most ``rows`` labelled documents outside the held-out fold; None without any.
+    """Latent space of at most ``rows`` labelled documents (one of each id) outside the held-out fold; None without any.
 
     The sample's features reach the driver: at most ``rows x SIZE`` floats.
     """
-    sample = labelled_sample(labels.where(~held_out(F.col(key))), key, label, rows)
-    picked = docs.select(key, text).join(F.broadcast(sample), key).select(F.col(key).cast("string").alias("key"), F.col("_label").alias("label"), F.col(text).alias("text"))
+    picked = labelled_documents(docs, labels.where(~held_out(F.col(key))), key, text, label, rows)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

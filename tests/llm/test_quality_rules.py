@@ -3,9 +3,11 @@
 import re
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from gapscope.llm import quality_rules as Q
+from gapscope.llm.common import labelled_documents
 
 SF = "/root/testdata/sf0.001"
 SF_MORE = "/root/testdata/sf0.01"
@@ -73,15 +75,66 @@ def test_odd_rows_and_empty_table(odd_docs, no_docs):
     assert Q.apply_rules(no_docs, None).count() == 0
 
 
-def test_large_sample_stays_distributed_and_fits_alike(spark, monkeypatch):
+def test_features_stay_distributed(spark, monkeypatch):
     docs, labels = spark.read.parquet(f"{SF_MORE}/documents.parquet"), spark.read.parquet(f"{SF_MORE}/labels.parquet")
     want = Q.fit(docs, labels, rows=300)
     kind = type(docs)
     collected, to_arrow = [], kind.toArrow
     monkeypatch.setattr(kind, "toArrow", lambda df: (collected.append(df.columns), to_arrow(df))[1])
-    monkeypatch.setattr(Q, "MOST_PAIRS", 1000, raising=False)
-    monkeypatch.setattr(Q, "SAMPLE_PARTS", 3, raising=False)
+    monkeypatch.setattr(Q, "SAMPLE_PARTS", 3)
     got = Q.fit(docs, labels, rows=300)
     assert collected and not [c for c in collected if "buckets" in c]
     assert np.abs(got.weights - want.weights).max() < 1e-3 and abs(got.bias - want.bias) < 1e-4
     assert abs(got.slope - want.slope) < 1e-3 and abs(got.shift - want.shift) < 1e-3
+
+
+def labelled(spark):
+    good, bad = "the quiet river runs past old stone mills toward a wide green valley {}", "win cash now click here buy cheap pills best price offer {}"
+    rows = [(i, (good if i % 2 else bad).format("x" * i), i % 2) for i in range(24)]
+    return spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int")
+
+
+def test_probabilities_of_a_plain_regression(spark):
+    """The whole method again, with dictionaries in plain Python."""
+    import math
+    from gapscope.llm.words import Texts, Words
+
+    docs, labels = labelled(spark)
+    model = Q.fit(docs, labels)
+    fitted = {r.doc_id: r.used for r in docs.select("doc_id", (F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(4)) != 3).alias("used")).collect()}
+    y = {r.doc_id: r.quality for r in labels.collect()}
+    features = {}
+    for r in docs.collect():
+        texts = Texts.of([r.text])
+        share = {}
+        for bucket, _, counts in Q.gram_families(texts, Words(texts), Q.BITS):
+            for b in bucket.tolist():
+                share[b] = share.get(b, 0) + 1 / int(counts[0])
+        features[r.doc_id] = share
+    used = [d for d in y if fitted[d]]
+    ones = sum(y[d] for d in used)
+    weight, past, bias = {}, {}, math.log(ones / (len(used) - ones))
+    margin = lambda d: bias + sum(weight.get(b, 0.0) * v for b, v in features[d].items())
+    for _ in range(Q.STEPS):
+        error = {d: (1 / (1 + math.exp(-margin(d))) - y[d]) / len(used) for d in used}
+        slope = {}
+        for d in used:
+            for b, v in features[d].items():
+                slope[b] = slope.get(b, 0.0) + v * error[d]
+        for b, g in slope.items():
+            past[b] = past.get(b, 0.0) + g * g
+            weight[b] = weight.get(b, 0.0) - Q.RATE * g / (math.sqrt(past[b]) + 1e-12)
+        bias -= 0.5 * sum(error.values())
+    kept_back = [d for d in y if not fitted[d]]
+    slope, shift = Q.platt(np.array([margin(d) for d in kept_back]), np.array([float(y[d]) for d in kept_back]))
+    got = {r.doc_id: r.probability for r in Q.apply_rules(docs, model).collect()}
+    for d in y:
+        assert got[d] == pytest.approx(1 / (1 + math.exp(-(slope * margin(d) + shift))), abs=2e-3)
+
+
+def test_an_id_of_many_documents_counts_once(spark):
+    docs, labels = labelled(spark)
+    many = spark.range(5000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("some other text number "), F.col("id").cast("string")).alias("text"))
+    sample = labelled_documents(docs.unionByName(many), labels, "doc_id", "text", "quality", 3000)
+    assert sample.count() == 24
+    assert Q.fit(docs.unionByName(many), labels) is not None
