@@ -20,7 +20,7 @@ and no group of near copies is expanded into its pairs.
 Scale: shingles are counted over all documents. The most frequent ones, at
 most ``MOST_FREQUENT``, are broadcast. The order only steers the cost; any
 order gives the same links. Sets are shuffled only
-for classes that met another one. Tables that several steps read are written
+for classes that met another one, texts never. Tables that several steps read are written
 to the shared scratch folder.
 
 Defined results: null texts and texts without words have no shingles and are
@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gapscope.llm.common import read, stored
+from gapscope.llm.common import bit_filter, in_filter, read, stored
 from gapscope.llm.jaccard_trie import PrefixTree
 from gapscope.llm.words import Texts, Words, sequence_hashes
 
@@ -52,6 +52,8 @@ MOST_FREQUENT = 1_000_000
 FEW = 8
 #: Hash cells of a set's sketch, one byte each.
 CELLS = 128
+#: Bits of the filter of signatures whose sets are needed.
+FILTER_BITS = 26
 #: Candidates of one probe that share a task's prefix tree.
 BLOCK = 256
 #: Order keys hold the level of a shingle's count from this bit on, and its hash below.
@@ -210,26 +212,32 @@ def crossing_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
     return a.join(b, apart).select(F.col("a.sig").alias("a"), F.col("b.sig").alias("b")).distinct()
 
 
-def class_sets(docs: DataFrame, one_each: DataFrame, frequent) -> DataFrame:
-    """(sig, keys, sketch): the ordered set of each listed class, from the document (key, sig) that stands for it."""
+def class_sets(docs: DataFrame, asked: DataFrame, frequent) -> DataFrame:
+    """(sig, keys, sketch): the ordered set of each class in ``asked`` (sig), and of a few more.
+
+    Texts stay where they are: a filter of fixed size with the signatures
+    asked for is broadcast, and a task hands on each set once. Ids play no
+    part, so rows without one, or with the same, cost no more than others.
+    """
+    wanted = docs.sparkSession.sparkContext.broadcast(bit_filter(asked, "sig", FILTER_BITS))
+
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: set[int] = set()  # repeated rows of a document
+        done: set[int] = set()
         for batch in batches:
             signs, keys, sketches = [], [], []
-            wanted = iter(batch.column(1).to_pylist())
             for texts in Texts.chunks(batch.column(0)):
-                for s in shingle_sets(texts):
-                    sig = next(wanted)
-                    if len(s) and sig not in done and signature(s) == sig:
+                sets = [s for s in shingle_sets(texts) if len(s)]
+                own = np.array([signature(s) for s in sets], np.int64)
+                for s, sig, may in zip(sets, own.tolist(), in_filter(wanted.value, own.view(np.uint64))):
+                    if may and sig not in done:
                         done.add(sig)
                         signs.append(sig)
-                        own = ordered(s, frequent.value)
-                        keys.append(own.tobytes())
-                        sketches.append(sketch(own))
+                        s = ordered(s, frequent.value)
+                        keys.append(s.tobytes())
+                        sketches.append(sketch(s))
             yield pa.RecordBatch.from_arrays([pa.array(signs, pa.int64()), pa.array(keys, pa.binary()), pa.array(sketches, pa.binary())], names=["sig", "keys", "sketch"])
 
-    same = docs["key"].eqNullSafe(F.col("one"))
-    return docs.join(one_each.withColumnRenamed("key", "one"), same).select("text", "sig").mapInArrow(build, "sig long, keys binary, sketch binary")
+    return docs.select("text").mapInArrow(build, "sig long, keys binary, sketch binary").dropDuplicates(["sig"])
 
 
 def sketch(keys: np.ndarray) -> bytes | None:
@@ -336,8 +344,7 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     shared = stored(met(postings(keyed, frequent)), "jaccard-met")
     pairs = stored(first_pairs(shared), "jaccard-first")
     asked = pairs.select(F.explode(F.array("a", "b")).alias("sig")).unionByName(shared.where(F.col("classes") > FEW).select("sig")).distinct()
-    one_each = documents.where("sig is not null").groupBy("sig").agg(F.min(F.struct(F.col("key").isNull(), "key")).alias("m")).select("sig", "m.key").join(asked, "sig", "left_semi")
-    sets = stored(class_sets(keyed, one_each, frequent), "jaccard-sets")
+    sets = stored(class_sets(keyed, asked, frequent), "jaccard-sets")
     labels = components(check_pairs(pairs, sets))
     rest = check_pairs(crossing_pairs(shared, labels), sets)
     return documents, components(rest, labels)

@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from gapscope.llm import jaccard_join as J
@@ -141,3 +142,18 @@ def test_rows_without_an_id_are_reduced_to_one_of_each_group(spark):
     assert len([t for k, t in got if k is None and t in (say(1), say(1) + " more")]) == 1
     assert sorted(k for k, _ in got if k is not None) == [5, 7]
     assert got.count((None, say(2))) == 0 and got.count((None, say(3))) == 1 and got.count((None, "")) == 2 and got.count((None, None)) == 1
+
+
+@pytest.mark.parametrize("shared_id", [None, 7])
+def test_many_rows_of_one_id_or_none(spark, shared_id):
+    """2,000 classes of pairs that link, all under one id or none: sets are fetched by content, not by id."""
+    rows = []
+    for k in range(1000):
+        words = [f"w{k}x{j}" for j in range(40)]
+        rows += [(shared_id, " ".join(words)), (shared_id, " ".join([*words[:-1], "other"]))]
+    docs = spark.createDataFrame([*rows, (3, rows[0][1])], "doc_id long, text string").repartition(4)
+    documents, labels = J.jaccard_classes(docs)
+    assert labels.groupBy("label").count().where("count = 2").count() == 1000
+    found = J.jaccard_components(docs).collect()
+    assert len(found) == 2001 and all(r.n_shingles == 36 for r in found)
+    assert {r.component_id for r in found} == {3, shared_id}
