@@ -5,14 +5,16 @@ Source files carry human labels as headers (``Reference area``,
 (``Measure`` and ``MEASURE``). With Spark's default case-insensitive
 analysis such twins are ambiguous, and toggling ``spark.sql.caseSensitive``
 around the read does not hold because the scan re-resolves names lazily.
-So the header line is read once (one line, like Spark's own header
+So the files' first lines are read (a few bytes each, like Spark's own header
 inference), and the files are scanned with a positional all-string schema;
 labels are mapped to positions on the driver, never data.
 """
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,54 +26,68 @@ from gapscope.sources.tables import require_path
 
 #: A landing's side file is one short record.
 MOST_SIDE_BYTES = 1 << 20
+#: Bytes of a file read for its header at first, and at most; files read at a time.
+HEADER_BYTES, MOST_HEADER_BYTES = 1 << 12, 1 << 20
+HEADER_READS = 16
 
 
-def read_header(spark: SparkSession, path: str) -> list[str]:
-    """Labels of the landed CSV files (first line of a file)."""
+def landed_files(spark: SparkSession, path: str) -> list[str]:
+    """The files that a scan of ``path`` reads; listed, not opened."""
     require_path(spark, path)
-    first = spark.read.option("header", False).csv(path).first()
-    if first is None:
-        raise ValueError(f"No CSV header found under {path}")
-    return [("" if v is None else v) for v in first]
+    return sorted(spark.read.schema("_c0 string").csv(path).inputFiles())
 
 
-def file_headers(spark: SparkSession, path: str) -> DataFrame:
-    """(file, header): the first line of every file of a landing, found in one scan of its text lines.
+def first_line(spark: SparkSession, file: str) -> str | None:
+    """The first line with anything in it of a (possibly compressed) file, from its first bytes; None if there is none.
 
-    A file's lines keep their order within its first split, so the first is
-    the one with the least row number there; the aggregation combines on the
-    tasks and gives a row per file.
+    Grows from ``HEADER_BYTES`` to at most ``MOST_HEADER_BYTES``, whatever the file's length.
     """
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.struct(F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("line")).alias("place"),
-        F.regexp_replace("value", "^\ufeff|\r$", "").alias("header"),
-    )
-    return lines.groupBy("file").agg(F.min_by("header", "place").alias("header"))
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    hpath = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(hpath)
+    size = HEADER_BYTES
+    while True:
+        stream = hpath.getFileSystem(conf).open(hpath)
+        try:
+            data = bytes((codec.createInputStream(stream) if codec else stream).readNBytes(size))
+        finally:
+            stream.close()
+        text = data.removeprefix(b"\xef\xbb\xbf").lstrip(b"\r\n")
+        line, end, _ = text.partition(b"\n")
+        if end or len(data) < size:
+            return line.rstrip(b"\r").decode("utf-8", "replace") or None
+        if size >= MOST_HEADER_BYTES:
+            raise ValueError(f"{file} has no line end in its first {size} bytes: no CSV header")
+        size *= 16
+
 
+def file_headers(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """(file, first line) of every file of a landing that has one.
+
+    A short read per file, ``HEADER_READS`` at a time: what is read does not grow with
+    the files' length, and a header line per file is all that reaches the driver.
+    """
+    files = landed_files(spark, path)
+    with ThreadPoolExecutor(HEADER_READS) as pool:
+        lines = list(pool.map(lambda f: first_line(spark, f), files))
+    return [(f, line) for f, line in zip(files, lines) if line is not None]
 
-def require_one_header(spark: SparkSession, path: str) -> None:
-    """Raise naming a file whose header differs from the others', as columns are read by place."""
+
+def read_header(spark: SparkSession, path: str) -> list[str]:
+    """Labels of the landed CSV files; raises, naming two files, if their headers differ, as columns are read by place."""
     headers = file_headers(spark, path)
-    ends = headers.agg(F.min(F.struct("header", "file")).alias("a"), F.max(F.struct("header", "file")).alias("b")).first()
-    if ends["a"] is not None and ends["a"]["header"] != ends["b"]["header"]:
-        raise ValueError(
-            f"Files of one landing have different headers: {ends['a']['file']} has {ends['a']['header']!r}, "
-            f"{ends['b']['file']} has {ends['b']['header']!r}")
+    if not headers:
+        raise ValueError(f"No CSV header found under {path}")
+    (least, low), (most, high) = (pick(headers, key=lambda h: (h[1], h[0])) for pick in (min, max))
+    if low != high:
+        raise ValueError(f"Files of one landing have different headers: {least} has {low!r}, {most} has {high!r}")
+    return next(csv.reader([low]))
 
 
 def malformed_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, n): lines with more or fewer fields than the header, which a scan pads or cuts; files without any are absent."""
-    labels = read_header(spark, path)
-    fields = [T.StructField(f"_c{i}", T.StringType(), True) for i in range(len(labels))]
-    raw = (
-        spark.read.schema(T.StructType([*fields, T.StructField("_line", T.StringType(), True)])).option("header", True)
-        .option("enforceSchema", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_line").csv(path)
-    )
-    # the filter names all columns, as Spark parses only the fields that a plan asks for
-    whole = F.concat_ws("", *[f.name for f in fields]) != "\0"
-    bad = raw.withColumn("file", F.col("_metadata.file_path")).where(F.col("_line").isNotNull() & whole)
-    return bad.groupBy("file").agg(F.count("*").alias("n"))
+    lines = read_labelled_csv(spark, path, rejects="_line").select("_line", F.col("_metadata.file_path").alias("file"))
+    return lines.where(F.col("_line").isNotNull()).groupBy("file").agg(F.count("*").alias("n"))
 
 
 def require_columns(available: list[str], required) -> None:
@@ -98,29 +114,33 @@ def read_labelled_csv(
     spark: SparkSession,
     path: str,
     select: Mapping[str, str] | None = None,
+    rejects: str | None = None,
 ) -> DataFrame:
     """Scan headered CSV files as all-string columns.
 
     ``select`` maps source labels to clean names: the labels are checked
     (error names missing and available ones), only those columns are kept
     (pruned at the scan) and renamed. Without it every column is returned,
-    case twins disambiguated by position. All files must have one header;
-    ``malformed_lines`` counts the lines that do not have its fields.
+    case twins disambiguated by position. All files must have one header.
+
+    A line with more or fewer fields than the header is padded or cut.
+    ``rejects`` names one more column that holds such a line whole, and null
+    for others; the scan then splits all fields of a line, so that none
+    passes because the fields it lacks were not asked for.
     """
     labels = read_header(spark, path)
-    require_one_header(spark, path)
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(len(labels))])
-    raw = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("mode", "PERMISSIVE")
-        .csv(path)
-    )
+    fields = [T.StructField(f"_c{i}", T.StringType(), True) for i in range(len(labels))]
+    reader = spark.read.option("header", True).option("enforceSchema", True).option("mode", "PERMISSIVE")
+    if rejects is not None:
+        fields.append(T.StructField(rejects, T.StringType(), True))
+        reader = reader.option("columnNameOfCorruptRecord", rejects).option("columnPruning", False)
+    raw = reader.schema(T.StructType(fields)).csv(path)
+    # Spark refuses plans that read nothing but the corrupt line, so it is tied to a field, of which it takes no character
+    more = [] if rejects is None else [F.concat(F.substring(F.coalesce("_c0", F.lit("")), 1, 0), F.col(rejects)).alias(rejects)]
     if select is None:
-        return raw.select(*[F.col(f"_c{i}").alias(n) for i, n in enumerate(unique_names(labels))])
+        return raw.select(*[F.col(f"_c{i}").alias(n) for i, n in enumerate(unique_names(labels))], *more)
     require_columns(labels, select.keys())
-    return raw.select(*[F.col(f"_c{labels.index(lab)}").alias(new) for lab, new in select.items()])
+    return raw.select(*[F.col(f"_c{labels.index(lab)}").alias(new) for lab, new in select.items()], *more)
 
 
 def read_ingest_stamp(spark: SparkSession, folder: str, name: str = "_ingest_metadata.json") -> DataFrame:

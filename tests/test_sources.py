@@ -122,3 +122,53 @@ def test_byte_order_mark_in_header(spark, scratch):
     with open(f"{path}/part-0.csv", "wb") as f:
         f.write(b"\xef\xbb\xbfReference area,TIME_PERIOD\nPL,2020\n")
     assert read_labelled_csv(spark, path).columns == ["Reference area", "TIME_PERIOD"]
+
+
+def bytes_read(spark):
+    """Bytes read from local files so far, by driver and tasks (one JVM)."""
+    return sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+
+
+def test_headers_cost_the_same_for_long_files(spark, scratch):
+    path = scratch("long")
+    land(path, "a,b\n" + "1,2\n" * 2_000_000)
+    with open(f"{path}/part-1.csv", "w") as f:
+        f.write("a,b\n")
+    before = bytes_read(spark)
+    scan = read_labelled_csv(spark, path)
+    assert 0 < bytes_read(spark) - before < 100_000
+    assert scan.count() == 2_000_000
+
+
+def test_headers_long_quoted_compressed_or_missing(spark, scratch):
+    import gzip
+
+    from gapscope.sources import read_header
+
+    path = scratch("headers")
+    labels = [f"label {i}" for i in range(2000)] + ['with, comma "quoted"']
+    line = ",".join([*labels[:-1], '"with, comma ""quoted"""'])
+    land(path, f"\n{line}\n" + ",".join("x" * 2001) + "\n")
+    with gzip.open(f"{path}/part-1.csv.gz", "wt") as f:
+        f.write(f"{line}\r\n")
+    with open(f"{path}/part-2.csv", "w"):
+        pass  # an empty file has no header
+    assert read_header(spark, path) == labels
+    assert read_labelled_csv(spark, path).count() == 1
+    empty = scratch("empty")
+    land(empty, "")
+    with pytest.raises(ValueError, match="No CSV header"):
+        read_labelled_csv(spark, empty)
+    endless = scratch("endless")
+    land(endless, "x" * (3 << 20))
+    with pytest.raises(ValueError, match="no line end"):
+        read_labelled_csv(spark, endless)
+
+
+def test_rejects_are_kept_whole_in_the_one_scan(spark, scratch):
+    path = scratch("rejects")
+    land(path, "a,b,c\n1,2,3\n1\n1,2,3,4\n,,\n4,5,\n")
+    got = read_labelled_csv(spark, path, select={"a": "x"}, rejects="_line")
+    assert rows(got) == [(None, None), ("1", None), ("1", "1"), ("1", "1,2,3,4"), ("4", None)]
+    assert rows(got.where("_line is not null").select("_line")) == [("1",), ("1,2,3,4",)]
+    assert got.where("_line is null").count() == 3
