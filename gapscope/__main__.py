@@ -29,7 +29,9 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--out", required=True)
         if name == "clean-facts":
             s.add_argument("--first-year", type=int, default=None)
-            s.add_argument("--counts", default=None, help="folder for the row counts of the steps")
+        s.add_argument("--counts", default=None, help="folder for the row counts of the steps")
+        s.add_argument("--rejects", default=None, help="folder for lines whose fields do not fit the header")
+        s.add_argument("--fail-on-rejects", action="store_true")
     s = sub.add_parser("clean-ratio")
     s.add_argument("--documents", required=True)
     s.add_argument("--out", required=True)
@@ -59,9 +61,9 @@ def main(argv: list[str] | None = None) -> object:
     a = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"gapscope-{a.job}").getOrCreate()
     if a.job == "clean-facts":
-        return jobs.clean_facts_job(spark, a.landing, a.out, a.first_year, a.counts)
+        return jobs.clean_facts_job(spark, a.landing, a.out, a.first_year, a.counts, a.rejects, a.fail_on_rejects)
     if a.job == "clean-rates":
-        return jobs.clean_rates_job(spark, a.landing, a.out)
+        return jobs.clean_rates_job(spark, a.landing, a.out, a.counts, a.rejects, a.fail_on_rejects)
     if a.job == "clean-ratio":
         return jobs.clean_ratio_job(spark, a.documents, a.out)
     if a.job == "snapshot":

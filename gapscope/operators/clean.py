@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gapscope import labels as L
@@ -89,6 +89,52 @@ def dedup_any(df: DataFrame, keys: Sequence[str], tiebreak: Sequence[Column] | N
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
+def _complete(not_null: Sequence[str]) -> Column:
+    complete = F.lit(True)
+    for c in not_null:
+        complete = complete & F.col(c).isNotNull()
+    return complete
+
+
+def _typed_counts(types: Sequence[str], not_null: Sequence[str]) -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("raw_rows"),
+        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in types],
+        F.count_if(_complete(not_null)).alias("after_dropna"),
+    ]
+
+
+class StepCounts:
+    """The counts of ``clean_step_counts``, observed while the cleaned rows are written: no pass of their own.
+
+    Pass one to ``clean_facts`` or ``clean_rates``, write the result once,
+    then ask for ``row``. A stage that Spark has to run again for a lost
+    executor is counted as often as it ran, so a job whose counts must be
+    exact whatever happens takes ``clean_step_counts`` of the stored landing.
+    """
+
+    def __init__(self) -> None:
+        self._typed, self._kept = Observation(), Observation()
+        self._watching = True
+
+    @classmethod
+    def off(cls) -> StepCounts:
+        counts = cls()
+        counts._watching = False
+        return counts
+
+    def typed(self, df: DataFrame, types: Sequence[str], not_null: Sequence[str]) -> DataFrame:
+        return df.observe(self._typed, *_typed_counts(types, not_null)) if self._watching else df
+
+    def kept(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._kept, F.count(F.lit(1)).alias("after_dedup")) if self._watching else df
+
+    def row(self, spark: SparkSession) -> DataFrame:
+        """One row: the counts, once the cleaned rows are written."""
+        counted = {**self._typed.get, **self._kept.get}
+        return spark.createDataFrame([tuple(counted.values())], ", ".join(f"{name} bigint" for name in counted))
+
+
 def clean_facts(
     raw: DataFrame,
     columns: Mapping[str, str] = L.FACT_COLUMNS,
@@ -96,15 +142,22 @@ def clean_facts(
     not_null: Sequence[str] = L.FACT_NOT_NULL,
     types: Mapping[str, str] | None = None,
     ingested_at: Column | DataFrame | None = None,
+    counts: StepCounts | None = None,
 ) -> DataFrame:
-    """Raw labelled facts -> typed, stamped, complete, one row per key (latest load)."""
+    """Raw labelled facts -> typed, stamped, complete, one row per key (latest load).
+
+    ``counts`` takes the row counts of the steps along, as the result is written.
+    """
     types = types or {"year": "int", "obs_value": "double"}
+    counts = counts or StepCounts.off()
     return (
         raw.transform(select_rename, columns)
         .transform(cast_types, types)
+        .transform(counts.typed, list(types), not_null)
         .transform(stamp_ingest_time, ingested_at)
         .transform(drop_incomplete, not_null)
         .transform(dedup_latest, keys, "_ingested_at")
+        .transform(counts.kept)
     )
 
 
@@ -113,13 +166,18 @@ def clean_rates(
     columns: Mapping[str, str] = L.RATE_COLUMNS,
     keys: Sequence[str] = L.RATE_KEYS,
     not_null: Sequence[str] = L.RATE_NOT_NULL,
+    counts: StepCounts | None = None,
 ) -> DataFrame:
     """Raw labelled rates -> typed, complete, one row per key (repeatable pick)."""
+    types = {"year": "int", "tax_rate": "double"}
+    counts = counts or StepCounts.off()
     return (
         raw.transform(select_rename, columns)
-        .transform(cast_types, {"year": "int", "tax_rate": "double"})
+        .transform(cast_types, types)
+        .transform(counts.typed, list(types), not_null)
         .transform(drop_incomplete, not_null)
         .transform(dedup_any, keys)
+        .transform(counts.kept)
     )
 
 
@@ -139,12 +197,7 @@ def clean_step_counts(
     """
     types = types or {"year": "int", "obs_value": "double"}
     typed = raw.transform(select_rename, columns).transform(cast_types, types)
-    complete = F.lit(True)
-    for c in not_null:
-        complete = complete & F.col(c).isNotNull()
     return typed.agg(
-        F.count(F.lit(1)).alias("raw_rows"),
-        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in types],
-        F.count_if(complete).alias("after_dropna"),
-        F.count_distinct(F.when(complete, F.struct(*keys))).alias("after_dedup"),
+        *_typed_counts(list(types), not_null),
+        F.count_distinct(F.when(_complete(not_null), F.struct(*keys))).alias("after_dedup"),
     )

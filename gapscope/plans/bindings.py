@@ -239,6 +239,29 @@ def land_facts(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+#: Folders of the landing with malformed lines.
+CUT_LANDING_PARTS = 16
+
+
+def land_cut_facts(spark: SparkSession, sf_dir: str) -> str:
+    """The fact landing as lines of which some end early (domestic employees) or have a field more (domestic tax); its folder.
+
+    Each part is a folder with one file, whose first line is the header.
+    """
+    path = scratch_path(spark, "facts_cut")
+    field = lambda c: F.coalesce(c, F.lit(""))
+    raw = raw_fact_rows(spark, sf_dir).select("*", (F.col("ra") == F.col("ca")).alias("domestic"))
+    short = F.concat_ws(",", "ra", "ca", "me")
+    whole = F.concat_ws(",", *[field(c) for c in ("ra", "ca", "me", "mc", "tp", "ov", "os")])
+    line = (F.when(F.col("domestic") & (F.col("me") == L.EMPLOYEES_MEASURE), short)
+            .when(F.col("domestic") & (F.col("me") == L.TAX_PAID_MEASURE), F.concat(whole, F.lit(",more"))).otherwise(whole))
+    lines = raw.select(F.pmod(F.hash("ra", "tp"), F.lit(CUT_LANDING_PARTS)).alias("part"), F.lit(1).alias("place"), line.alias("value"))
+    heads = spark.range(CUT_LANDING_PARTS).select(F.col("id").cast("int").alias("part"), F.lit(0).alias("place"), F.lit(",".join(RAW_FACT_LABELS)).alias("value"))
+    both = lines.unionByName(heads).repartition("part").sortWithinPartitions("part", "place")
+    both.select("part", "value").write.partitionBy("part").text(path)
+    return path
+
+
 def land_rates(spark: SparkSession, sf_dir: str) -> str:
     """Write the rates landing twice into one folder (two identical pulls)."""
     path = scratch_path(spark, "rates_raw")
@@ -259,11 +282,11 @@ JSON_STAT_DIMENSIONS = ["na_item", "unit", "geo", "time"]
 
 
 #: Customers of one JSON-stat document.
-CUSTOMERS_A_DOCUMENT = 500
+CUSTOMERS_A_DOCUMENT = 5000
 
 
 def order_cube_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order counts by (status, priority, customer, year), with category labels; ``block`` numbers runs of 500 customers."""
+    """Order counts by (status, priority, customer, year), with category labels; ``block`` numbers runs of ``CUSTOMERS_A_DOCUMENT`` customers."""
     orders = table(spark, sf_dir, "orders").select(
         "o_custkey", "o_orderstatus", "o_orderpriority", F.year("o_orderdate").cast("int").alias("year")
     )

@@ -9,19 +9,19 @@ driver.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gapscope import labels as L
 from gapscope.operators.audit import append_flags, flag_filings, init_audit_log
-from gapscope.operators.clean import clean_facts, clean_rates, clean_step_counts
+from gapscope.operators.clean import StepCounts, clean_facts, clean_rates
 from gapscope.operators.incremental import incremental_snapshot, merge_into_snapshot
 from gapscope.operators.json_stat import clean_ratio, decode_json_stat
 from gapscope.operators.quality import default_rules, quality_rules, since_period
 from gapscope.plans.report import run_report
-from gapscope.session import scratch_root
+from gapscope.session import scratch_path, scratch_root
 from gapscope.sources.csv import read_ingest_stamp, read_labelled_csv
 from gapscope.sources.json_stat import read_json_stat_documents
 from gapscope.sources.schemas import EFFECTIVE_VS_STATUTORY, FACTS_CLEAN, RATES_CLEAN
@@ -32,24 +32,66 @@ from gapscope.sources.tables import clustered, path_exists, read_table, write_ta
 MOST_PARTITIONS = 10_000
 
 
-def clean_facts_job(spark: SparkSession, landing: str, out: str, first_year: int | None = None, counts: str | None = None) -> None:
+def landed_rows(spark: SparkSession, landing: str, columns: Mapping[str, str], rejects: str | None) -> DataFrame:
+    """The landing's rows; with ``rejects``, a folder, those lines whose fields do not fit the header go there.
+
+    The files are scanned once: whole rows and rejected lines are stored side
+    by side, as two partitions of one scratch table, and read from there.
+    """
+    if rejects is None:
+        return read_labelled_csv(spark, landing, select=columns)
+    raw = read_labelled_csv(spark, landing, select=columns, rejects="_line")
+    marked = raw.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_line").isNotNull().alias("_rejected"))
+    stage = scratch_path(spark, "landing")
+    marked.write.partitionBy("_rejected").parquet(stage)
+    staged = spark.read.schema(marked.schema).parquet(stage)
+    write_table(staged.where("_rejected").select(F.col("_file").alias("file"), F.col("_line").alias("line")), rejects)
+    return staged.where("not _rejected").select(*columns.values())
+
+
+def require_no_rejects(spark: SparkSession, rejects: str) -> None:
+    """Raise with the number of rejected lines, if there are any."""
+    n = spark.read.parquet(rejects).count()
+    if n:
+        raise ValueError(f"{n} lines of the landing do not fit its header; they are in {rejects}")
+
+
+def clean_facts_job(
+    spark: SparkSession, landing: str, out: str, first_year: int | None = None, counts: str | None = None,
+    rejects: str | None = None, fail_on_rejects: bool = False,
+) -> None:
     """Labelled fact CSV (+ optional ``_ingest_metadata.json``) -> clean facts, partitioned by year.
 
     Without a side file the load is stamped with the job's start time.
-    ``first_year`` keeps rows from that year on; ``counts`` is a folder for
-    the row counts of the cleaning steps.
+    ``first_year`` keeps rows from that year on. ``counts`` is a folder for
+    the row counts of the cleaning steps, taken as the facts are written.
+    ``rejects`` is a folder for malformed lines, which else are padded or cut;
+    ``fail_on_rejects`` raises, after everything is written, if there are any.
     """
+    if fail_on_rejects and rejects is None:
+        raise ValueError("fail_on_rejects needs a folder for the rejects")
     stamp = read_ingest_stamp(spark, landing) if path_exists(spark, f"{landing.rstrip('/')}/_ingest_metadata.json") else None
-    raw = read_labelled_csv(spark, landing, select=L.FACT_COLUMNS)
-    facts = clean_facts(raw, ingested_at=stamp)
+    counted = StepCounts() if counts else None
+    facts = clean_facts(landed_rows(spark, landing, L.FACT_COLUMNS, rejects), ingested_at=stamp, counts=counted)
     write_table(facts if first_year is None else since_period(facts, "year", first_year), out, partition_by=["year"])
     if counts:
-        write_table(clean_step_counts(raw), counts)
+        write_table(counted.row(spark), counts)
+    if fail_on_rejects:
+        require_no_rejects(spark, rejects)
 
 
-def clean_rates_job(spark: SparkSession, landing: str, out: str) -> None:
-    """Labelled rate CSV -> clean rates."""
-    write_table(clean_rates(read_labelled_csv(spark, landing, select=L.RATE_COLUMNS)), out)
+def clean_rates_job(
+    spark: SparkSession, landing: str, out: str, counts: str | None = None, rejects: str | None = None, fail_on_rejects: bool = False,
+) -> None:
+    """Labelled rate CSV -> clean rates; the other parameters as for facts."""
+    if fail_on_rejects and rejects is None:
+        raise ValueError("fail_on_rejects needs a folder for the rejects")
+    counted = StepCounts() if counts else None
+    write_table(clean_rates(landed_rows(spark, landing, L.RATE_COLUMNS, rejects), counts=counted), out)
+    if counts:
+        write_table(counted.row(spark), counts)
+    if fail_on_rejects:
+        require_no_rejects(spark, rejects)
 
 
 def clean_ratio_job(spark: SparkSession, documents: str, out: str) -> None:
@@ -119,9 +161,10 @@ def report_job(spark: SparkSession, facts: str, rates: str, out_dir: str, fail_o
     """
     paths = run_report(spark, read_table(spark, facts, FACTS_CLEAN), read_table(spark, rates, RATES_CLEAN), out_dir)
     filings = spark.read.parquet(paths["effective_vs_statutory"])
-    rules = {name: rule for name, rule in default_rules().items() if "revenue" not in name}
+    if "revenue" not in filings.columns:  # the rule on it is reported as unknown for every filing
+        filings = filings.withColumn("revenue", F.lit(None).cast("double"))
     paths["quality_rules"] = f"{out_dir.rstrip('/')}/quality_rules"
-    write_table(quality_rules(filings, rules), paths["quality_rules"])
+    write_table(quality_rules(filings, default_rules()), paths["quality_rules"])
     broken = spark.read.parquet(paths["quality_rules"]).where("n_fail > 0")
     if fail_on_quality and not broken.isEmpty():
         raise ValueError(f"filings break quality rules: {[tuple(r) for r in broken.select('rule', 'n_fail').collect()]}")

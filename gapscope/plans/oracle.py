@@ -218,6 +218,13 @@ ORACLE: dict[str, str] = {
                          "count(*) filter (where jurisdiction is not null and year is not null and obs_value is not null) as after_dropna, "
                          f"(select count(*) from (select distinct {_KEYS} from typed where jurisdiction is not null "
                          "and year is not null and obs_value is not null)) as after_dedup from typed",
+    "landing_rejects": _with("rawf") + f"select case when me = {_q(L.EMPLOYEES_MEASURE)} then concat_ws(',', ra, ca, me) "
+                       "else concat_ws(',', ra, ca, me, mc, tp, coalesce(ov, ''), os) || ',more' end as line from rawf "
+                       f"where ra = ca and me in ({_q(L.EMPLOYEES_MEASURE)}, {_q(L.TAX_PAID_MEASURE)})",
+    "clean_without_rejects": _with("typed") + f"select {_KEYS}, obs_value from typed "
+                             "where jurisdiction is not null and year is not null and obs_value is not null and not (jurisdiction = counterpart_jurisdiction "
+                             f"and measure in ({_q(L.EMPLOYEES_MEASURE)}, {_q(L.TAX_PAID_MEASURE)})) "
+                             f"qualify row_number() over (partition by {_KEYS} order by obs_value) = 1",
     "clean_rates": _with("rates") + "select distinct jurisdiction, measure, year, tax_rate from rates",
     "clean_rate_step_counts": _with("rates") + ", landed as (select * from rates union all select * from rates) "
                               "select count(*) as raw_rows, count(*) filter (where year is null) as null_year, "
@@ -287,3 +294,6 @@ ORACLE: dict[str, str] = {
                        "union all (select 'rates', jurisdiction from (select distinct jurisdiction from rates "
                        "where jurisdiction is not null) order by 2 limit 10)",
 }
+#: The jobs that count while they write return what the counting queries do.
+ORACLE["clean_facts_counts"] = ORACLE["clean_step_counts"]
+ORACLE["clean_rates_counts"] = ORACLE["clean_rate_step_counts"]

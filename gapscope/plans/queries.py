@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from gapscope import labels as L
 from gapscope import operators as op
 from gapscope.plans import bindings as B
-from gapscope.plans.jobs import merge_late_job
+from gapscope.plans.jobs import clean_facts_job, clean_rates_job, merge_late_job
 from gapscope.plans.report import OUTPUTS, run_report
 from gapscope.session import scratch_path
 from gapscope.sources import (
@@ -137,6 +137,30 @@ def q_clean_rates(spark, sf):
     return op.clean_rates(read_labelled_csv(spark, B.land_rates(spark, sf)))
 
 
+def q_clean_facts_counts(spark, sf):
+    counts = scratch_path(spark, "facts_counts")
+    clean_facts_job(spark, B.land_facts(spark, sf), scratch_path(spark, "facts"), counts=counts)
+    return read_table(spark, counts)
+
+
+def q_clean_rates_counts(spark, sf):
+    counts = scratch_path(spark, "rates_counts")
+    clean_rates_job(spark, B.land_rates(spark, sf), scratch_path(spark, "rates"), counts=counts)
+    return read_table(spark, counts)
+
+
+def q_landing_rejects(spark, sf):
+    rejects = scratch_path(spark, "rejects")
+    clean_facts_job(spark, B.land_cut_facts(spark, sf), scratch_path(spark, "facts"), rejects=rejects)
+    return read_table(spark, rejects).select("line")
+
+
+def q_clean_without_rejects(spark, sf):
+    facts = scratch_path(spark, "facts")
+    clean_facts_job(spark, B.land_cut_facts(spark, sf), facts, rejects=scratch_path(spark, "rejects"))
+    return read_table(spark, facts, FACTS_CLEAN).drop("_ingested_at")
+
+
 def q_column_profile(spark, sf):
     return op.column_profile(read_labelled_csv(spark, B.land_facts(spark, sf)))
 
@@ -340,6 +364,10 @@ QUERIES: dict[str, Query] = {
     "jurisdictions_dim": q_jurisdictions_dim,
     "quality_rules": q_quality_rules,
     "scan_labelled_csv": q_scan_labelled_csv,
+    "landing_rejects": q_landing_rejects,
+    "clean_without_rejects": q_clean_without_rejects,
+    "clean_facts_counts": q_clean_facts_counts,
+    "clean_rates_counts": q_clean_rates_counts,
     "select_rename": q_select_rename,
     "stamp_ingest_time": q_stamp_ingest_time,
     "drop_incomplete": q_drop_incomplete,

@@ -3,11 +3,13 @@
 import datetime as dt
 import os
 
+import pytest
+
 from conftest import rows
 from gapscope import operators as op
 from gapscope.plans import bindings as B
 from gapscope.plans import jobs
-from gapscope.sources import FACTS_CLEAN, read_table
+from gapscope.sources import FACTS_CLEAN, read_labelled_csv, read_table
 
 SF = "/root/testdata/sf0.001"
 
@@ -91,5 +93,42 @@ def test_command_line(spark, scratch):
     for _ in range(2):
         main(["flag", "--filings", paths["effective_vs_statutory"], "--log", log])
     assert read_table(spark, log).count() == B.merged(spark, SF).where("gap_statutory_minus_effective > 5").count()
-    assert read_table(spark, paths["quality_rules"]).count() == 2
+    of_rule = {r.rule: r for r in read_table(spark, paths["quality_rules"]).collect()}
+    n = read_table(spark, paths["effective_vs_statutory"]).count()
+    assert len(of_rule) == 3 and of_rule["revenue_ge_profit"].n_unknown == n  # filings without revenue
     assert main(["init-flags", "--path", scratch("cli_flags")]) is True
+
+
+def test_counts_come_with_the_write_and_read_the_landing_once(spark, scratch):
+    landing, out, counts = B.land_facts(spark, SF), scratch("facts"), scratch("counts")
+    size = sum(os.path.getsize(f"{landing}/{f}") for f in os.listdir(landing) if f.endswith(".csv"))
+    read = lambda: sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+    before = read()
+    jobs.clean_facts_job(spark, landing, out, first_year=1996, counts=counts)
+    assert size < read() - before < 1.7 * size
+    want = op.clean_step_counts(read_labelled_csv(spark, landing)).first().asDict()
+    assert read_table(spark, counts).first().asDict() == want
+    assert read_table(spark, out).count() < want["after_dedup"]
+
+
+def test_rejected_lines_are_stored_and_may_fail_the_job(spark, scratch):
+    landing = scratch("landing")
+    os.makedirs(landing)
+    head = "Reference area,Counterpart area,Measure,TIME_PERIOD,OBS_VALUE"
+    with open(f"{landing}/part-0.csv", "w") as f:
+        f.write(f"{head}\nPL,DE,Employees,2020,5\nPL,DE,Employees\nPL,DE,Employees,2021,6,x\n,,,,\n")
+    with open(f"{landing}/part-1.csv", "w") as f:
+        f.write(f"{head}\n")
+    out, rejects, counts = scratch("facts"), scratch("rejects"), scratch("counts")
+    with pytest.raises(ValueError, match="2 lines of the landing do not fit"):
+        jobs.clean_facts_job(spark, landing, out, counts=counts, rejects=rejects, fail_on_rejects=True)
+    stored = read_table(spark, rejects)
+    assert rows(stored, "line") == [("PL,DE,Employees",), ("PL,DE,Employees,2021,6,x",)]
+    assert all(r.file.endswith("part-0.csv") for r in stored.collect())
+    assert rows(read_table(spark, out), "jurisdiction", "year", "obs_value") == [("PL", 2020, 5.0)]
+    assert read_table(spark, counts).first().asDict() == {"raw_rows": 2, "null_year": 1, "null_obs_value": 1, "after_dropna": 1, "after_dedup": 1}
+    clean = scratch("clean")
+    jobs.clean_facts_job(spark, landing, clean)  # without a folder such lines are padded or cut
+    assert read_table(spark, clean).count() == 2
+    with pytest.raises(ValueError, match="needs a folder"):
+        jobs.clean_rates_job(spark, landing, clean, fail_on_rejects=True)
