@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gapscope.session import scratch_path
 from gapscope.sources.schemas import cast_to_schema
 
 
@@ -37,6 +38,13 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     clustered(df, partition_by).write.mode(mode).partitionBy(*(partition_by or [])).parquet(path)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written under the shared scratch folder and read from there: computed once, and never again for a lost executor."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def clustered(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
     """``df`` rebalanced on the partition columns."""
     return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df

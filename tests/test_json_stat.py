@@ -128,3 +128,43 @@ def test_single_named_document_file(spark, scratch):
     docs = read_json_stat_documents(spark, path)
     assert docs.count() == 1 and docs.first()["doc"].endswith("tax_gdp_raw.json")
     assert rows(op.decode_json_stat(docs), "a", "obs_value") == [("x", 1.5)]
+
+
+def wide(n=10, m=4000):
+    return {"id": ["a", "b"], "size": [n, m],
+            "dimension": {"a": {"category": {"index": [f"r{i}" for i in range(n)]}}, "b": {"category": {"index": [f"c{i}" for i in range(m)]}}},
+            "value": list(range(n * m))}
+
+
+def test_cells_are_exchanged_once_and_a_large_document_is_spread(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from gapscope.operators import json_stat as J
+
+    monkeypatch.setattr(J, "CELLS_A_PART", 500)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    for k, v in zip(old, ("-1", "false")):
+        spark.conf.set(k, v)
+    try:
+        out = op.decode_json_stat(docs(spark, wide(), GOOD), ["a", "b"], keep_doc=True)
+        node = out._jdf.queryExecution().executedPlan()
+        while node.children().size() == 1:
+            node = node.children().head()
+        cells = node.children().head().treeString()
+        assert cells.count("Exchange hashpartitioning") == 1 and cells.count("FileScan parquet") == 1
+        placed = out.withColumn("task", F.spark_partition_id()).where("doc = 'doc0'")
+        assert placed.select("task").distinct().count() == 8  # all shuffle partitions
+        assert placed.where("b = concat('c', cast(obs_value % 4000 as int)) and a = concat('r', cast(floor(obs_value / 4000) as int))").count() == 40_000
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_parts_have_a_limit(spark, monkeypatch):
+    from gapscope.operators import json_stat as J
+
+    monkeypatch.setattr(J, "CELLS_A_PART", 7)
+    monkeypatch.setattr(J, "MOST_PARTS", 3)
+    assert rows(op.decode_json_stat(docs(spark, wide(4, 50)))) == rows(op.decode_json_stat(docs(spark, wide(4, 50)), ["a", "b"]))
+    got = op.decode_json_stat(docs(spark, wide(4, 50))).where("b = concat('c', cast(obs_value % 50 as int))")
+    assert got.count() == 200
