@@ -18,7 +18,7 @@ Binding-only labels (not taken from the source data) are marked below.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gapscope import labels as L
@@ -331,15 +331,15 @@ def json_stat_documents(cells: DataFrame) -> DataFrame:
         F.transform("ge", lambda x: x["geo"]).alias("ge_k"),
         "ge",
     )
+    # cells meet the small axes only; a customer's place is its rank within the document
     pos = lambda arr, v: (F.array_position(arr, v) - 1)
-    located = cells.join(axes, ["year", "block"]).withColumn(
-        "offset",
-        (pos(F.col("ni_k"), F.col("na_item")) * F.size("un_k") + pos(F.col("un_k"), F.col("unit"))) * F.size("ge_k")
-        + pos(F.col("ge_k"), F.col("geo")),
-    )
-    docs = located.groupBy("year", "block", "ni_k", "ni_l", "un_k", "un_l", "ge_k", "ge").agg(
-        F.map_from_entries(F.collect_list(F.struct("offset", "n"))).alias("vals")
+    place = F.dense_rank().over(Window.partitionBy("year", "block").orderBy("geo")) - 1
+    small = axes.select("year", "block", "ni_k", "un_k", F.size("ge_k").alias("n_geo"))
+    located = cells.withColumn("place", place).join(small, ["year", "block"]).select(
+        "year", "block", "n",
+        ((pos(F.col("ni_k"), F.col("na_item")) * F.size("un_k") + pos(F.col("un_k"), F.col("unit"))) * F.col("n_geo") + F.col("place")).alias("offset"),
     )
+    docs = located.groupBy("year", "block").agg(F.map_from_entries(F.collect_list(F.struct("offset", "n"))).alias("vals")).join(axes, ["year", "block"])
     n_cells = F.size("ni_k") * F.size("un_k") * F.size("ge_k")
     even = (F.col("year") % 2) == 0
     seq = lambda arr: F.sequence(F.lit(0), F.size(arr) - 1)
