@@ -34,12 +34,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gapscope.llm.common import read, stored
-from gapscope.llm.words import LOWER, Texts, mix64, segment_hashes, sequence_hashes
+from gapscope.llm.words import LOWER, Texts, mix64, segment_hashes, short_hashes
 
 #: Words of the longest phrase, and the least count of a candidate.
 LONGEST, LEAST = 4, 30
@@ -56,7 +57,8 @@ _BREAKS = np.zeros(256, bool)
 _BREAKS[list(b".,;:!?\x0a\x0b\x0c\x0d")] = True
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 0x09]] = True
-_SEED = np.uint64(0xC2B2AE3D27D4EB4F)
+#: Odd factors of the words of a window or phrase.
+_SEEDS = mix64(np.arange(1, LONGEST + 1, dtype=np.uint64)) | np.uint64(1)
 
 
 # --- parse ----------------------------------------------------------------------
@@ -96,10 +98,9 @@ class Parsed:
             begins[1:] = self.piece[1:] != self.piece[:-1]
             return begins
         begins[1:] = self.piece[1:] != self.piece[:-1]
-        hashes = segment_hashes(self.data, self.starts, self.ends)
-        at = np.flatnonzero(self.piece[: n - OVERLAP + 1] == self.piece[OVERLAP - 1:])
-        trigger = at[(mix64(sequence_hashes(hashes, at, OVERLAP) ^ _SEED) % np.uint64(TRIGGER_ONE_IN)) == 0]
-        begins[trigger] = True
+        hashes = short_hashes(self.data, self.starts, self.ends)
+        window = sum(hashes[k: n - OVERLAP + 1 + k] * _SEEDS[k] for k in range(OVERLAP))
+        begins[: n - OVERLAP + 1] |= (self.piece[: n - OVERLAP + 1] == self.piece[OVERLAP - 1:]) & (window >> np.uint64(40) < np.uint64((1 << 24) // TRIGGER_ONE_IN))
         # words that neither end a piece nor hold a trigger for long
         gap = np.diff(np.append(np.flatnonzero(begins), n))
         for a, size in zip(np.flatnonzero(begins)[gap > MOST_OWN].tolist(), gap[gap > MOST_OWN].tolist()):
@@ -115,11 +116,20 @@ def strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_string(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[place]))])
 
 
-def as_batches(table: pa.Table, names: dict[str, str]) -> Iterator[pa.RecordBatch]:
-    """Columns of ``table`` under new names, long strings as strings."""
-    for batch in table.to_batches():
-        columns = [batch.column(c) for c in names]
-        yield pa.RecordBatch.from_arrays([c.cast(pa.string()) if pa.types.is_large_string(c.type) else c for c in columns], names=list(names.values()))
+def spaced(data: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """``data`` between consecutive edges as strings, not copied."""
+    return pa.Array.from_buffers(pa.large_string(), len(edges) - 1, [None, pa.py_buffer(np.ascontiguousarray(edges, np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def combined(lang: pa.Array, row: np.ndarray, text: pa.Array, number: np.ndarray, times: np.ndarray, names: list[str]) -> pa.RecordBatch:
+    """Sums of ``times`` per different (language of the row, text, number)."""
+    langs, texts = lang.dictionary_encode(), text.dictionary_encode()
+    key = (number * len(langs.dictionary) + langs.indices.to_numpy()[row]) * max(len(texts.dictionary), 1) + texts.indices.to_numpy()
+    found = pa.table({"key": key, "times": times}).group_by("key", use_threads=False).aggregate([("times", "sum")]).combine_chunks()
+    key, code = np.divmod(found.column("key").to_numpy(), max(len(texts.dictionary), 1))
+    number, at = np.divmod(key, max(len(langs.dictionary), 1))
+    texts = texts.dictionary.take(pa.array(code)).cast(pa.string())
+    return pa.RecordBatch.from_arrays([langs.dictionary.take(pa.array(at)), texts, pa.array(number), found.column("times_sum").combine_chunks()], names=names)
 
 
 def bounded(texts: Texts) -> Iterator[tuple[Texts, bool]]:
@@ -160,11 +170,14 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 reach = np.minimum(end + OVERLAP, n)
                 piece_end = np.searchsorted(parsed.piece, parsed.piece[begin], "right")
                 reach = np.minimum(reach, piece_end)
-                table = pa.table({
-                    "lang": lang.take(pa.array(parsed.row[begin])), "chunk": strings(parsed.data, parsed.starts[begin], parsed.ends[reach - 1]),
-                    "own": pa.array(end - begin, pa.int64())})
-                found = table.group_by(["lang", "chunk", "own"]).aggregate([([], "count_all")])
-                yield from as_batches(found, {"lang": "lang", "chunk": "chunk", "own": "own", "count_all": "times"})
+                # without such words a chunk is all that stands before the next one
+                alone = reach == end
+                stop = parsed.starts[owned] if owned < n else len(parsed.data)
+                text = pc.ascii_rtrim(spaced(parsed.data, np.append(parsed.starts[begin], stop)).filter(pa.array(alone)), " ")
+                with_more = strings(parsed.data, parsed.starts[begin[~alone]], parsed.ends[reach[~alone] - 1])
+                order = np.concatenate([np.flatnonzero(alone), np.flatnonzero(~alone)])
+                text = pa.chunked_array([text, with_more]).combine_chunks()
+                yield combined(lang, parsed.row[begin[order]], text, (end - begin)[order], np.ones(len(order), np.int64), ["lang", "chunk", "own", "times"])
 
 
 def dictionary(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
@@ -177,16 +190,17 @@ def dictionary(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataF
 # --- counts ---------------------------------------------------------------------
 
 
-def phrase_keys(langs: pa.Array, rows: np.ndarray, hashes: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
-    """Places in the filter of the phrases of ``n`` words that begin at ``at``."""
+def phrase_keys(langs: pa.Array, rows: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
+    """Places in the filter of the phrases of ``n`` words that begin at each word but the last ``n - 1``."""
     coded = langs.dictionary_encode()
     names = Texts.of([x.as_py() for x in coded.dictionary])
     filled = np.diff(names.offsets) > 0
     seeds = np.zeros(len(names), np.uint64)
     if filled.any():
         seeds[filled] = segment_hashes(names.data, names.offsets[:-1][filled], names.offsets[1:][filled])
-    own = seeds[coded.indices.to_numpy()]
-    return mix64(sequence_hashes(hashes, at, n) ^ own[rows[at]]) >> np.uint64(64 - FILTER_BITS)
+    many = max(len(hashes) - n + 1, 0)
+    value = sum(hashes[k: k + many] * _SEEDS[k] for k in range(n)) ^ seeds[coded.indices.to_numpy()][rows[:many]]
+    return ((value ^ (value >> np.uint64(31))) * _SEEDS[0]) >> np.uint64(64 - FILTER_BITS)
 
 
 def filter_of(frequent: DataFrame) -> np.ndarray:
@@ -194,7 +208,7 @@ def filter_of(frequent: DataFrame) -> np.ndarray:
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parsed = Rows(batch.column(1))
-            key = phrase_keys(batch.column(0), parsed.row, parsed.hashes, parsed.bounds[:-1], int(parsed.counts[0])) if batch.num_rows else np.empty(0, np.uint64)
+            key = phrase_keys(batch.column(0), parsed.row, parsed.hashes, int(parsed.counts[0]))[parsed.bounds[:-1]] if batch.num_rows else np.empty(0, np.uint64)
             yield pa.RecordBatch.from_arrays([pa.array((key >> np.uint64(6)).astype(np.int64)), pa.array((np.uint64(1) << (key & np.uint64(63))).view(np.int64))], names=["word", "bit"])
 
     rows = frequent.mapInArrow(places, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
@@ -209,14 +223,19 @@ class Rows:
     def __init__(self, column: pa.Array):
         texts = next(Texts.chunks(column, 1 << 62), Texts(np.empty(0, np.uint8), np.zeros(1, np.int64)))
         data, offsets = texts.data, texts.offsets
-        space = np.flatnonzero(data == 0x20)
-        self.starts = np.union1d(offsets[:-1], space + 1)
-        self.ends = np.union1d(offsets[1:], space)
+        space = data == 0x20
+        first = np.zeros(len(data), bool)
+        first[1:] = space[:-1]
+        first[offsets[:-1]] = True
+        # a row's last word ends where the next row begins, a space does not belong to the word behind it
+        self.starts = np.flatnonzero(first)
+        self.ends = np.append(self.starts[1:], len(data))
+        self.ends = self.ends - space[self.ends - 1]
         self.bounds = np.searchsorted(self.starts, offsets)
         self.counts = np.diff(self.bounds)
         self.row = np.repeat(np.arange(len(texts)), self.counts)
         self.data = data
-        self.hashes = segment_hashes(data, self.starts, self.ends)
+        self.hashes = short_hashes(data, self.starts, self.ends)
 
 
 def phrases(parse: DataFrame, n: int, shorter: Broadcast | None) -> DataFrame:
@@ -225,16 +244,18 @@ def phrases(parse: DataFrame, n: int, shorter: Broadcast | None) -> DataFrame:
         for batch in gathered(batches):
             rows = Rows(batch.column(1))
             own = batch.column(2).to_numpy()
-            place = np.arange(len(rows.starts)) - rows.bounds[:-1][rows.row]
-            at = np.flatnonzero((place < own[rows.row]) & (place + n <= rows.counts[rows.row]))
+            # an own word begins a phrase if so many words are left in its row
+            left = np.minimum(own, np.maximum(rows.counts - n + 1, 0))
+            begins = np.arange(len(rows.starts)) < np.repeat(rows.bounds[:-1] + left, rows.counts)
             if shorter:
-                for k in (0, 1):
-                    key = phrase_keys(batch.column(0), rows.row, rows.hashes, at + k, n - 1)
-                    at = at[(shorter.value[key >> np.uint64(6)] >> (key & np.uint64(63))) & np.uint64(1) > 0]
-            row = pa.array(rows.row[at])
-            table = pa.table({"lang": batch.column(0).take(row), "phrase": strings(rows.data, rows.starts[at], rows.ends[at + n - 1]), "times": batch.column(3).take(row)})
-            found = table.group_by(["lang", "phrase"]).aggregate([("times", "sum")])
-            yield from as_batches(found, {"lang": "lang", "phrase": "phrase", "times_sum": "times"})
+                key = phrase_keys(batch.column(0), rows.row, rows.hashes, n - 1)
+                known = (shorter.value[key >> np.uint64(6)] >> (key & np.uint64(63))) & np.uint64(1) > 0
+                begins[: len(known) - 1] &= known[:-1] & known[1:]
+            at = np.flatnonzero(begins)
+            text = strings(rows.data, rows.starts[at], rows.ends[at + n - 1]) if n > 1 else pc.ascii_rtrim(spaced(rows.data, np.append(rows.starts, len(rows.data))).filter(pa.array(begins)), " ")
+            row = rows.row[at]
+            found = combined(batch.column(0), row, text, np.zeros(len(at), np.int64), batch.column(3).to_numpy()[row], ["lang", "phrase", "", "times"])
+            yield found.select(["lang", "phrase", "times"])
 
     found = parse.mapInArrow(count, "lang string, phrase string, times long")
     return found.groupBy("lang", "phrase").agg(F.sum("times").alias("a")).where(F.col("a") >= LEAST)

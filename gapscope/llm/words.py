@@ -131,6 +131,34 @@ def segment_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower
     return mix64(out + (ends - starts).astype(np.uint64) * _ODD)
 
 
+def short_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each ``data[start:end]``, faster for words of few bytes; not the one of ``segment_hashes``.
+
+    Words are taken eight bytes at a time; those beyond 64 bytes go through ``segment_hashes``.
+    """
+    sizes = ends - starts
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), np.dtype("<u8"), padded, strides=(1,))
+    out = sizes.astype(np.uint64) * _ODD
+    left = np.minimum(sizes, 8).astype(np.uint64) * np.uint64(8)
+    whole = (~np.uint64(0)) >> (np.uint64(64) - np.maximum(left, 1)).astype(np.uint64)
+    out = (out ^ (eight[starts] & whole)) * _MIX1
+    out ^= out >> np.uint64(29)
+    rest = np.flatnonzero(sizes > 8)
+    for k in range(8, 64, 8):
+        rest = rest[sizes[rest] > k]
+        if not len(rest):
+            break
+        left = np.minimum(sizes[rest] - k, 8).astype(np.uint64) * np.uint64(8)
+        value = eight[starts[rest] + k] & ((~np.uint64(0)) >> (np.uint64(64) - left))
+        value = (out[rest] ^ value) * _MIX1
+        out[rest] = value ^ (value >> np.uint64(29))
+    long = np.flatnonzero(sizes > 64)
+    if len(long):
+        out[long] = segment_hashes(data, starts[long], ends[long])
+    return (out * _MIX2) ^ (out >> np.uint64(32))
+
+
 def sequence_hashes(word_hashes: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
     """64-bit hashes of the ``size``-word sequences that begin at ``at``; order matters."""
     h = np.full(len(at), np.uint64(size), np.uint64)
