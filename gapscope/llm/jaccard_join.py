@@ -52,6 +52,8 @@ MOST_FREQUENT = 1_000_000
 FEW = 8
 #: Hash cells of a set's sketch, one byte each.
 CELLS = 128
+#: Documents whose sets a task holds at a time.
+ROWS = 4096
 #: Bits of the filter of signatures whose sets are needed.
 FILTER_BITS = 26
 #: Candidates of one probe that share a task's prefix tree.
@@ -91,9 +93,17 @@ def ordered(shingles: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np
     return np.sort(keys | (level << np.uint64(LEVEL_AT)))
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of ``ROWS`` rows, which bound the sets held at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+        pa.default_memory_pool().release_unused()
+
+
 def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key, text) to a row (key, n, sig) per document, and rows (shingle, seen) for those that several classes of a batch hold."""
-    for batch in batches:
+    for batch in sliced(batches):
         sets = [s for texts in Texts.chunks(batch.column(1)) for s in shingle_sets(texts)]
         signs = [signature(s) if len(s) else None for s in sets]
         different = {g: s for g, s in zip(signs, sets) if g is not None}
@@ -140,7 +150,7 @@ def postings(docs: DataFrame, frequent) -> DataFrame:
     set's shingles that are not frequent.
     """
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             done: set[int] = set()
             out: list[tuple] = []
             for texts in Texts.chunks(batch.column(1)):
@@ -223,7 +233,7 @@ def class_sets(docs: DataFrame, asked: DataFrame, frequent) -> DataFrame:
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
-        for batch in batches:
+        for batch in sliced(batches):
             signs, keys, sketches = [], [], []
             for texts in Texts.chunks(batch.column(0)):
                 sets = [s for s in shingle_sets(texts) if len(s)]

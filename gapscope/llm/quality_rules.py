@@ -42,7 +42,7 @@ SAMPLE_ROWS = 3000
 SAMPLE_PARTS = 12
 STEPS, RATE = 40, 1.0
 #: Bytes of text judged at a time, to lower the peak of an executor.
-TEXT_BYTES = 2 << 20
+TEXT_BYTES = 1 << 20
 #: A text is kept from this probability of label 1.
 KEEP_AT = 0.5
 LEAST_WORDS, WINDOW, MOST_REPEATED_PERCENT = 10, 5, 20
@@ -229,6 +229,7 @@ def apply_rules(docs: DataFrame, model: Model | None, text: str = "text") -> Dat
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield with_columns(batch, judged(batch.column(batch.schema.get_field_index(text)), shared.value))
+            pa.default_memory_pool().release_unused()
 
     base = docs.select(*names)
     return base.mapInArrow(score, T.StructType([*base.schema.fields, *ADDED.fields]))

@@ -23,7 +23,7 @@ _MIX1 = np.uint64(0xBF58476D1CE4E5B9)
 _MIX2 = np.uint64(0x94D049BB133111EB)
 _BLOCK = 4096
 #: Bytes handled at a time when words are hashed.
-_PIECE = 4 << 20
+_PIECE = 1 << 19
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -55,7 +55,7 @@ class Texts:
         return next(cls.chunks(pa.array(texts, pa.string()), 1 << 62), cls(np.empty(0, np.uint8), np.zeros(1, np.int64)))
 
     @classmethod
-    def chunks(cls, column: pa.Array, most_bytes: int = 8 << 20) -> Iterator[Texts]:
+    def chunks(cls, column: pa.Array, most_bytes: int = 2 << 20) -> Iterator[Texts]:
         """The column in order, cut into runs of rows of about ``most_bytes`` (a longer text stands alone)."""
         if isinstance(column, pa.ChunkedArray):
             for chunk in column.chunks:
@@ -63,6 +63,11 @@ class Texts:
             return
         if not len(column):
             return
+        rows = max(256, 4 * most_bytes * len(column) // max(column.nbytes, 1))  # only so many are copied at a time
+        if rows < len(column):
+            for at in range(0, len(column), rows):
+                yield from cls.chunks(column.slice(at, rows), most_bytes)
+            return
         wide = column.cast(pa.large_string()).fill_null("")
         _, starts, data = wide.buffers()
         offsets = np.frombuffer(starts, np.int64)[wide.offset: wide.offset + len(wide) + 1]
