@@ -28,14 +28,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gapscope.llm.common import read, with_columns
 from gapscope.llm.pieces import SPACE, Vocabulary, decoded
 
 #: Segments remembered per task, and the longest of them.
-REMEMBERED, LONGEST_REMEMBERED = 400_000, 48
+REMEMBERED, LONGEST_REMEMBERED = 250_000, 48
+#: Documents encoded or decoded before they are handed on.
+ROWS = 512
 #: Ids decoded together.
 IDS_AT_ONCE = 500_000
 #: Characters read between two looks for a common boundary.
@@ -140,18 +141,40 @@ def list_array(flat: np.ndarray, counts: list[int], valid: np.ndarray | None = N
     return pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int32()), mask=mask)
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of ``ROWS`` rows, handed on one by one."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+        pa.default_memory_pool().release_unused()
+
+
+def encoded(encoder: Encoder, texts: pa.Array) -> pa.Array:
+    """The ids of each text; null for a null."""
+    coded = [encoder.encode(t or "") for t in texts.to_pylist()]
+    return list_array(np.frombuffer(b"".join(coded), np.int32), [len(c) // 4 for c in coded], np.asarray(texts.is_valid(), bool))
+
+
+def spelled(vocabulary: Vocabulary, ids: pa.Array) -> pa.Array:
+    """The text of each list of ids; null for a null."""
+    offsets = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(ids).fill_null(0).to_numpy())]).astype(np.int64)
+    flat, at, parts = np.asarray(ids.flatten()), 0, []
+    while at < len(ids):  # some rows at a time, as the decoder's work arrays are wider than its texts
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + IDS_AT_ONCE, "right")) - 1)
+        parts.append(decoded(vocabulary, flat[offsets[at]: offsets[to]], offsets[at: to + 1] - offsets[at]))
+        at = to
+    texts = pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+    return pa.compute.if_else(ids.is_null(), pa.scalar(None, pa.string()), texts)
+
+
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids") -> DataFrame:
     """``docs`` with ``ids``: array<int>."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
-        for batch in batches:
-            column = batch.column(batch.schema.get_field_index(text))
-            coded = [encoder.encode(t.as_py() or "") for t in column]
-            flat = np.frombuffer(b"".join(coded), np.int32)
-            valid = np.array([x.is_valid for x in column], bool)
-            yield with_columns(batch, {ids: list_array(flat, [len(c) // 4 for c in coded], valid)})
+        for batch in sliced(batches):
+            yield with_columns(batch, {ids: encoded(encoder, batch.column(batch.schema.get_field_index(text)))})
 
     base = docs.select(*[c for c in docs.columns if c != ids])
     return base.mapInArrow(run, T.StructType([*base.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))]))
@@ -162,28 +185,33 @@ def decode(coded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", text: str
     shared = coded.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = batch.column(batch.schema.get_field_index(ids))
-            offsets = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(column).fill_null(0).to_numpy())]).astype(np.int64)
-            flat, at, parts = np.asarray(column.flatten()), 0, []
-            while at < len(column):  # some rows at a time, as the decoder's work arrays are wider than its texts
-                to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + IDS_AT_ONCE, "right")) - 1)
-                parts.append(decoded(shared.value, flat[offsets[at]: offsets[to]], offsets[at: to + 1] - offsets[at]))
-                at = to
-            texts = pa.concat_arrays(parts) if parts else pa.array([], pa.string())
-            nulls = pa.array([not x.is_valid for x in column], pa.bool_())
-            yield with_columns(batch, {text: pa.compute.if_else(nulls, pa.scalar(None, pa.string()), texts)})
+        for batch in sliced(batches):
+            yield with_columns(batch, {text: spelled(shared.value, batch.column(batch.schema.get_field_index(ids)))})
 
     base = coded.select(*[c for c in coded.columns if c != text])
     return base.mapInArrow(run, T.StructType([*base.schema.fields, T.StructField(text, T.StringType())]))
 
 
 def encoded_corpus(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, n_tokens, ids, and whether decoding gives the text back (spaces for U+2581)."""
+    """doc_id, n_tokens, ids, and whether decoding gives the text back (spaces for U+2581).
+
+    Both ways in one pass, so the decoded text never leaves the task.
+    """
     vocabulary = Vocabulary.load(path)
-    both = decode(encode(docs.select("doc_id", "text"), vocabulary), vocabulary)
-    back = F.col("decoded").eqNullSafe(F.translate("text", SPACE, " "))
-    return both.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"), "ids", back.alias("round_trip"))
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    rows = docs.select("doc_id", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(shared.value)
+        for batch in sliced(batches):
+            texts = batch.column(1)
+            ids = encoded(encoder, texts)
+            back = pa.array([t == (None if own is None else own.replace(SPACE, " ")) for t, own in zip(spelled(shared.value, ids).to_pylist(), texts.to_pylist())], pa.bool_())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.compute.list_value_length(ids).fill_null(0).cast(pa.int64()), ids, back], names=["doc_id", "n_tokens", "ids", "round_trip"])
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids array<int>, round_trip boolean")
 
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
