@@ -34,7 +34,7 @@ from gapscope.llm.common import read, with_columns
 from gapscope.llm.pieces import SPACE, Vocabulary, decoded
 
 #: Segments remembered per task, and the longest of them.
-REMEMBERED, LONGEST_REMEMBERED = 250_000, 48
+REMEMBERED, LONGEST_REMEMBERED = 120_000, 48
 #: Documents encoded or decoded before they are handed on.
 ROWS = 512
 #: Ids decoded together.
