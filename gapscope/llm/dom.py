@@ -5,15 +5,26 @@ from __future__ import annotations
 import html as _html
 import math
 import re
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*)>""", re.S)
+_SPACE = r"[ \t\n\f\r]"
+#: What is no text: comments, sections of character data, declarations, tags. Possessive throughout, so that each is read once.
+_MARKUP = re.compile(r"<(?=[a-zA-Z!?]|/)")
+_NAMED = re.compile(r"</?[a-zA-Z]")
+_COMMENT = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?/][^>]*+>?", re.S)
+#: A quote opens a value after "=" alone, and only if it is closed somewhere.
+_TAG = re.compile(
+    rf"""<(/?)([a-zA-Z][^ \t\n\f\r/>]*+)((?:(?:{_SPACE}|/)++|[^ \t\n\f\r/>][^ \t\n\f\r/>=]*+"""
+    rf"""(?:{_SPACE}*+={_SPACE}*+(?:"[^"]*+"|'[^']*+'|[^ \t\n\f\r>"'][^ \t\n\f\r>]*+)?+)?+)*+)>""")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _WORDS_OF_NAMES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements of raw text up to their end tag, which is never page text.
 SILENT = frozenset("script style title textarea iframe".split())
+_END_OF = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in SILENT}
 #: Nodes of their own that do not end the line they are in.
 EMBEDDED = frozenset("svg math object canvas select noscript template".split())
 #: Inside these a start tag with "/>" has no content; elements are formatting but for the second set and for blocks of HTML.
@@ -30,6 +41,12 @@ ENDS = {
     "option": (frozenset(("option",)), frozenset(("select",))),
 }
 
+#: Which rules of ``ENDS`` an open element matters to.
+_RULES_OF: dict[str, list[str]] = {}
+for _rule, (_ended, _within) in ENDS.items():
+    for _name in _ended | _within:
+        _RULES_OF.setdefault(_name, []).append(_rule)
+
 KINDS = {k: n for n, names in enumerate((
     "body html", "div center", "section", "article", "main", "nav menu", "aside", "header hgroup", "footer", "form fieldset button legend",
     "p", "h1", "h2 h3 h4 h5 h6", "li dd dt", "ul ol dl dir", "table tbody thead tfoot tr", "td th caption", "blockquote pre", "figure figcaption", "address details summary dialog",
@@ -105,7 +122,10 @@ def parse(source: str, label_attribute: str | None = None) -> Page:
         return len(page.parent) - 1
 
     root = add(-1, "body", "")
-    stack: list[tuple[str, int]] = [("body", root)]  # open elements and the node their text belongs to
+    # open elements, the node their text belongs to, and the place of the open <p> that only formatting separates from them (0: none)
+    stack: list[tuple[str, int, int]] = [("body", root, 0)]
+    opened: Counter[str] = Counter()
+    places: dict[str, list[int]] = {rule: [] for rule in ENDS}  # of the open elements each rule looks at
     at, size, links, foreign = 0, len(source), 0, 0
     parts = page.parts
 
@@ -121,10 +141,19 @@ def parse(source: str, label_attribute: str | None = None) -> Page:
         if links:
             page.links[node] += n
 
+    def push(name: str, node: int) -> None:
+        opened[name] += 1
+        for rule in _RULES_OF.get(name, ()):
+            places[rule].append(len(stack))
+        stack.append((name, node, len(stack) if name == "p" else stack[-1][2] if name in INLINE else 0))
+
     def close(down_to: int) -> None:
         nonlocal links, foreign
         while len(stack) > down_to:
-            name, _ = stack.pop()
+            name = stack.pop()[0]
+            opened[name] -= 1
+            for rule in _RULES_OF.get(name, ()):
+                places[rule].pop()
             links -= name == "a"
             foreign -= name in FOREIGN
             if name not in INLINE and name not in EMBEDDED and not formatting(name):
@@ -134,31 +163,39 @@ def parse(source: str, label_attribute: str | None = None) -> Page:
         return foreign > 0 and name not in KINDS and name not in FOREIGN_BLOCKS
 
     while at < size:
-        m = _TOKEN.search(source, at)
-        if m is None:
+        found = _MARKUP.search(source, at)
+        if found is None:
             text(source[at:])
             break
-        if m.start() > at:
-            text(source[at:m.start()])
-        at = m.end()
-        if m[2] is None:
+        if found.start() > at:
+            text(source[at:found.start()])
+        at = found.start()
+        if not _NAMED.match(source, at):
+            m = _COMMENT.match(source, at)
+            at = m.end()
             if m[0].startswith("<![CDATA["):
                 text(m[0][9:].removesuffix("]]>").replace("&", "&amp;"))
             continue
+        m = _TAG.match(source, at)
+        if m is None:  # a tag that the page ends in
+            break
+        at = m.end()
         name = m[2].lower()
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == name:
-                    close(k)
-                    break
+            if opened[name]:
+                k = len(stack) - 1
+                while stack[k][0] != name:
+                    k -= 1
+                close(k)
             continue
         if m[3].endswith("/") and (foreign or name in FOREIGN):
             if name == "br" or name in KINDS:
                 parts.append((-1, ""))
             continue
         if name in SILENT:
-            end = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I).search(source, at)
-            at = end.end() if end else size
+            end = _END_OF[name].search(source, at)
+            at = source.find(">", end.end()) + 1 if end else size
+            at = at or size
             page.controls[stack[-1][1]] += name == "textarea"
             continue
         if name in VOID:
@@ -168,28 +205,21 @@ def parse(source: str, label_attribute: str | None = None) -> Page:
             continue
         if name in ("html", "head", "body"):
             continue
-        if name in CLOSES_P:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == "p":
-                    close(k)
-                    break
-                if stack[k][0] not in INLINE:
-                    break
+        if name in CLOSES_P and stack[-1][2]:
+            close(stack[-1][2])
         if name in ENDS:
-            ended, within = ENDS[name]
-            found = 0
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in within:
+            lowest = 0
+            for k in reversed(places[name]):
+                if stack[k][0] in ENDS[name][1]:
                     break
-                if stack[k][0] in ended:
-                    found = k
-            if found:
-                close(found)
+                lowest = k
+            if lowest:
+                close(lowest)
         if name in EMBEDDED:
             page.controls[stack[-1][1]] += name == "select"
             own = add(stack[-1][1], name, m[3])
             page.hidden[own] |= name == "template"
-            stack.append((name, own))
+            push(name, own)
             foreign += name in FOREIGN
         elif name in INLINE or formatting(name):
             links += name == "a"
@@ -197,17 +227,17 @@ def parse(source: str, label_attribute: str | None = None) -> Page:
             own = stack[-1][1]
             if attributes and name != "a" and ("class" in attributes or "hidden" in attributes or "style" in attributes or (label_attribute and label_attribute in attributes)):
                 own = add(own, name, attributes)
-            stack.append((name, own))
+            push(name, own)
         else:
             parts.append((-1, ""))
             page.controls[stack[-1][1]] += name == "button"
             if not m[3].endswith("/"):
-                stack.append((name, add(stack[-1][1], name, m[3])))
+                push(name, add(stack[-1][1], name, m[3]))
     close(1)
     return page
 
 
-def features(page: Page) -> list[list[float]]:
+def features(page: Page) -> Iterator[list[float]]:
     """What each node looks like: its kind, name hints, and how its own and its whole text are made."""
     n = len(page.parent)
     chars, words, links, marks, controls = (list(c) for c in (page.chars, page.words, page.links, page.marks, page.controls))
@@ -220,7 +250,6 @@ def features(page: Page) -> list[list[float]]:
         blocks[p] += blocks[i] + (page.tag[i] == "p")
     total = max(chars[0], 1)
     before = 0
-    rows = []
     inherited, nearest = [0] * n, [0] * n
     for i in range(n):
         row = [0.0] * N_FEATURES
@@ -253,8 +282,7 @@ def features(page: Page) -> list[list[float]]:
             before / total, float(before > 0.9 * total), float(words[i] == 0), float(nearest[i] < 0), float(nearest[i] > 0),
         )
         before += page.chars[i]
-        rows.append(row)
-    return rows
+        yield row
 
 
 def assembled(page: Page, keep) -> str:

@@ -17,7 +17,9 @@ is per row: no shuffle, no state. The training pages
 
 Defined results: null, empty and tag-free sources without text give an empty
 text; broken markup is read as far as it goes (unclosed elements end with
-their parent, stray end tags are ignored); repeated rows give equal texts;
+their parent, stray end tags are ignored, a quote that is never closed is an
+ordinary character, a tag that the page ends in goes with what is in it); the
+time a page takes is in proportion to its length; repeated rows give equal texts;
 columns that clash with the added ones are replaced; an empty table gives an
 empty table.
 """
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +43,8 @@ KEEP_AT = 0.5
 RIDGE, STEPS = 5e-4, 60
 #: Pages whose nodes share a round of messages; characters of HTML handled at a time.
 PAGES, CHARS = 256, 4_000_000
+#: Nodes whose features are held at a time.
+ROWS = 8192
 
 
 @dataclass
@@ -51,37 +56,45 @@ class Model:
 
     def marginals(self, rows: np.ndarray, parent: np.ndarray, kind: np.ndarray) -> np.ndarray:
         """P(article text) of each node of a forest; ``parent`` is -1 at roots and always earlier."""
-        field = rows @ self.look
+        return self.beliefs(rows @ self.look, parent, kind)
+
+    def beliefs(self, field: np.ndarray, parent: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        """``marginals`` from each node's own half log-odds, in time and memory of the number of nodes whatever their depth."""
+        field = field.copy()
         pull = np.tanh(self.coupling[kind])
-        depth = depths(parent)
-        levels = [np.flatnonzero(depth == d) for d in range(depth.max(initial=0) + 1)]
+        below = levels(parent)[1:]
         up = np.zeros(len(parent))
-        for nodes in reversed(levels[1:]):
+        for nodes in reversed(below):
             up[nodes] = np.arctanh(pull[nodes] * np.tanh(field[nodes]))
-            field += np.bincount(parent[nodes], up[nodes], minlength=len(field))
-        for nodes in levels[1:]:
+            np.add.at(field, parent[nodes], up[nodes])
+        for nodes in below:
             above = field[parent[nodes]] - up[nodes]
             field[nodes] += np.arctanh(pull[nodes] * np.tanh(above))
         return 1 / (1 + np.exp(-2 * np.clip(field, -300, 300)))
 
 
-def depths(parent: np.ndarray) -> np.ndarray:
-    """Distance to the root of each node."""
-    depth = np.zeros(len(parent), np.int64)
-    at = parent.copy()
-    while (alive := at >= 0).any():
-        depth += alive
-        at = np.where(alive, parent[np.maximum(at, 0)], -1)
-    return depth
+def levels(parent: np.ndarray) -> list[np.ndarray]:
+    """The nodes at each distance from their root, roots first."""
+    depth: list[int] = []
+    for p in parent.tolist():
+        depth.append(depth[p] + 1 if p >= 0 else 0)
+    order = np.argsort(depth, kind="stable")
+    return np.split(order, np.cumsum(np.bincount(depth))[:-1]) if depth else [order]
 
 
-def forest(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(features, parents, kinds, first node of each page) of all pages' nodes together."""
+def forest(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(parents, kinds, first node of each page) of all pages' nodes together."""
     starts = np.concatenate([[0], np.cumsum([len(p.parent) for p in pages])]).astype(np.int64)
-    rows = np.array([row for p in pages for row in features(p)], np.float64).reshape(-1, N_FEATURES)
-    parent = np.array([q + s if q >= 0 else -1 for p, s in zip(pages, starts) for q in p.parent], np.int64)
+    parent = np.array([q + s if q >= 0 else -1 for p, s in zip(pages, starts.tolist()) for q in p.parent], np.int64)
     kind = np.array([KINDS.get(t, OTHER) for p in pages for t in p.tag], np.int64)
-    return rows, parent, kind, starts
+    return parent, kind, starts
+
+
+def feature_blocks(pages: list[Page]) -> Iterator[np.ndarray]:
+    """Features of all pages' nodes in order, at most ``ROWS`` nodes at a time."""
+    rows = chain.from_iterable(map(features, pages))
+    while block := list(islice(rows, ROWS)):
+        yield np.array(block, np.float64)
 
 
 def true_labels(page: Page) -> np.ndarray:
@@ -100,7 +113,8 @@ def true_labels(page: Page) -> np.ndarray:
 def fit(sources: list[str] | None = None, label: str = LABEL) -> Model:
     """Learn both potentials by pseudo-likelihood (ridge, Newton's method) from pages whose blocks carry ``label``."""
     pages = [parse(s, label) for s in (labelled_pages() if sources is None else sources)]
-    rows, parent, kind, _ = forest(pages)
+    rows = np.concatenate([np.empty((0, N_FEATURES)), *feature_blocks(pages)])
+    parent, kind, _ = forest(pages)
     y = np.concatenate([true_labels(p) for p in pages])
     near = np.zeros((len(y), OTHER + 1))  # sum of neighbours' labels, by the kind of the edge's child
     child = np.flatnonzero(parent >= 0)
@@ -125,8 +139,9 @@ def main_texts(sources: list[str], model: Model) -> list[str]:
     out: list[str] = []
     for at in range(0, len(sources), PAGES):
         pages = [parse(s) for s in sources[at: at + PAGES]]
-        rows, parent, kind, starts = forest(pages)
-        keep = model.marginals(rows, parent, kind) >= KEEP_AT
+        parent, kind, starts = forest(pages)
+        field = np.concatenate([block @ model.look for block in feature_blocks(pages)])
+        keep = model.beliefs(field, parent, kind) >= KEEP_AT
         out += [assembled(p, keep[a:b]) for p, a, b in zip(pages, starts[:-1], starts[1:])]
     return out
 

@@ -3,6 +3,7 @@
 import html
 import itertools
 import re
+import time
 
 import numpy as np
 import pytest
@@ -100,3 +101,22 @@ def test_embedded_elements_take_no_text_with_them(model):
         assert H.main_texts([page.format(mark, article)], model)[0] == f"Head line {body}"
     for name in ("noscript", "object"):
         assert H.main_texts([page.format("", f"<{name}>{article}</{name}>")], model)[0] == f"Head line {body}"
+
+
+def test_time_grows_with_the_page_alone(model):
+    pages = {
+        "<a " * 350_000: "", "<p title='" * 100_000: "", '<p title="x>y" ' * 70_000: "", "<script>" + "</script " * 100_000: "", "<" * 1_000_000: "<" * 1_000_000,
+        "<div>" * 100_000 + "deep": None, "<div>" * 50_000 + "</b>" * 100_000: None, "<ul><li><ul>" + "<div>" * 50_000 + "<li></li>" * 50_000: None, "<p><object>" + "<b>" * 50_000 + "<div></div>" * 50_000: None,
+    }
+    for source, text in pages.items():
+        begun = time.perf_counter()
+        got = H.main_texts([source], model)[0]
+        assert time.perf_counter() - begun < 30 and text in (None, got)
+
+
+def test_quotes_comments_and_unfinished_tags():
+    whole = lambda source: (lambda page: assembled(page, [True] * len(page.parent)))(parse(source))
+    assert whole('<p class="x>broken"') == "" and whole('<p class="x>broken</p>') == "broken"
+    assert whole("<p title=it's>yes</p><p>it's</p>") == "yes it's" and whole('one <p class="a>b">two') == "one two"
+    assert whole("a </> b </ c> d </\u00e9> e <\u00e9") == "a b d e <\u00e9" and whole("<!--> a --> b <!-- c --!> d") == "a --> b d"
+    assert whole("<script>x</script y>z</p>") == "z" and whole("a<script>b</script") == "a"
