@@ -69,7 +69,10 @@ HINTS = tuple(frozenset(x.split()) for x in (
 LANDMARKS = ("article", "main", "nav", "aside", "header", "footer", "form", "section", "li", "table")
 _LANDMARK_BIT = {name: 1 << (len(HINTS) + k) for k, name in enumerate(LANDMARKS)}
 N_INHERITED = len(HINTS) + len(LANDMARKS)
-N_FEATURES = 1 + (OTHER + 1) + len(HINTS) + N_INHERITED + 16
+#: Elements that hold blocks, and those whose likes in a row, each with several parts, make a list of entries.
+CONTAINERS = frozenset("div center section article main nav aside header footer form ul ol body".split())
+ENTRIES = frozenset("li div section article dd".split())
+N_FEATURES = 1 + (OTHER + 1) + len(HINTS) + N_INHERITED + 22
 #: Names and landmarks of page furniture and of articles; the nearest one above a node tells most.
 _FURNITURE = (1 << 8) - 1 | sum(_LANDMARK_BIT[t] for t in ("nav", "aside", "header", "footer", "form"))
 _ARTICLE = 1 << 8 | 1 << 9 | _LANDMARK_BIT["article"] | _LANDMARK_BIT["main"]
@@ -250,6 +253,14 @@ def features(page: Page) -> Iterator[list[float]]:
         blocks[p] += blocks[i] + (page.tag[i] == "p")
     total = max(chars[0], 1)
     before = 0
+    entries: Counter[tuple[int, str]] = Counter()  # by parent and element
+    is_entry = [page.tag[i] in ENTRIES and children[i] + (page.chars[i] > 0) > 1 for i in range(n)]
+    largest = [0] * n  # text of the child with most
+    for i in range(1, n):
+        p = page.parent[i]
+        entries[p, page.tag[i]] += is_entry[i]
+        largest[p] = max(largest[p], chars[i])
+    box, listed, outside = [0] * n, [False] * n, [0] * n
     inherited, nearest = [0] * n, [0] * n
     for i in range(n):
         row = [0.0] * N_FEATURES
@@ -274,12 +285,19 @@ def features(page: Page) -> Iterator[list[float]]:
                     row[at + k] = 1.0
                 bits >>= 1
                 k += 1
+        if p >= 0:
+            box[i] = i if page.tag[i] in CONTAINERS else box[p]
+            listed[i] = listed[p] or (is_entry[i] and entries[p, page.tag[i]] > 1)
+            # text of the largest block beside this one or beside an ancestor
+            outside[i] = max(outside[p], largest[p] if chars[i] < largest[p] and page.tag[i] in CONTAINERS else 0)
+        b = box[i]
         at += N_INHERITED
         w = max(words[i], 1)
         row[at:] = (
             math.log1p(page.chars[i]) / 6, math.log1p(chars[i]) / 8, links[i] / max(chars[i], 1), float(links[i] > 0.5 * chars[i] and links[i] > 0), marks[i] / w, min(w, 40) / 40,
             float(children[i] == 0), math.log1p(blocks[i]) / 3, chars[i] / total, float(page.hidden[i]), min(controls[i], 5) / 5,
             before / total, float(before > 0.9 * total), float(words[i] == 0), float(nearest[i] < 0), float(nearest[i] > 0),
+            chars[b] / total, links[b] / max(chars[b], 1), float(controls[b] > 0 and 2 * chars[b] < total), float(listed[i]), float(listed[i] and nearest[i] == 0), outside[i] / max(outside[i] + chars[b], 1),
         )
         before += page.chars[i]
         yield row

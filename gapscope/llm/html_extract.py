@@ -40,9 +40,11 @@ from gapscope.llm.dom import KINDS, N_FEATURES, OTHER, Page, assembled, features
 from gapscope.llm.labelled_pages import LABEL, labelled_pages
 
 KEEP_AT = 0.5
-RIDGE, STEPS = 5e-4, 60
+RIDGE, STEPS = 1e-4, 60
 #: Pages whose nodes share a round of messages; characters of HTML handled at a time.
 PAGES, CHARS = 256, 4_000_000
+#: Labelled pages made, and the share of them whose names mislead.
+TRAINING, ODD = 2000, 0.4
 #: Nodes whose features are held at a time.
 ROWS = 8192
 
@@ -112,7 +114,7 @@ def true_labels(page: Page) -> np.ndarray:
 
 def fit(sources: list[str] | None = None, label: str = LABEL) -> Model:
     """Learn both potentials by pseudo-likelihood (ridge, Newton's method) from pages whose blocks carry ``label``."""
-    pages = [parse(s, label) for s in (labelled_pages() if sources is None else sources)]
+    pages = [parse(s, label) for s in (labelled_pages(TRAINING, odd=ODD) if sources is None else sources)]
     rows = np.concatenate([np.empty((0, N_FEATURES)), *feature_blocks(pages)])
     parent, kind, _ = forest(pages)
     y = np.concatenate([true_labels(p) for p in pages])

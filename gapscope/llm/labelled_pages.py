@@ -1,20 +1,28 @@
 """Labelled training pages for the HTML model: many layouts, each block marked as article text or not.
 
 A page is put together at random (fixed seed) from the usual parts of web
-pages; blocks carry ``data-y="1"`` (article) or ``"0"``. The labels are read by
+pages. On odd pages names do not help: articles are called by words of any
+kind of block, furniture often has no name, headings stand in headers. Blocks carry ``data-y="1"`` (article) or ``"0"``. The labels are read by
 the fit alone; scored pages have no such attribute, and it is never a feature.
 """
 
 from __future__ import annotations
 
 import random
+import re
+
+from gapscope.llm.dom import HINTS
 
 _SYLLABLES = "an the of er re on in at es ti or st ed ing tion ha en nd th ou ea he ly ble wh sh is to be it".split()
 LABEL = "data-y"
+#: Of odd pages: shares of articles with misleading or made-up names, of furniture whose names are left out, and of articles with a header of their own.
+MISNAMED, UNNAMED, HEADED = 0.6, 0.4, 0.3
+_NAMES = re.compile(r' (?:class|id|role)="[^"]*"')
 
 
-def labelled_pages(count: int = 600, seed: int = 11) -> list[str]:
-    return [_page(random.Random(f"{seed}:{i}")) for i in range(count)]
+def labelled_pages(count: int = 600, seed: int = 11, odd: float = 0.0) -> list[str]:
+    """``odd`` is the share of pages whose names mislead or are left out."""
+    return [_page(random.Random(f"{seed}:{i}"), odd) for i in range(count)]
 
 
 def _word(r) -> str:
@@ -52,9 +60,18 @@ def _inline(r, s) -> str:
     return s
 
 
-def _article(r) -> str:
+def _names(r) -> str:
+    """A class or id that tells nothing: made-up words and words of any kind of block."""
+    words = [_word(r) if r.random() < 0.4 else r.choice(sorted(r.choice(HINTS))) for _ in range(r.choice((1, 2, 2, 3)))]
+    return f' {r.choice(("class", "class", "id"))}="{r.choice("- _").join(words)}"'
+
+
+def _article(r, odd: bool) -> str:
     y = f' {LABEL}="1"'
     out = [f"<h1{y}>{_words(r, 1, 12)}</h1>"] if r.random() < 0.85 else []
+    if out and odd and r.random() < HEADED:
+        dated = f"<p{y}>{_words(r, 2, 5)}</p>" if r.random() < 0.3 else ""
+        out = [f'<header{_names(r) if r.random() < 0.5 else ""}>{out[0]}{dated}</header>']
     for _ in range(r.choice((1, 2, 3, 5, 8, 13))):
         kind = r.random()
         body = _inline(r, _sentences(r, r.choice((1, 1, 2, 4, 9))))
@@ -78,11 +95,25 @@ def _article(r) -> str:
     inner = "".join(out)
     wrapper = r.choice(("article", "article", "article", "main", 'div class="content"', 'div id="main-content"', 'div class="post-body"', 'section class="entry-content"', 'div class="story"', "section", "div"))
     for _ in range(r.choice((0, 0, 0, 1))):
-        inner = f"<div>{inner}</div>"
+        inner = f"<div{_names(r) if odd and r.random() < MISNAMED else ''}>{inner}</div>"
+    if odd and r.random() < MISNAMED:
+        wrapper = wrapper.split()[0] + _names(r)
     return f"<{wrapper}>{inner}</{wrapper.split()[0]}>"
 
 
-def _noise(r, kind) -> str:
+def _noise(r, kind, odd: bool) -> str:
+    made = _named_noise(r, kind)
+    if not odd:
+        return made
+    if (kind in ("nav", "notice", "share", "comments") or "<aside" in made) and r.random() < UNNAMED:  # told by their look alone
+        made = _NAMES.sub("", made)
+    elif r.random() < 0.1:
+        if not _NAMES.search(made[: made.index(">")]):
+            made = re.sub(r"^<(\w+)", lambda m: f"<{m[1]}{_names(r)}", made)
+    return made
+
+
+def _named_noise(r, kind) -> str:
     n = f' {LABEL}="0"'
     link = lambda: f'<a href="/{_word(r)}">{_words(r, 1, 3)}</a>'
     items = lambda: "".join(f"<li{n}>{link()}</li>" for _ in range(r.randint(3, 9)))
@@ -98,29 +129,39 @@ def _noise(r, kind) -> str:
     if kind == "ad":
         return r.choice((f'<div{n} class="ad">{_sentences(r, r.randint(1, 2))}</div>', f'<div class="advert"><p{n}>{_sentences(r, 1)}</p></div>', f'<div{n} id="sponsored">{link()} {_sentences(r, 1)}</div>', f'<div{n} class="promo-box">{_sentences(r, 2)}</div>'))
     if kind == "notice":
-        return r.choice((f'<div{n} class="cookie-notice">{_sentences(r, r.randint(1, 3))} <button>{_word(r)}</button></div>', f'<div id="consent"><p{n}>{_sentences(r, 2)}</p></div>', f'<div{n} class="alert" role="alert">{_sentences(r, 1)}</div>'))
+        asked = "".join(f"<button{n}>{_word(r)}</button>" for _ in range(r.randint(1, 2)))
+        return r.choice((f'<div class="cookies"><p{n}>{_sentences(r, r.randint(1, 3))}</p>{asked}</div>', f'<div{n} class="cookie-notice">{_sentences(r, r.randint(1, 3))} <button>{_word(r)}</button></div>', f'<div id="consent"><p{n}>{_sentences(r, 2)}</p><button{n}>{_word(r)}</button></div>', f'<div{n} class="alert" role="alert">{_sentences(r, 1)} <button>{_word(r)}</button></div>'))
     if kind == "form":
         return r.choice((f'<form{n} action="/s"><label>{_word(r)}</label><input name="q"><button>{_word(r)}</button></form>', f'<form class="newsletter"><p{n}>{_sentences(r, 1)}</p><input type="email"><button>{_word(r)}</button></form>'))
     if kind == "share":
         return f'<div class="share">{"".join(f"<a{n} href=#>{_word(r)}</a> " for _ in range(4))}</div>'
+    # the writer's name stands first
+    name = r.choice(("b", "strong", "cite", "h4", "h5"))
+    made = r.choice(("li", "div", "article"))
+    unnamed_one = f'<{made}><{name}{n}>%s</{name}><p{n}>%s</p></{made}>'
+    if r.random() < 0.3:
+        many = "".join(unnamed_one % (_word(r), _sentences(r, r.randint(1, 5))) for _ in range(r.randint(2, 8)))
+        tag = "ul" if made == "li" else r.choice(("div", "section"))
+        return f'<section class="comments"><h3{n}>{_words(r, 1, 2)}</h3><{tag}>{many}</{tag}></section>'
     one = lambda: r.choice((f'<li class="comment"><b>{_word(r)}</b><p{n}>{_sentences(r, r.randint(1, 5))}</p></li>', f'<div class="comment"><p{n}>{_sentences(r, r.randint(1, 5))}</p></div>'))
     head = f"<h3{n}>{_words(r, 1, 2)}</h3>"
     many = "".join(one() for _ in range(r.randint(1, 8)))
     return r.choice((f'<section id="comments">{head}<ol>{many}</ol></section>', f'<div class="comments">{head}{many}</div>', f'<ul class="commentlist">{many}</ul>'))
 
 
-def _page(r) -> str:
+def _page(r, odd_share: float) -> str:
+    odd = r.random() < odd_share
     before = [k for k in ("header", "nav", "notice", "ad", "form") if r.random() < 0.5]
     after = [k for k in ("share", "comments", "aside", "ad", "form", "footer") if r.random() < 0.5]
     if not before and not after:
         before, after = ["nav"], ["footer"]
     r.shuffle(before)
-    body = _article(r)
+    body = _article(r, odd)
     if r.random() < 0.25:  # noise inside the article's wrapper, ahead of its end
         cut = body.rindex("</")
-        body = body[:cut] + _noise(r, r.choice(("ad", "share", "aside", "comments", "notice"))) + body[cut:]
+        body = body[:cut] + _noise(r, r.choice(("ad", "share", "aside", "comments", "notice")), odd) + body[cut:]
     if r.random() < 0.3:
-        body = f'<div class="{r.choice(("container", "wrapper", "page", "row"))}">{body}{_noise(r, "aside") if r.random() < 0.4 else ""}</div>'
-    parts = [_noise(r, k) for k in before] + [body] + [_noise(r, k) for k in after]
+        body = f'<div class="{r.choice(("container", "wrapper", "page", "row"))}">{body}{_noise(r, "aside", odd) if r.random() < 0.4 else ""}</div>'
+    parts = [_noise(r, k, odd) for k in before] + [body] + [_noise(r, k, odd) for k in after]
     head = f'<head><meta charset="utf-8"><title>{_words(r, 2, 6)}</title><style>p{{margin:0}}</style><script>var a="<p>{_word(r)}</p>";</script></head>'
     return f"<!DOCTYPE html><html>{head}<body>{'<!-- x -->'.join(parts)}</body></html>"
