@@ -22,6 +22,7 @@ gives an empty table.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +42,8 @@ ROWS = 512
 IDS_AT_ONCE = 500_000
 #: Characters read between two looks for a common boundary.
 LOOK = 32
+#: The score of a position that no path reaches.
+NEVER = float("-inf")
 
 
 class Encoder:
@@ -48,7 +51,9 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
+        # segments met lately, and those met before them; half the table each
         self.known: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}
         self.window = 0
         self.trie: dict = {}
         for piece, found in vocabulary.pieces.items():
@@ -63,75 +68,88 @@ class Encoder:
         for segment in self.vocabulary.segments(text):
             ids = known.get(segment)
             if ids is None:
-                ids = np.fromiter((i for part in self.stream(segment.replace(" ", SPACE)) for i in part), np.int32).tobytes()
+                ids = self.earlier.get(segment)
+                if ids is None:
+                    ids = array("i", [i for part in self.stream(segment.replace(" ", SPACE)) for i in part]).tobytes()
                 if len(segment) <= LONGEST_REMEMBERED:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
+                    if len(known) >= REMEMBERED // 2:
+                        self.earlier, self.known = known, {}
+                        known = self.known
                     known[segment] = ids
             out.append(ids)
         return b"".join(out)
 
     def stream(self, chars: str) -> Iterator[list[int]]:
         """Ids of the best path, part by part, as soon as no later character can change them."""
-        vocabulary, trie = self.vocabulary, self.trie
-        unknown = vocabulary.unknown_score
+        trie, unknown, longest = self.trie, self.vocabulary.unknown_score, self.vocabulary.longest
         start, size = 0, len(chars)
-        score = {0: 0.0}  # of the open positions: those from the reading point on
-        back: dict[int, tuple[int, int]] = {}  # position -> (where its last piece starts, id or -1), since ``start``
-        for i in range(size):
-            here = score.pop(i)
-            node, j, single = trie, i, False
-            while j < size and (node := node.get(chars[j])) is not None:
-                j += 1
-                found = node.get("")
-                if found is not None:
-                    single = single or j == i + 1
-                    total = here + found[1]
-                    if j not in score or total > score[j]:
-                        score[j] = total
-                        back[j] = (i, found[0])
-            if not single:
-                total = here + unknown
-                if i + 1 not in score or total > score[i + 1]:
-                    score[i + 1] = total
-                    back[i + 1] = (i, -1)
-            if len(score) > self.window:
-                self.window = len(score)
-            if i % LOOK == LOOK - 1:
-                meeting = self.meeting(score, back, start)
+        # by position, from ``start`` on: the best score, where its last piece starts, that piece's id or -1
+        score, begins, piece = [0.0], [0], [-1]
+        for block in range(0, size, LOOK):
+            to = min(block + LOOK, size)
+            more = min(to + longest, size) - start + 1 - len(score)
+            score += [NEVER] * more
+            begins += [0] * more
+            piece += [-1] * more
+            for i in range(block, to):
+                here = score[i - start]
+                node, j, single = trie, i, False
+                while j < size and (node := node.get(chars[j])) is not None:
+                    j += 1
+                    found = node.get("")
+                    if found is not None:
+                        single = single or j == i + 1
+                        total = here + found[1]
+                        if total > score[j - start]:
+                            score[j - start] = total
+                            begins[j - start] = i
+                            piece[j - start] = found[0]
+                if not single:
+                    total = here + unknown
+                    if total > score[i + 1 - start]:
+                        score[i + 1 - start] = total
+                        begins[i + 1 - start] = i
+                        piece[i + 1 - start] = -1
+            if to < size:
+                still_open = [p for p in range(to, start + len(score)) if score[p - start] > NEVER]
+                self.window = max(self.window, len(still_open))
+                meeting = self.meeting(still_open, begins, start)
                 if meeting > start:
-                    yield self.path(chars, back, start, meeting)
-                    base = score[meeting] if meeting in score else 0.0
-                    score = {p: s - base for p, s in score.items()} if meeting in score else score
+                    yield self.path(chars, begins, piece, start, meeting)
+                    base = score[meeting - start] if meeting >= to else 0.0
+                    score, begins, piece = ([s - base for s in score[meeting - start:]], begins[meeting - start:], piece[meeting - start:])
                     start = meeting
-                    back = {p: b for p, b in back.items() if p > start}
-        yield self.path(chars, back, start, size)
+        yield self.path(chars, begins, piece, start, size)
 
     @staticmethod
-    def meeting(score, back, start) -> int:
+    def meeting(positions: list[int], begins: list[int], start: int) -> int:
         """The last boundary that the paths of all open positions share."""
-        paths = iter(score)
-        shared = Encoder.boundaries(next(paths), back, start)
-        for p in paths:
-            own = set(Encoder.boundaries(p, back, start))
+        shared = Encoder.boundaries(positions[0], begins, start)
+        for p in positions[1:]:
+            own = set(Encoder.boundaries(p, begins, start))
             shared = [b for b in shared if b in own]
         return max(shared)
 
     @staticmethod
-    def boundaries(position, back, start) -> list[int]:
+    def boundaries(position: int, begins: list[int], start: int) -> list[int]:
         out = [position]
         while position > start:
-            position = back[position][0]
+            position = begins[position - start]
             out.append(position)
         return out
 
-    def path(self, chars, back, start, end) -> list[int]:
-        parts = []
-        while end > start:
-            begin, piece = back[end]
-            parts.append([piece] if piece >= 0 else self.vocabulary.fallback(chars[begin]))
+    def path(self, chars: str, begins: list[int], piece: list[int], start: int, end: int) -> list[int]:
+        """Ids from ``start`` to ``end``; ``begins`` and ``piece`` count from ``start``."""
+        parts, first = [], start
+        while end > first:
+            begin, found = begins[end - first], piece[end - first]
+            if found >= 0:
+                parts.append(found)
+            else:
+                parts += reversed(self.vocabulary.fallback(chars[begin]))
             end = begin
-        return [i for part in reversed(parts) for i in part]
+        parts.reverse()
+        return parts
 
 
 def list_array(flat: np.ndarray, counts: list[int], valid: np.ndarray | None = None) -> pa.Array:
