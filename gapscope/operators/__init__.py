@@ -32,6 +32,7 @@ from gapscope.operators.incremental import (
     merge_into_snapshot,
 )
 from gapscope.operators.json_stat import clean_ratio, decode_json_stat, json_stat_rejects
+from gapscope.operators.json_stat_ranges import decode_json_stat_ranges
 from gapscope.operators.quality import (
     column_profile,
     distinct_sample,

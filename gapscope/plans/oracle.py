@@ -264,6 +264,7 @@ ORACLE: dict[str, str] = {
     "since_period": "select o_orderkey, o_custkey, cast(year(o_orderdate) as integer) as year from orders "
                     "where o_orderdate >= timestamp '2000-01-01'",
     "json_stat_decode": _with("cube") + "select * from cube",
+    "json_stat_ranges": _with("cube") + "select * from cube",
     "json_stat_clean": _with("cube") + "select geo as jurisdiction, geo_label as jurisdiction_name, "
                        "cast(time as integer) as year, obs_value as tax_to_gdp_ratio from cube "
                        "where na_item = 'F' and unit like '1%'",

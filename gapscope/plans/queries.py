@@ -25,6 +25,7 @@ from gapscope.sources import (
     read_csv_export,
     read_ingest_stamp,
     read_json_stat_documents,
+    read_json_stat_ranges,
     read_labelled_csv,
     read_table,
     write_table,
@@ -277,6 +278,11 @@ def q_json_stat_clean(spark, sf):
     return op.clean_ratio(q_json_stat_decode(spark, sf))
 
 
+def q_json_stat_ranges(spark, sf):
+    pieces = read_json_stat_ranges(spark, B.land_json_stat(spark, sf))
+    return op.decode_json_stat_ranges(pieces, B.JSON_STAT_DIMENSIONS)
+
+
 # --- lookups, links, flags ----------------------------------------------------------
 
 
@@ -389,6 +395,7 @@ QUERIES: dict[str, Query] = {
     "since_period": q_since_period,
     "json_stat_decode": q_json_stat_decode,
     "json_stat_clean": q_json_stat_clean,
+    "json_stat_ranges": q_json_stat_ranges,
     "lookup_filing": q_lookup_filing,
     "link_filing_jurisdiction": q_link_filing_jurisdiction,
     "link_filing_flags": q_link_filing_flags,

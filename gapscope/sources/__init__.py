@@ -1,7 +1,7 @@
 """Sources and sinks: labelled CSV landings, JSON-stat documents, tables."""
 
 from gapscope.sources.csv import malformed_lines, read_header, read_ingest_stamp, read_labelled_csv, require_columns
-from gapscope.sources.json_stat import read_json_stat_documents
+from gapscope.sources.json_stat import read_json_stat_documents, read_json_stat_ranges
 from gapscope.sources.schemas import AUDIT_FLAGS, EFFECTIVE_VS_STATUTORY, FACTS_CLEAN, RATES_CLEAN
 from gapscope.sources.tables import (
     export_csv,
@@ -24,6 +24,7 @@ __all__ = [
     "read_header",
     "read_ingest_stamp",
     "read_json_stat_documents",
+    "read_json_stat_ranges",
     "read_labelled_csv",
     "read_table",
     "require_columns",
