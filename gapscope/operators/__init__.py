@@ -33,6 +33,7 @@ from gapscope.operators.incremental import (
 )
 from gapscope.operators.json_stat import clean_ratio, decode_json_stat, json_stat_rejects
 from gapscope.operators.json_stat_ranges import decode_json_stat_ranges
+from gapscope.operators.percentiles import exact_percentiles
 from gapscope.operators.quality import (
     column_profile,
     distinct_sample,

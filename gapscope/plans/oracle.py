@@ -193,6 +193,9 @@ ORACLE: dict[str, str] = {
     "top_gap": _with("mg") + f"select {_MG_COLS} from mg order by gap_statutory_minus_effective desc nulls last, "
                              "jurisdiction, year limit 10",
     "year_percentiles": _with("th") + "select * from th",
+    "year_percentiles_exact": _with("th") + "select * from th",
+    "price_percentiles": "select l_returnflag, quantile_disc(l_extendedprice, 0.1) as price_p10, quantile_disc(l_extendedprice, 0.5) as price_p50, "
+                         "quantile_disc(l_extendedprice, 0.95) as price_p95, quantile_disc(l_extendedprice, 0.99) as price_p99 from lineitem group by l_returnflag",
     "audit_candidates": _with("mg", "th") + f"select mg.*, th.median_employees_year, th.q3_profit_per_employee_year, "
                         "true as audit_signal from mg join th on mg.year = th.year "
                         "where mg.employees > th.median_employees_year "
@@ -269,6 +272,13 @@ ORACLE: dict[str, str] = {
                        "cast(time as integer) as year, obs_value as tax_to_gdp_ratio from cube "
                        "where na_item = 'F' and unit like '1%'",
     "lookup_filing": _with("mg") + f"select {_MG_COLS} from mg where jurisdiction = 'NATION_7'",
+    "lookup_by_id": _with("mg") + f"select {_MG_COLS} from mg where id = 'NATION_7_1995'",
+    "ordered_report": _with("mg") + f"select {_MG_COLS}, row_number() over (order by gap_statutory_minus_effective desc nulls last, jurisdiction, year) as position from mg",
+    "bucketed_links": _with("mg", "flags", "dim", "stat") + "select 'filing_flags' as link, mg.id, mg.jurisdiction, mg.year, flags.flag_id, flags.reason "
+                      "from mg left join flags on mg.id = flags.filing_id union all "
+                      "select 'filing_jurisdiction', mg.id, mg.jurisdiction, mg.year, null, null from mg join dim on mg.jurisdiction = dim.jurisdiction union all "
+                      "select 'rate_jurisdiction', concat_ws('_', stat.jurisdiction, cast(stat.year as varchar)), stat.jurisdiction, stat.year, null, null "
+                      "from stat join dim on stat.jurisdiction = dim.jurisdiction",
     "link_filing_jurisdiction": _with("mg", "dim") + "select mg.jurisdiction, mg.id, mg.year from mg "
                                 "join dim on mg.jurisdiction = dim.jurisdiction",
     "link_filing_flags": _with("mg", "flags") + "select mg.id, mg.jurisdiction, mg.year, flags.flag_id, flags.status, "

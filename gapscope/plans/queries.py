@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from gapscope import labels as L
 from gapscope import operators as op
+from gapscope.operators.audit import AUDIT_THRESHOLDS
+from gapscope.operators.rates import gap_order
 from gapscope.plans import bindings as B
 from gapscope.plans.jobs import clean_facts_job, clean_rates_job, merge_late_job
 from gapscope.plans.report import OUTPUTS, run_report
@@ -27,7 +29,11 @@ from gapscope.sources import (
     read_json_stat_documents,
     read_json_stat_ranges,
     read_labelled_csv,
+    read_ordered,
     read_table,
+    write_bucketed,
+    write_lookup_table,
+    write_ordered,
     write_table,
 )
 
@@ -42,6 +48,9 @@ SINCE_YEAR = 2000
 #: Percentiles are exact elements up to so many filings a year.
 AUDIT_ACCURACY = 1_000_000
 LOOKUP_JURISDICTION = "NATION_7"
+LOOKUP_ID = "NATION_7_1995"
+PRICE_PERCENTILES = {f"price_p{round(100 * p)}": ("l_extendedprice", p) for p in (0.1, 0.5, 0.95, 0.99)}
+BUCKETS = 16
 
 
 # --- join, pivot, metrics ------------------------------------------------------
@@ -79,6 +88,14 @@ def q_year_percentiles(spark, sf):
     return op.year_percentiles(B.merged(spark, sf, sort=False), accuracy=AUDIT_ACCURACY)
 
 
+def q_year_percentiles_exact(spark, sf):
+    return op.exact_percentiles(B.merged(spark, sf, sort=False), "year", AUDIT_THRESHOLDS)
+
+
+def q_price_percentiles(spark, sf):
+    return op.exact_percentiles(B.table(spark, sf, "lineitem"), "l_returnflag", PRICE_PERCENTILES)
+
+
 def q_audit_candidates(spark, sf):
     return op.audit_candidates(B.stored_merged(spark, sf), accuracy=AUDIT_ACCURACY)
 
@@ -297,6 +314,41 @@ def q_lookup_filing(spark, sf):
     return op.lookup(read_table(spark, path, EFFECTIVE_VS_STATUTORY), jurisdiction=LOOKUP_JURISDICTION)
 
 
+def q_lookup_by_id(spark, sf):
+    path = scratch_path(spark, "filings_by_id")
+    write_lookup_table(B.merged(spark, sf, sort=False), path, ["id", "jurisdiction"])
+    return op.lookup(read_table(spark, path, EFFECTIVE_VS_STATUTORY), id=LOOKUP_ID)
+
+
+def q_ordered_report(spark, sf):
+    path = scratch_path(spark, "gap_order")
+    write_ordered(B.merged(spark, sf, sort=False), path, *gap_order())
+    return read_ordered(spark, path)
+
+
+def _bucketed(spark, df, name, *keys):
+    path = scratch_path(spark, name)
+    table = path.rstrip("/").rsplit("/", 1)[1].replace("-", "_")
+    write_bucketed(df, table, path, keys, BUCKETS)
+    return spark.table(table)
+
+
+def q_bucketed_links(spark, sf):
+    """The three links of the stored tables, each side bucketed on the link's key; rows say which link they are of."""
+    m = B.stored_merged(spark, sf)
+    by_id, by_place = _bucketed(spark, m, "filings_by_id", "id"), _bucketed(spark, m, "filings_by_jurisdiction", "jurisdiction")
+    flags = _bucketed(spark, _flags(spark, sf, m), "flags_by_filing", "filing_id")
+    dim = _bucketed(spark, op.jurisdictions_dim(m), "jurisdictions", "jurisdiction")
+    rates = _bucketed(spark, op.tax_rates_with_id(B.rates_long(spark, sf)), "rates_by_jurisdiction", "jurisdiction")
+    links = {"filing_flags": op.link_filing_flags(by_id, flags), "filing_jurisdiction": op.link_filing_jurisdiction(by_place, dim), "rate_jurisdiction": op.link_rate_jurisdiction(rates, dim)}
+    none = F.lit(None).cast("string")
+    out = [
+        df.select(F.lit(name).alias("link"), "id", "jurisdiction", "year", *[(F.col(c) if c in df.columns else none).alias(c) for c in ("flag_id", "reason")])
+        for name, df in links.items()
+    ]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 def q_link_filing_jurisdiction(spark, sf):
     m = B.stored_merged(spark, sf)
     return op.link_filing_jurisdiction(m, op.jurisdictions_dim(m))
@@ -366,6 +418,8 @@ QUERIES: dict[str, Query] = {
     "tax_rates_with_id": q_tax_rates_with_id,
     "top_gap": q_top_gap,
     "year_percentiles": q_year_percentiles,
+    "year_percentiles_exact": q_year_percentiles_exact,
+    "price_percentiles": q_price_percentiles,
     "audit_candidates": q_audit_candidates,
     "jurisdictions_dim": q_jurisdictions_dim,
     "quality_rules": q_quality_rules,
@@ -397,6 +451,9 @@ QUERIES: dict[str, Query] = {
     "json_stat_clean": q_json_stat_clean,
     "json_stat_ranges": q_json_stat_ranges,
     "lookup_filing": q_lookup_filing,
+    "lookup_by_id": q_lookup_by_id,
+    "ordered_report": q_ordered_report,
+    "bucketed_links": q_bucketed_links,
     "link_filing_jurisdiction": q_link_filing_jurisdiction,
     "link_filing_flags": q_link_filing_flags,
     "link_rate_jurisdiction": q_link_rate_jurisdiction,
