@@ -36,6 +36,8 @@ from gapscope.llm.pieces import SPACE, Vocabulary, decoded
 
 #: Segments remembered per task, and the longest of them.
 REMEMBERED, LONGEST_REMEMBERED = 120_000, 48
+#: Characters of texts whose segments are looked up together, and segments searched side by side.
+CHARS, TOGETHER = 2_000_000, 20_000
 #: Documents encoded or decoded before they are handed on.
 ROWS = 512
 #: Ids decoded together.
@@ -51,33 +53,126 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        # segments met lately, and those met before them; half the table each
         self.known: dict[str, bytes] = {}
-        self.earlier: dict[str, bytes] = {}
         self.window = 0
+        # by character: the nodes below, the id and score of the piece that ends there (id -1: none), the node's number
         self.trie: dict = {}
-        for piece, found in vocabulary.pieces.items():
-            node = self.trie
+        nodes, edges = [(-1, 0.0)], {}
+        kinds = {c: k for k, c in enumerate(sorted({c for piece in vocabulary.pieces for c in piece}), 1)}
+        for piece, (own, worth) in vocabulary.pieces.items():
+            below, at = self.trie, 0
             for c in piece:
-                node = node.setdefault(c, {})
-            node[""] = found
+                node = below.get(c)
+                if node is None:
+                    node = below[c] = [{}, -1, 0.0, len(nodes)]
+                    edges[at * (len(kinds) + 1) + kinds[c]] = len(nodes)
+                    nodes.append((-1, 0.0))
+                below, at = node[0], node[3]
+            node[1:3] = own, worth
+            nodes[at] = own, worth
+        # the same as arrays: kind of each code point (0: in no piece), edges by node and kind, and what ends at a node
+        self.kind_of = np.zeros(0x110000, np.int32)
+        self.kind_of[[ord(c) for c in kinds]] = list(kinds.values())
+        self.kinds = len(kinds) + 1
+        self.edge_keys = np.array(sorted(edges), np.int64)
+        self.edge_to = np.array([edges[k] for k in self.edge_keys.tolist()], np.int64)
+        self.first = np.zeros(self.kinds, np.int64)
+        self.first[self.edge_keys[self.edge_keys < self.kinds]] = self.edge_to[self.edge_keys < self.kinds]
+        self.own = np.array([own for own, _ in nodes], np.int32)
+        self.worth = np.array([worth for _, worth in nodes], np.float64)
 
     def encode(self, text: str) -> bytes:
         """The ids as int32 bytes."""
-        known, out = self.known, []
-        for segment in self.vocabulary.segments(text):
-            ids = known.get(segment)
-            if ids is None:
-                ids = self.earlier.get(segment)
-                if ids is None:
-                    ids = array("i", [i for part in self.stream(segment.replace(" ", SPACE)) for i in part]).tobytes()
-                if len(segment) <= LONGEST_REMEMBERED:
-                    if len(known) >= REMEMBERED // 2:
-                        self.earlier, self.known = known, {}
-                        known = self.known
-                    known[segment] = ids
-            out.append(ids)
-        return b"".join(out)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as int32 bytes; texts are taken together up to ``CHARS`` characters."""
+        out: list[bytes] = []
+        while len(out) < len(texts):
+            cut, size = [], 0
+            for text in texts[len(out):]:
+                cut.append(self.vocabulary.segments(text))
+                size += len(text)
+                if size >= CHARS:
+                    break
+            known = self.known
+            new = [s for s in {s for segments in cut for s in segments} if s not in known]
+            short = sorted((s for s in new if len(s) <= self.vocabulary.longest), key=len)
+            for at in range(0, len(short), TOGETHER):
+                self.within(short[at: at + TOGETHER])
+            for s in new:
+                if len(s) > self.vocabulary.longest:
+                    known[s] = array("i", [i for part in self.stream(s.replace(" ", SPACE)) for i in part]).tobytes()
+            out += [b"".join([known[s] for s in segments]) for segments in cut]
+            if len(known) > REMEMBERED:
+                self.known = {}
+            else:
+                for s in new:
+                    if len(s) > LONGEST_REMEMBERED:
+                        del known[s]
+        return out
+
+    def within(self, segments: list[str]) -> None:
+        """Remembers the ids of segments, none longer than the longest piece.
+
+        The window holds such a segment whole, and its end is the boundary
+        where all paths meet, so many are searched side by side: the same
+        steps in the same order as ``stream``.
+        """
+        sizes = np.array([len(s) for s in segments])
+        longest, n = int(sizes.max()), len(segments)
+        text = "".join([s.replace(" ", SPACE).ljust(longest, "\0") for s in segments])
+        kinds = self.kind_of[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, longest)]
+        score = np.full((longest + 1, n), NEVER)
+        score[0] = 0.0
+        begins, piece = np.zeros((longest + 1, n), np.int32), np.full((longest + 1, n), -1, np.int32)
+        for i in range(longest):
+            rows = np.flatnonzero(sizes > i)
+            here = score[i, rows]
+            node, spelled = self.first[kinds[rows, i]], np.ones(len(rows), bool)
+            on = np.flatnonzero(node)
+            for j in range(i + 1, longest + 1):
+                at = node[on]
+                ends = self.own[at] >= 0
+                if j == i + 1:
+                    spelled[on[ends]] = False
+                who, total = rows[on[ends]], here[on[ends]] + self.worth[at[ends]]
+                better = total > score[j, who]
+                who = who[better]
+                score[j, who], begins[j, who], piece[j, who] = total[better], i, self.own[at[ends][better]]
+                on = on[sizes[rows[on]] > j]
+                if not len(on):
+                    break
+                key = node[on] * self.kinds + kinds[rows[on], j]
+                edge = np.minimum(np.searchsorted(self.edge_keys, key), len(self.edge_keys) - 1)
+                hit = self.edge_keys[edge] == key
+                on = on[hit]
+                node[on] = self.edge_to[edge[hit]]
+            total = here[spelled] + self.vocabulary.unknown_score
+            who = rows[spelled]
+            better = total > score[i + 1, who]
+            who = who[better]
+            score[i + 1, who], begins[i + 1, who], piece[i + 1, who] = total[better], i, -1
+        self.window = max(self.window, longest)
+        # back from the ends, all paths at once; a path with a character spelled as bytes is read by itself
+        ids, place, odd = np.empty((longest, n), np.int32), sizes.copy(), np.zeros(n, bool)
+        counts = np.zeros(n, np.int64)
+        while len(rows := np.flatnonzero(place)):
+            found = piece[place[rows], rows]
+            odd[rows[found < 0]] = True
+            counts[rows] += 1
+            ids[longest - counts[rows], rows] = found
+            place[rows] = begins[place[rows], rows]
+        data = np.ascontiguousarray(ids.T)
+        for k, s in enumerate(segments):
+            if odd[k]:
+                parts = self.path(s.replace(" ", SPACE), begins[:, k].tolist(), piece[:, k].tolist(), 0, len(s))
+                self.known[s] = array("i", parts).tobytes()
+        starts = ((np.arange(n) + 1) * longest - counts) * 4
+        whole = data.tobytes()
+        plain = np.flatnonzero(~odd)
+        for k, a, b in zip(plain.tolist(), starts[plain].tolist(), ((plain + 1) * longest * 4).tolist()):
+            self.known[segments[k]] = whole[a:b]
 
     def stream(self, chars: str) -> Iterator[list[int]]:
         """Ids of the best path, part by part, as soon as no later character can change them."""
@@ -93,17 +188,17 @@ class Encoder:
             piece += [-1] * more
             for i in range(block, to):
                 here = score[i - start]
-                node, j, single = trie, i, False
-                while j < size and (node := node.get(chars[j])) is not None:
+                below, j, single = trie, i, False
+                while j < size and (node := below.get(chars[j])) is not None:
                     j += 1
-                    found = node.get("")
-                    if found is not None:
+                    below, found, worth, _ = node
+                    if found >= 0:
                         single = single or j == i + 1
-                        total = here + found[1]
+                        total = here + worth
                         if total > score[j - start]:
                             score[j - start] = total
                             begins[j - start] = i
-                            piece[j - start] = found[0]
+                            piece[j - start] = found
                 if not single:
                     total = here + unknown
                     if total > score[i + 1 - start]:
@@ -169,7 +264,7 @@ def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def encoded(encoder: Encoder, texts: pa.Array) -> pa.Array:
     """The ids of each text; null for a null."""
-    coded = [encoder.encode(t or "") for t in texts.to_pylist()]
+    coded = encoder.encode_all([t or "" for t in texts.to_pylist()])
     return list_array(np.frombuffer(b"".join(coded), np.int32), [len(c) // 4 for c in coded], np.asarray(texts.is_valid(), bool))
 
 
