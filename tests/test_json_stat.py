@@ -4,6 +4,7 @@ import pytest
 
 from conftest import rows
 from gapscope import operators as op
+from gapscope.operators.json_stat import parsed_documents, raw_cells
 from gapscope.plans import bindings as B
 
 DIMS = {"a": {"category": {"index": {"y": 1, "x": 0}, "label": {"x": "Ex", "y": "Why"}}},
@@ -168,3 +169,10 @@ def test_parts_have_a_limit(spark, monkeypatch):
     assert rows(op.decode_json_stat(docs(spark, wide(4, 50)))) == rows(op.decode_json_stat(docs(spark, wide(4, 50)), ["a", "b"]))
     got = op.decode_json_stat(docs(spark, wide(4, 50))).where("b = concat('c', cast(obs_value % 50 as int))")
     assert got.count() == 200
+
+
+def test_a_document_is_not_read_again_for_each_of_its_cells(spark):
+    parsed = parsed_documents(docs(spark, {"id": ["a"], "size": [2], "dimension": {"a": DIMS["a"]}, "value": [1, 2]}))
+    plan = raw_cells(parsed, ["a"])._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("Generate ")]
+    assert "trim" not in above and "aggregate(" not in above and "slice(" not in above
