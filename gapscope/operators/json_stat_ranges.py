@@ -7,9 +7,10 @@ put in place and sorted into values and the rest:
 
 1. Per range: the number of pieces and of quotes. Summed over the ranges before,
    they give the place of a range's first piece and whether it begins in a string.
-2. Ranges that hold a quote are read piece by piece for what lies outside
-   strings: the depth of brackets, keys ``value``, closing brackets. A range of a
-   list of numbers has no quote, so it is not exchanged for this.
+2. Ranges that hold a quote are read for what lies outside strings: the depth
+   of brackets, keys ``value``, closing brackets. Only pieces with a bracket or an
+   odd number of quotes can change any of these, so only they are exchanged: a
+   number, a whole entry of a map, a whole label are not.
 3. The ``value`` key at depth one and the bracket that closes it bound the
    values. A value's place in a list is the number of commas since then; a map
    states it.
@@ -22,6 +23,8 @@ holds more than one range of a file.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,9 +40,14 @@ def _quotes(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))
 
 
+def _holds(text: Column, marks: str) -> Column:
+    """Does ``text`` hold one of the characters? Most pieces hold none, which spares them the steps below."""
+    return reduce(or_, [F.contains(text, F.lit(m)) for m in marks])
+
+
 def _unescaped(text: Column) -> Column:
     """``text`` without its backslash escapes, so that every quote left begins or ends a string."""
-    return F.regexp_replace(text, r"\\.", "")
+    return F.when(_holds(text, "\\"), F.regexp_replace(text, r"\\.", "")).otherwise(text)
 
 
 def _outside(inside: Column, text: Column) -> Column:
@@ -51,7 +59,12 @@ def _outside(inside: Column, text: Column) -> Column:
 def _steps(text: Column) -> Column:
     """Opened minus closed brackets."""
     opened = F.length(text) - F.length(F.translate(text, "[{", ""))
-    return opened - (F.length(text) - F.length(F.translate(text, "]}", "")))
+    return F.when(_holds(text, "[]{}"), opened - (F.length(text) - F.length(F.translate(text, "]}", "")))).otherwise(0)
+
+
+def marking_pieces(pieces: DataFrame) -> DataFrame:
+    """The pieces that open or close a string or a bracket: with a bracket, or an odd number of quotes."""
+    return pieces.where((_quotes(_unescaped(F.col("piece"))) % 2 == 1) | _holds(F.col("piece"), "[]{}"))
 
 
 def value_bounds(pieces: DataFrame) -> DataFrame:
@@ -66,15 +79,15 @@ def value_bounds(pieces: DataFrame) -> DataFrame:
     ahead = Window.partitionBy("doc").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = pieces.groupBy("doc", "block").agg(
         F.min("row").alias("first"), F.count("*").alias("n"), F.sum(_quotes(bare)).alias("quotes"),
-        F.sum(_steps(bare)).alias("steps"), F.min(F.when(F.col("piece").rlike(r"[\]}]"), F.col("row"))).alias("closes"),
+        F.sum(_steps(bare)).alias("steps"), F.min(F.when(_holds(F.col("piece"), "]}"), F.col("row"))).alias("closes"),
     )
     blocks = stored(
         blocks.select("doc", "block", "first", "quotes", "steps", "closes", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"),
                       (F.coalesce(F.sum("quotes").over(ahead), F.lit(0)) % 2 == 1).alias("inside")),
         "json_stat_ranges",
     )
-    # ranges with strings: depth and marks, piece by piece
-    quoted = pieces.join(blocks.where("quotes > 0").select("doc", "block", "first", "before", "inside"), ["doc", "block"])
+    # ranges with strings: depth and marks, by the pieces that bear on them
+    quoted = marking_pieces(pieces).join(blocks.where("quotes > 0").select("doc", "block", "first", "before", "inside"), ["doc", "block"])
     earlier = Window.partitionBy("doc", "block").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     parity = F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) + F.col("inside").cast("int")
     quoted = quoted.withColumn("quotes", _quotes(bare)).withColumn("within", parity % 2 == 1)
@@ -84,7 +97,7 @@ def value_bounds(pieces: DataFrame) -> DataFrame:
     key = (~F.col("within")) & (F.col("piece").rlike(_KEY) | ((place == 0) & F.col("piece").rlike(_FIRST_KEY)))
     # a key in the document's first piece has the bracket of the document before it
     key_depth = F.when(place == 0, F.lit(1)).otherwise(F.col("depth"))
-    marks = quoted.groupBy("doc", "block").agg(
+    marks = quoted.groupBy("doc", "block").agg(  # a range without such pieces has no steps and no marks
         F.sum("steps").alias("steps"),
         F.collect_list(F.when(key, F.struct(place.alias("place"), key_depth.alias("depth")))).alias("keys"),
         # the least depth a piece reaches outside strings is that after its closing brackets
@@ -122,12 +135,15 @@ def split_documents(pieces: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]
         " WHEN at = stop THEN concat(if(at = start AND at > 0, ',', ''), opening, substr(body, length(shut) + 1))"
         " WHEN at = start THEN concat(if(at = 0, '', ','), opening) END"
     )
-    parts = stored(at.select("doc", "block", "at", "start", F.trim(F.regexp_replace(value, r"[\t\r\n]", " ")).alias("value"), rest.alias("rest")), "json_stat_parts")
+    # nulls of a list say no more than the count of pieces does
+    at = at.where("start IS NULL OR at <= start OR at >= stop OR piece != 'null'")
+    plain = F.when(_holds(value, "\t\r\n"), F.regexp_replace(value, r"[\t\r\n]", " ")).otherwise(value)
+    parts = stored(at.select("doc", "block", "at", "start", F.trim(plain).alias("value"), rest.alias("rest")), "json_stat_parts")
     documents = parts.where("rest is not null").groupBy("doc").agg(
         F.expr("array_join(transform(array_sort(collect_list(struct(at, rest))), x -> x.rest), '')").alias("text")
     )
     entry = r'^"((?:[^"\\]|\\.)*)"\s*:\s*(.*)$'
-    values = parts.where("value is not null and value != ''").select(
+    values = parts.where("value not in ('', 'null')").select(
         "doc", "block", (F.col("at") - F.col("start")).alias("nth"),
         F.regexp_extract("value", entry, 1).alias("key"), F.regexp_extract("value", entry, 2).alias("keyed"), "value",
     )

@@ -9,6 +9,7 @@ import pytest
 
 from conftest import rows
 from gapscope import operators as op
+from gapscope.operators.json_stat_ranges import marking_pieces
 from gapscope.sources import read_json_stat_documents, read_json_stat_ranges
 
 
@@ -87,3 +88,14 @@ def test_values_of_one_document_are_never_one_group(spark, scratch):
         plan = out._jdf.queryExecution().toString()
     # no exchange of the values by the document alone
     assert "raw" not in "".join(line for line in plan.splitlines() if "hashpartitioning(doc" in line and "block" not in line and "part" not in line)
+
+
+def test_only_pieces_that_open_or_close_something_are_exchanged(spark, scratch):
+    labels = {f"c{i}": f"Label {i}" for i in range(200)} | {"c7": 'one, "two", three'}
+    dimension = {"a": {"category": {"index": {f"c{i}": i for i in range(200)}, "label": labels}}}
+    path = land(scratch("marks"), {"id": ["a"], "size": [200], "dimension": dimension, "value": {str(i): i for i in range(200)}})
+    pieces = read_json_stat_ranges(spark, path)
+    assert pieces.count() > 600
+    marked = [r["piece"].strip() for r in marking_pieces(pieces).collect()]
+    assert len(marked) < 12 and 'three"' in marked and not any(m.startswith('"c9"') for m in marked)
+    assert rows(op.decode_json_stat_ranges(pieces, ["a"]), "a", "obs_value") == sorted((f"c{i}", float(i)) for i in range(200))
