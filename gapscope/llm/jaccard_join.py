@@ -14,13 +14,14 @@ which joins groups of near copies. Round two checks the pairs that still lie
 in different components; a shingle whose classes are all in one component is
 left out, since more links inside a component change nothing. In both
 rounds, counts by hash cell (128 bytes a set) first rule out pairs that
-cannot share enough, so that few sets travel. So no link between different components is lost,
+cannot share enough; only of classes in pairs left after that does one text travel, compressed,
+from which its set is made again. So no link between different components is lost,
 and no group of near copies is expanded into its pairs.
 
 Scale: shingles are counted over all documents. The most frequent ones, at
 most ``MOST_FREQUENT``, are broadcast. The order only steers the cost; any
-order gives the same links. Sets are shuffled only
-for classes that met another one, texts never. Tables that several steps read are written
+order gives the same links. A set takes 8 bytes a shingle that do not compress, more
+than twice its text, so texts are shuffled in their place. Tables that several steps read are written
 to the shared scratch folder.
 
 Defined results: null texts and texts without words have no shingles and are
@@ -32,6 +33,7 @@ of the input are not used beyond the key and the text.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,6 +56,8 @@ FEW = 8
 CELLS = 128
 #: Documents whose sets a task holds at a time.
 ROWS = 4096
+#: Bytes of text whose sets a task makes at a time, or one text.
+TEXT_BYTES = 2 << 20
 #: Bits of the filter of signatures whose sets are needed.
 FILTER_BITS = 26
 #: Candidates of one probe that share a task's prefix tree.
@@ -101,8 +105,8 @@ def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pa.default_memory_pool().release_unused()
 
 
-def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, text) to a row (key, n, sig) per document, and rows (shingle, seen) for those that several classes of a batch hold."""
+def sketched_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, text) to a row (key, n, sig, sketch) per document, and rows (shingle, seen) for those that several classes of a batch hold."""
     for batch in sliced(batches):
         sets = [s for texts in Texts.chunks(batch.column(1)) for s in shingle_sets(texts)]
         signs = [signature(s) if len(s) else None for s in sets]
@@ -116,7 +120,14 @@ def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.array(signs + [None] * extra, pa.int64()),
             pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(shingles.view(np.int64), pa.int64())]),
             pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(seen.astype(np.int64), pa.int64())]),
-        ], names=["key", "n", "sig", "shingle", "seen"])
+            pa.array([sketch(s) if len(s) else None for s in sets] + [None] * extra, pa.binary()),
+        ], names=["key", "n", "sig", "shingle", "seen", "sketch"])
+
+
+def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``sketched_classes`` without the sketches."""
+    for batch in sketched_classes(batches):
+        yield batch.select(["key", "n", "sig", "shingle", "seen"])
 
 
 def frequent_shingles(signed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -222,32 +233,54 @@ def crossing_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
     return a.join(b, apart).select(F.col("a.sig").alias("a"), F.col("b.sig").alias("b")).distinct()
 
 
-def class_sets(docs: DataFrame, asked: DataFrame, frequent) -> DataFrame:
-    """(sig, keys, sketch): the ordered set of each class in ``asked`` (sig), and of a few more.
+def class_texts(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """(sig, packed): a text of each class in ``asked`` (sig), compressed, and of a few more.
 
-    Texts stay where they are: a filter of fixed size with the signatures
-    asked for is broadcast, and a task hands on each set once. Ids play no
-    part, so rows without one, or with the same, cost no more than others.
+    Other texts stay where they are: a filter of fixed size with the
+    signatures asked for is broadcast, and a task hands on one text of each
+    class. Ids play no part, so rows without one, or with the same, cost no
+    more than others.
     """
     wanted = docs.sparkSession.sparkContext.broadcast(bit_filter(asked, "sig", FILTER_BITS))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
         for batch in sliced(batches):
-            signs, keys, sketches = [], [], []
+            signs, packed = [], []
             for texts in Texts.chunks(batch.column(0)):
-                sets = [s for s in shingle_sets(texts) if len(s)]
+                sets = shingle_sets(texts)
                 own = np.array([signature(s) for s in sets], np.int64)
-                for s, sig, may in zip(sets, own.tolist(), in_filter(wanted.value, own.view(np.uint64))):
-                    if may and sig not in done:
-                        done.add(sig)
-                        signs.append(sig)
-                        s = ordered(s, frequent.value)
-                        keys.append(s.tobytes())
-                        sketches.append(sketch(s))
-            yield pa.RecordBatch.from_arrays([pa.array(signs, pa.int64()), pa.array(keys, pa.binary()), pa.array(sketches, pa.binary())], names=["sig", "keys", "sketch"])
+                for k, may in enumerate(in_filter(wanted.value, own.view(np.uint64)).tolist()):
+                    if may and len(sets[k]) and own[k] not in done:
+                        done.add(int(own[k]))
+                        signs.append(int(own[k]))
+                        packed.append(zlib.compress(texts.data[texts.offsets[k]: texts.offsets[k + 1]].tobytes(), 1))
+            yield pa.RecordBatch.from_arrays([pa.array(signs, pa.int64()), pa.array(packed, pa.binary())], names=["sig", "packed"])
+
+    return docs.select("text").mapInArrow(build, "sig long, packed binary").dropDuplicates(["sig"])
+
+
+def unpacked_sets(packed: list[bytes], frequent) -> Iterator[np.ndarray]:
+    """The ordered sets of compressed texts, some texts at a time."""
+    run: list[bytes] = []
+    held = 0
+    for p in [*packed, None]:
+        if run and (p is None or held > TEXT_BYTES):
+            texts = Texts(np.frombuffer(b"".join(run), np.uint8), np.cumsum([0, *map(len, run)], dtype=np.int64))
+            yield from (ordered(s, frequent) for s in shingle_sets(texts))
+            run, held = [], 0
+        if p is not None:
+            run.append(zlib.decompress(p))
+            held += len(run[-1])
+
+
+def among(rows: DataFrame, held) -> DataFrame:
+    """The rows whose ``sig`` the broadcast filter may hold."""
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(in_filter(held.value, batch.column(0).to_numpy().view(np.uint64))))
 
-    return docs.select("text").mapInArrow(build, "sig long, keys binary, sketch binary").dropDuplicates(["sig"])
+    return rows.mapInArrow(keep, rows.schema)
 
 
 def sketch(keys: np.ndarray) -> bytes | None:
@@ -271,14 +304,13 @@ def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
-def check_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def check_pairs(pairs: DataFrame, docs: DataFrame, sketches: DataFrame, frequent) -> DataFrame:
     """The pairs (a, b) that link.
 
-    The sets' sketches, much smaller than the sets, rule most pairs out.
+    The sketches rule most pairs out, before any set is made.
     Candidates of one probe share a prefix tree, ``BLOCK`` or so at a time.
     """
-    small = sets.select("sig", "sketch")
-    both_sketches = pairs.join(small.toDF("a", "sketch_a"), "a").join(small.toDF("b", "sketch_b"), "b").select("a", "b", "sketch_a", "sketch_b")
+    both_sketches = pairs.join(sketches.toDF("a", "sketch_a"), "a").join(sketches.toDF("b", "sketch_b"), "b").select("a", "b", "sketch_a", "sketch_b")
     fit = stored(both_sketches.mapInArrow(possible, "a long, b long"), "jaccard-pairs")
     # the class with more candidates is the probe
     both = fit.select(F.explode(F.array("a", "b")).alias("probe")).groupBy("probe").count()
@@ -289,30 +321,31 @@ def check_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         F.ceil(F.greatest("ca", "cb") / BLOCK).alias("blocks"))
     rows = stored(rows.withColumn("block", F.expr("pmod(hash(sig), blocks)")), "jaccard-candidates")
     probes = rows.select("probe", "block").distinct().select("probe", "block", F.col("probe").alias("sig"))
-    asked = rows.select("probe", "block", "sig").unionByName(probes).join(sets.select("sig", "keys"), "sig")
-    dealt = asked.repartition(F.col("probe"), F.col("block")).sortWithinPartitions("probe", "block")
+    asked = rows.select("probe", "block", "sig").unionByName(probes)
+    dealt = asked.join(class_texts(docs, both.select(F.col("probe").alias("sig"))), "sig").repartition(F.col("probe"), F.col("block")).sortWithinPartitions("probe", "block")
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, here = [], None
         for batch in batches:
-            probe, block, sig, keys = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("probe", "block", "sig", "keys"))
+            probe, block, sig, packed = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("probe", "block", "sig", "packed"))
             links: list[tuple[int, int]] = []
             for k in range(batch.num_rows):
                 if (probe[k], block[k]) != here:
-                    links += walked(here, group)
+                    links += walked(here, group, frequent.value)
                     group, here = [], (probe[k], block[k])
-                group.append((sig[k], keys[k]))
+                group.append((sig[k], packed[k]))
             yield pairs_batch(links)
-        yield pairs_batch(walked(here, group))
+        yield pairs_batch(walked(here, group, frequent.value))
 
     return dealt.mapInArrow(walk, "a long, b long")
 
 
-def walked(here, group) -> list[tuple[int, int]]:
+def walked(here, group, frequent) -> list[tuple[int, int]]:
     if not group:
         return []
-    own = [np.frombuffer(k, np.uint64) for g, k in group if g == here[0]][0]
-    others = [(g, np.frombuffer(k, np.uint64)) for g, k in group if g != here[0]]
+    sets = list(unpacked_sets([p for _, p in group], frequent))
+    own = [s for (g, _), s in zip(group, sets) if g == here[0]][0]
+    others = [(g, s) for (g, _), s in zip(group, sets) if g != here[0]]
     return [(here[0], others[i][0]) for i in PrefixTree([k for _, k in others]).linked(own, PART, WHOLE)]
 
 
@@ -327,7 +360,8 @@ def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     that label, so a chain shortens by half each time. Rounds go through the
     shared folder. ``labels`` are components known before.
     """
-    edges = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    both_ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    edges = links.select(F.explode(both_ways).alias("edge")).select("edge.a", "edge.b")  # the links are found once
     if labels is not None:
         known = labels.where("sig != label").select(F.col("sig").alias("a"), F.col("label").alias("b"))
         edges = edges.unionByName(known).unionByName(known.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -348,15 +382,15 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     spark = docs.sparkSession
     keyed = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = keyed.schema["key"].dataType.simpleString()
-    signed = stored(keyed.mapInArrow(classes, f"key {kind}, n long, sig long, shingle long, seen long"), "jaccard-signs")
+    signed = stored(keyed.mapInArrow(sketched_classes, f"key {kind}, n long, sig long, shingle long, seen long, sketch binary"), "jaccard-signs")
     documents = signed.where("n is not null").select("key", "n", "sig")
     frequent = spark.sparkContext.broadcast(frequent_shingles(signed))
     shared = stored(met(postings(keyed, frequent)), "jaccard-met")
     pairs = stored(first_pairs(shared), "jaccard-first")
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("sig")).unionByName(shared.where(F.col("classes") > FEW).select("sig")).distinct()
-    sets = stored(class_sets(keyed, asked, frequent), "jaccard-sets")
-    labels = components(check_pairs(pairs, sets))
-    rest = check_pairs(crossing_pairs(shared, labels), sets)
+    asked = spark.sparkContext.broadcast(bit_filter(shared.select("sig"), "sig", FILTER_BITS))
+    sketches = stored(among(signed.where("sig is not null").select("sig", "sketch"), asked).dropDuplicates(["sig"]), "jaccard-sketches")
+    labels = components(check_pairs(pairs, keyed, sketches, frequent))
+    rest = check_pairs(crossing_pairs(shared, labels), keyed, sketches, frequent)
     return documents, components(rest, labels)
 
 

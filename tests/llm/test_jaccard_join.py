@@ -157,3 +157,22 @@ def test_many_rows_of_one_id_or_none(spark, shared_id):
     found = J.jaccard_components(docs).collect()
     assert len(found) == 2001 and all(r.n_shingles == 36 for r in found)
     assert {r.component_id for r in found} == {3, shared_id}
+
+
+def test_only_texts_that_may_link_travel(spark, monkeypatch):
+    """Classes that share a frequent passage but cannot link hand on no text; pairs that may link do, whatever bytes they hold."""
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(12)]
+    far = [(i, " ".join([*passage, *(f"w{rng.randrange(10**9)}" for _ in range(30))])) for i in range(12)]
+    near = [f"n{i}\u00e9" for i in range(60)]
+    rows = [*far, (90, " ".join(near)), (91, " ".join([*near[:-1], "other"])), (92, " ".join(near).replace("n", "N"))]
+    asked = []
+    travelling = J.class_texts
+    monkeypatch.setattr(J, "class_texts", lambda docs, wanted: (asked.append({r.sig for r in wanted.collect()}), travelling(docs, wanted))[1])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    signs = {r.key: r.sig for r in J.jaccard_classes(docs)[0].collect()}
+    assert set().union(*asked) == {signs[90], signs[91]} and signs[92] == signs[90]
+    assert got(J.jaccard_components(docs)) == brute(rows)
+    packed = {r.sig: r.packed for r in travelling(docs, docs.sparkSession.createDataFrame([(signs[91],)], "sig long")).collect()}
+    sets = list(J.unpacked_sets([packed[signs[91]]] * 3, J.frequent_shingles(spark.createDataFrame([], "shingle long, seen long"))))
+    assert len(sets) == 3 and all(len(s) == 56 and (s == sets[0]).all() for s in sets)
